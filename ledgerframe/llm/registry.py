@@ -6,12 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerframe.llm import simhash
+from ledgerframe.llm import decontaminate, mixing, sharding, simhash
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op5_simhash_neardup": simhash.op5}
+    return {
+        "op4_sharding": sharding.op4,
+        "op5_simhash_neardup": simhash.op5,
+        "op9_decontamination": decontaminate.op9,
+        "op10_mixing": mixing.op10,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op9_decontamination": decontaminate.OP9_SQL, "op10_mixing": mixing.OP10_SQL}
