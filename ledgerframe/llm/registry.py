@@ -6,13 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerframe.llm import decontaminate, mixing, sharding, simhash
+from ledgerframe.llm import decontaminate, language_id, media_ogg, mixing, secret_scan, sharding, simhash
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op4_sharding": sharding.op4,
         "op5_simhash_neardup": simhash.op5,
+        "op6_language_id": language_id.op6,
+        "op7_ogg_media": media_ogg.op7,
+        "op8_secret_scan": secret_scan.op8,
         "op9_decontamination": decontaminate.op9,
         "op10_mixing": mixing.op10,
     }
