@@ -136,3 +136,26 @@ def shingle_hashes(words: np.ndarray, n: int) -> np.ndarray:
     for k in range(1, n):
         total = total * _ODD + words[k : len(words) - n + 1 + k]
     return mix(total)
+
+
+def dealt(keys: np.ndarray, records: np.ndarray, parts: int) -> list[tuple[int, bytes]]:
+    """(part, records as bytes): records dealt by key to parts, so that equal keys meet; one entry for each part that gets any."""
+    part = (keys % np.uint64(parts)).astype(np.uint16 if parts < 1 << 16 else np.uint32)
+    order = np.argsort(part, kind="stable")
+    part, records = part[order], records[order]
+    at = np.flatnonzero(np.diff(part, prepend=-1))
+    return [(int(part[a]), records[a:b].tobytes()) for a, b in zip(at, [*at[1:], len(part)], strict=True)]
+
+
+def gathered(blobs, dtype: np.dtype) -> np.ndarray:
+    """The records of several blobs as one array."""
+    return np.frombuffer(b"".join(bytes(b) for b in blobs), dtype)
+
+
+def runs_of(sorted_keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each row of an array of sorted keys: where its run of equal keys starts and ends."""
+    if not len(sorted_keys):
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    at = np.flatnonzero(np.concatenate(([True], sorted_keys[1:] != sorted_keys[:-1])))
+    size = np.diff(np.append(at, len(sorted_keys)))
+    return np.repeat(at, size), np.repeat(at + size, size)
