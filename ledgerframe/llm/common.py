@@ -140,6 +140,8 @@ def shingle_hashes(words: np.ndarray, n: int) -> np.ndarray:
 
 def dealt(keys: np.ndarray, records: np.ndarray, parts: int) -> list[tuple[int, bytes]]:
     """(part, records as bytes): records dealt by key to parts, so that equal keys meet; one entry for each part that gets any."""
+    if not len(keys):
+        return []
     part = (keys % np.uint64(parts)).astype(np.uint16 if parts < 1 << 16 else np.uint32)
     order = np.argsort(part, kind="stable")
     part, records = part[order], records[order]
