@@ -46,8 +46,8 @@ def unit_draw(id_col: Column, seed: int) -> Column:
     return (F.conv(F.substring(digest, 1, 13), 16, 10).cast("long") + 1) / F.lit(float(1 << 52))
 
 
-def mix_sources(docs: DataFrame, weights: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 10, share: float = 1.5, most: float = 2.0, buckets: int = BUCKETS) -> DataFrame:
-    """(doc_id, size, source, source_size, target, taken): how many words of each document the mix takes.
+def mix_sources(docs: DataFrame, weights: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 10, share: float = 1.5, most: float = 2.0, buckets: int = BUCKETS, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, size, source, source_size, target, taken, *keep): how many words of each document the mix takes.
 
     size counts the words of the whole text (null: 0). weights(label_id, weight) gives quality weights; documents without
     one have 1. A source's budget is its target rounded to words; complete epochs take every document whole, the rest goes
@@ -57,7 +57,7 @@ def mix_sources(docs: DataFrame, weights: DataFrame | None = None, id_col: str =
     """
     size = F.coalesce(F.regexp_count(F.col(text_col).cast("string"), F.lit(WORD)), F.lit(0)).cast("long")
     source = F.col(source_col).cast("string")
-    rows = docs.select(F.col(id_col).alias("doc_id"), source.alias("source"), size.alias("size"), F.when(source.isNull(), "n").otherwise(F.concat(F.lit("s"), source)).alias("skey"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), source.alias("source"), size.alias("size"), F.when(source.isNull(), "n").otherwise(F.concat(F.lit("s"), source)).alias("skey"), F.struct(*keep, F.lit(0).alias("__")).alias("kept"))
     if weights is None:
         rows = rows.withColumn("weight", F.lit(1.0))
     else:
@@ -78,7 +78,7 @@ def mix_sources(docs: DataFrame, weights: DataFrame | None = None, id_col: str =
     whole = dealt.where(~F.col("ends")).withColumn("taken", F.when(F.col("before") < F.col("budget"), (F.col("epochs") + 1) * F.col("size")).otherwise(F.col("epochs") * F.col("size")))
     within = F.sum("size").over(Window.partitionBy("skey", "bucket").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")
     ending = dealt.where("ends").withColumn("taken", part(F.col("before") + within))
-    return whole.union(ending).select("doc_id", "size", "source", "source_size", "target", F.col("taken").cast("long"))
+    return whole.union(ending).select("doc_id", "size", "source", "source_size", "target", F.col("taken").cast("long"), *[F.col(f"kept.{c}").alias(c) for c in keep])
 
 
 def op10(spark, sf_dir: str) -> DataFrame:

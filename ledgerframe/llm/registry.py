@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerframe.llm import decontaminate, language_id, line_dedup, media_ogg, mixing, secret_scan, sharding, simhash, substring_dedup
+from ledgerframe.llm import decontaminate, language_id, line_dedup, lm_scoring, media_ogg, mixing, secret_scan, sharding, simhash, substring_dedup
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_substring_dedup": substring_dedup.op1,
         "op2_line_dedup": line_dedup.op2,
+        "op3_lm_scoring": lm_scoring.op3,
         "op4_sharding": sharding.op4,
         "op5_simhash_neardup": simhash.op5,
         "op6_language_id": language_id.op6,
