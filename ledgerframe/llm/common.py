@@ -138,6 +138,15 @@ def shingle_hashes(words: np.ndarray, n: int) -> np.ndarray:
     return mix(total)
 
 
+def run_hashes(words: np.ndarray, n: int) -> np.ndarray:
+    """64-bit hashes of the runs of exactly n words; none if there are fewer."""
+    if len(words) < n:
+        return np.empty(0, np.uint64)
+    up, down = _POWERS.get(len(words) + 1)
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(words * up[: len(words)])))
+    return mix((sums[n:] - sums[:-n]) * down[: len(words) - n + 1])
+
+
 def dealt(keys: np.ndarray, records: np.ndarray, parts: int) -> list[tuple[int, bytes]]:
     """(part, records as bytes): records dealt by key to parts, so that equal keys meet; one entry for each part that gets any."""
     if not len(keys):
