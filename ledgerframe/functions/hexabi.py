@@ -7,6 +7,11 @@ from pyspark.sql import Column, functions as F
 _LIMB = 10**18
 
 
+def hex_to_magnitude(c: Column) -> Column:
+    """BIGINT of a hex quantity, its largest value beyond 63 bits; NULL for junk."""
+    return F.when(_significant(c).isNotNull(), F.coalesce(hex_to_long(c), F.lit(2**63 - 1)))
+
+
 def let(value: Column, then) -> Column:
     """then(value) with value computed once, however often `then` names it; keeps deep expressions small."""
     return F.get(F.transform(F.array(value), then), F.lit(0))
@@ -94,19 +99,21 @@ def abi_words(data: Column) -> Column:
 def abi_uint_array(digits: Column, k: int) -> Column:
     """The dynamic uint256 array that word k of ABI digits points to, as decimal strings.
 
-    Word k is an offset in bytes from the start, there stands the length and then the values. Values stop at the first
-    that is not whole; any bad offset or length gives an empty array. The length is clamped to the words there are.
+    Word k is an offset in bytes from the start (any, not only whole words), there stands the length and then the values.
+    Values stop at the first that is not whole or no hex; any bad offset or length gives an empty array. The length is
+    clamped to the words there are.
     """
     none = F.array().cast("array<string>")
-    have = F.floor(F.length(digits) / 64)
+    size = F.length(digits)
+    piece = lambda at: F.substr(digits, at + 1, F.lit(64))
 
     def values(b: Column) -> Column:
-        n = F.least(b["length"], b["have"] - b["at"] - 1).cast("int")
-        at = b["at"].cast("int")
-        return let(n, lambda n: F.when(n > 0, F.transform(F.sequence(at + 1, at + n), lambda i: hex_to_decimal_string(word_at(digits, i)))).otherwise(none))
+        n = F.least(b["length"], F.floor((size - b["at"] - 64) / 64)).cast("int")
+        every = lambda n: F.transform(F.sequence(F.lit(1), n), lambda i: hex_to_decimal_string(piece(b["at"] + 64 * i)))
+        whole = lambda xs: F.when(F.exists(xs, lambda x: x.isNull()), F.slice(xs, F.lit(1), F.array_position(F.transform(xs, lambda x: x.isNull()), True).cast("int") - 1)).otherwise(xs)
+        return let(n, lambda n: F.when(n > 0, let(every(n), whole)).otherwise(none))
 
     def bounds(offset: Column) -> Column:
-        at = offset / 32
-        return F.when((offset >= 0) & (offset % 32 == 0) & (at < have), let(at.cast("int"), lambda at: let(F.struct(have.alias("have"), at.alias("at"), hex_to_long(word_at(digits, at)).alias("length")), values))).otherwise(none)
+        return F.when((offset >= 0) & (offset <= (size - 64) / 2), let((offset * 2).cast("int"), lambda at: let(F.struct(at.alias("at"), hex_to_magnitude(piece(at)).alias("length")), values))).otherwise(none)
 
     return F.coalesce(let(hex_to_long(word_at(digits, k)), bounds), none)

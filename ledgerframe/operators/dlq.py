@@ -35,7 +35,7 @@ def _preview(payload: Column, depth: int) -> Column:
     return F.when(payload.startswith("{"), F.concat(F.lit("{"), F.array_join(inside, ","), F.lit("}"))).when(payload.startswith("["), F.concat(F.lit("["), F.array_join(listed, ","), F.lit("]"))).otherwise(plain)
 
 
-def summarize_payload(payload: Column, depth: int = 1) -> Column:
+def summarize_payload(payload: Column, depth: int = DEPTH) -> Column:
     """JSON text {"type", "size", "preview"} of a payload given as JSON text; {} for NULL; a summary stays as it is.
 
     Values inside nested containers are previewed to `depth` levels. A text that looks like JSON inside a container is

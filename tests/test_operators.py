@@ -1,0 +1,264 @@
+"""Golden cases and random round trips of the ledger operators."""
+
+import json
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerframe import contracts
+from ledgerframe.functions import hexabi
+from ledgerframe.operators import decode, dlq, enrich, errors, identity, metrics, parse, profiles, progress
+from ledgerframe.plans import entities
+
+
+def one(spark, column, **values):
+    kinds = {k: "string" for k in values}
+    df = spark.createDataFrame([tuple(values.values())], ", ".join(f"{k} {v}" for k, v in kinds.items())) if values else spark.range(1)
+    return df.select(column).first()[0]
+
+
+def test_hex_round_trip(spark):
+    rng = random.Random(7)
+    values = [rng.getrandbits(rng.randrange(1, 257)) for _ in range(500)] + [0, 1, 10**18 - 1, 10**18, 2**60 - 1, 2**60, 2**63 - 1, 2**63, 2**256 - 1]
+    df = spark.createDataFrame([(hex(x), str(x)) for x in values] + [("0x" + "0" * 80 + "ff", "255")], "h string, d string")
+    assert df.where(~hexabi.hex_to_decimal_string(F.col("h")).eqNullSafe(F.col("d"))).count() == 0
+    rows = df.select("d", hexabi.hex_to_long(F.col("h"))).collect()
+    assert all(r[1] == (int(r[0]) if int(r[0]) < 2**63 else None) for r in rows)
+    junk = spark.createDataFrame([(x,) for x in (None, "", "0x", "zz", "0x12zz", "-1", "0x1" + "0" * 64)], "h string")
+    assert all(r == (None, None) for r in junk.select(hexabi.hex_to_long(F.col("h")), hexabi.hex_to_decimal_string(F.col("h"))).collect())
+
+
+def word(x):
+    return f"{x:064x}"
+
+
+def plain_array(data, k):
+    body = (data or "0x")[2:]
+    head = body[64 * k : 64 * k + 64]
+    if len(head) < 64 or int(head, 16) * 2 + 64 > len(body):
+        return []
+    at = int(head, 16) * 2
+    out, n = [], int(body[at : at + 64], 16)
+    while len(out) < n:
+        at += 64
+        try:
+            one = int(body[at : at + 64], 16) if len(body) >= at + 64 else None
+        except ValueError:
+            one = None
+        if one is None:
+            break
+        out.append(str(one))
+    return out
+
+
+def test_abi_uint_array(spark):
+    rng = random.Random(3)
+    cases = [
+        "0x" + word(32) + word(2) + word(5) + word(2**255), "0x" + word(32) + word(5) + word(7), "0x" + word(32) + word(1) + "ab", "0x" + word(31) + word(1) + word(7), "0x" + word(2**64) + word(1),
+        "0x" + word(32) + word(2**255) + word(9), "0x", None, "0x" + word(0), "0x" + word(32) + word(3) + word(1) + "zz" + word(2)[2:] + word(3),
+    ]
+    cases += ["0x" + "".join(word(rng.choice((0, 1, 2, 32, 64, 33, rng.getrandbits(256)))) for _ in range(rng.randrange(7))) + "ab" * rng.randrange(3) for _ in range(60)]
+    df = spark.createDataFrame([(c,) for c in cases], "d string")
+    for k in (0, 1):
+        got = [r[0] for r in df.select(hexabi.abi_uint_array(hexabi.abi_digits(F.col("d")), k)).collect()]
+        assert got == [plain_array(c, k) for c in cases]
+
+
+def logs(spark, rows):
+    return spark.createDataFrame(rows, "transaction_hash string, log_index long, address string, data string, topics array<string>, transaction_index long, block_hash string, block_number long")
+
+
+def test_decode_kinds(spark):
+    a, b = "0x" + "0" * 24 + "a" * 40, "0x" + "0" * 24 + "b" * 40
+    rows = [
+        ("0x1", 0, "0xc", "0x" + word(77), [decode.TRANSFER.upper().replace("0X", "0x"), a, b]),
+        ("0x1", 1, "0xc", "0x", [decode.TRANSFER, a, b, "0x" + word(9)]),
+        ("0x1", 2, "0xc", "0x", [decode.TRANSFER, a]),
+        ("0x1", 3, "0xc", "0x", [decode.TRANSFER, a, b]),
+        ("0x1", 4, "0xc", "0x" + word(3) + word(4), [decode.SINGLE, a, a, b]),
+        ("0x1", 5, "0xc", "0x" + word(64) + word(160) + word(2) + word(1) + word(2) + word(2) + word(10) + word(20), [decode.BATCH + "0" * 56, a, a, b]),
+        ("0x1", 6, "0xc", "0x" + word(64) + word(160) + word(2) + word(1) + word(2) + word(1) + word(10), [decode.BATCH + "0" * 56, a, a, b]),
+        ("0x1", 7, "0xc", "0x", ["0x" + "9" * 64]),
+        ("0x1", 8, "0xc", "0x", []),
+        ("0x1", 9, "0xc", "0x", None),
+        (None, 10, "0xc", "0x" + word(1), [decode.TRANSFER, a, b]),
+    ]
+    got = decode.decode_token_transfers(logs(spark, [(*r, 0, "0xb", 5) for r in rows])).orderBy("log_index", "transfer_index").collect()
+    assert [(r["log_index"], r["transfer_type"], r["token_id"], r["amount"], r["transfer_index"]) for r in got] == [
+        (0, "erc20", None, "77", None), (1, "erc721", "9", "1", None), (2, "unknown", None, None, None), (3, "erc20", None, None, None), (4, "erc1155", "3", "4", None),
+        (5, "erc1155", "1", "10", 0), (5, "erc1155", "2", "20", 1), (10, "erc20", None, "1", None),
+    ]
+    assert got[0]["from_address"] == "0x" + "a" * 40 and got[0]["to_address"] == "0x" + "b" * 40 and got[4]["from_address"] == "0x" + "a" * 40
+    assert got[0]["id"] == "token_transfer_0x1_0" and got[6]["id"] == "token_transfer_0x1_5_1" and got[0]["source_log_id"] == "log_0x1_0" and got[7]["id"] is None
+
+
+def test_names_of_either_kind(spark):
+    df = spark.createDataFrame([("0x1", "7", "12", ["a"])], "transactionHash string, logIndex string, blockNumber string, topics array<string>")
+    r = parse.coalesce_names(df).first()
+    assert (r["transaction_hash"], r["log_index"], r["block_number"]) == ("0x1", 7, 12)
+
+
+def test_block_defaults(spark):
+    block = {"number": "0x1", "hash": "0xa", "parentHash": "0x0", "size": None, "transactions": ["0x1", "0x2"], "withdrawals": [{"index": "0x1"}]}
+    r = parse.parse_blocks(spark.createDataFrame([(1, json.dumps(block))], "cursor long, result string")).first()
+    assert r["size"] is None and r["difficulty"] == "0" and r["gas_used"] == 0 and r["transaction_count"] == 2 and json.loads(r["withdrawals"]) == [{"index": "0x1"}] and r["base_fee_per_gas"] is None
+
+
+def test_deep_call_tree(spark):
+    call = {"type": "CALL", "value": "0x1"}
+    for _ in range(9):
+        call = {"type": "CALL", "from": "0xf", "calls": [{"type": "STATICCALL"}, call]}
+    raw = spark.createDataFrame([(5, json.dumps([{"txHash": "0xt", "result": call}, {"txHash": "0xu", "result": None}, {"transactionHash": "0xw", "result": {"type": "CREATE"}}]))], "cursor long, result string")
+    rows = {r["trace_id"]: r for r in parse.parse_traces(raw, "debug_trace").collect()}
+    assert len(rows) == 20 and rows["0xt_root"]["subtraces"] == 2 and rows["0xw_root"]["call_type"] == "CREATE"
+    deep = rows["0xt_" + "_".join("1" * 9)]
+    assert deep["depth"] == 9 and deep["value"] == "1" and deep["parent_trace_id"] == "0xt_" + "_".join("1" * 8)
+    with pytest.raises(ValueError):
+        parse.parse_traces(raw, "other")
+
+
+def test_enrichment(spark):
+    tx = spark.createDataFrame([("0x1", 1), (None, 2), ("0x3", 3)], "hash string, block_number long")
+    receipts = spark.createDataFrame([("0x1", 0, 1, 21000), ("0x1", 1, 0, 5), (None, 0, 1, 1)], "transaction_hash string, transaction_index long, status long, gas_used long")
+    out = {r["block_number"]: r for r in enrich.enrich_transactions(tx, receipts).collect()}
+    assert len(out) == 3 and out[1]["receipt_gas_used"] == 5 and out[2]["receipt_status"] is None and "transaction_hash" not in out[1].asDict()
+    rows = spark.createDataFrame([(1, "mine", 7), (9, "mine", 7)], "block_number long, block_hash string, block_timestamp long")
+    blocks = spark.createDataFrame([(1, "0xb", None)], "number long, hash string, timestamp long")
+    got = {r["block_number"]: (r["block_hash"], r["block_timestamp"]) for r in enrich.inject_block_context(rows, blocks).collect()}
+    assert got == {1: ("0xb", None), 9: ("mine", 7)}
+
+
+def state(spark, rows):
+    return spark.createDataFrame([("p", c, s, t) for c, s, t in rows], "identity string, cursor long, status string, updated_at_ms long")
+
+
+def mark(spark, rows, initial=99, **kw):
+    return progress.contiguous_watermark(state(spark, rows), initial, **kw).first()["watermark"]
+
+
+def test_watermark_cases(spark):
+    assert mark(spark, [(100, "completed", 1), (102, "completed", 1)]) == 100
+    assert mark(spark, [(100, "completed", 1), (102, "completed", 1), (101, "completed", 2)]) == 102
+    assert mark(spark, [(100, "failed", 1), (101, "completed", 1)]) == 99
+    assert mark(spark, [(7, "completed", 1), (8, "completed", 1)], None) == 8
+    assert mark(spark, [(7, "failed", 1)], None) is None
+    assert mark(spark, [(c, "completed", 1) for c in range(100, 120)], block=5) == 119
+    assert mark(spark, [(c, "completed", 1) for c in range(100, 110)], block=5) == 109
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_watermark_by_blocks(spark, seed):
+    rng = random.Random(seed)
+    rows = [(i, c) for i in range(30) for c in range(10, 10 + rng.randrange(1, 25)) if rng.random() > 0.06]
+    df = spark.createDataFrame([(f"i{i}", c, "completed") for i, c in rows], "identity string, cursor long, status string")
+    got = {r["identity"]: r["watermark"] for r in progress.contiguous_watermark(df, 9, block=4).collect()}
+    for i in {i for i, _ in rows}:
+        have, c = {c for j, c in rows if j == i}, 9
+        while c + 1 in have:
+            c += 1
+        assert got[f"i{i}"] == c
+
+
+def test_merge_and_gaps(spark):
+    current, repair = state(spark, [(100, "failed", 5), (101, "completed", 5)]), state(spark, [(100, "completed", 6), (98, "completed", 6)])
+    marks = spark.createDataFrame([("p", 99)], "identity string, watermark long")
+    merged = progress.merge_state(current, repair, marks)
+    assert {(r["cursor"], r["status"]) for r in merged.collect()} == {(100, "completed"), (101, "completed")}
+    assert progress.contiguous_watermark(merged, 99).first()["watermark"] == 101
+    g = progress.gap_metrics(current, marks, F.lit(105)).first()
+    assert (g["commit_cursor"], g["gap_count"], g["oldest_gap"], g["commit_delay"]) == (99, 1, 100, 6)
+
+
+def test_heads_and_resume(spark):
+    heads = spark.createDataFrame([(1, 105), (2, 105), (3, 106), (4, 107)], "seq long, head long")
+    assert [r["cursor"] for r in progress.emit_cursors(heads, 103).orderBy("cursor").collect()] == [103, 104, 105, 106, 107]
+    assert [r["cursor"] for r in progress.emit_cursors(heads).orderBy("cursor").collect()] == [105, 106, 107]
+    assert progress.emit_cursors(heads, 110).count() == 0
+    assert [r["cursor"] for r in progress.cursor_range(spark, 10, 12).collect()] == [10, 11, 12]
+    assert progress.resume_plan("backfill", 10, 12) == 13 and progress.resume_plan("backfill", 20, 12) == 20 and progress.resume_plan("realtime", "checkpoint", None) == "chainhead"
+    assert progress.resume_plan("realtime", "checkpoint", 12) == 13 and progress.resume_plan("realtime", "latest", 12) == "chainhead" and progress.resume_plan("realtime", 5, 12) == 5
+    assert progress.infer_mode(None) == "realtime" and progress.infer_mode(7) == "backfill" and progress.final_status("backfill") == "eos" and progress.final_status("realtime") == "running"
+    lag = spark.createDataFrame([(1, 12, 20)], "seq long, cursor long, head long")
+    assert progress.ingestion_lag(lag, end=20).first()["ingestion_lag"] == 8
+
+
+def test_retry_values(spark):
+    assert spark.range(1).select(dlq.next_retry_at(F.lit(3), 1000, 0)).first()[0] == 4000
+    df = spark.createDataFrame([(0, 3, 1, "pending", None, None, None), (2, 3, 2, "retrying", None, None, None)], "retry_count long, max_retry long, id long, status string, next_retry_at long, last_attempt_at long, ingest_timestamp long")
+    out = {r["id"]: r for r in dlq.retry_transition(df, 1000, 5000).collect()}
+    assert (out[1]["next_retry_at"], out[1]["status"]) == (6000, "retrying") and (out[2]["status"], out[2]["next_retry_at"]) == ("failed", None)
+    assert {r["status"] for r in dlq.resolve_transition(df, 9).collect()} == {"resolved"}
+
+
+@pytest.mark.parametrize(
+    ("payload", "want"),
+    [
+        (None, {}),
+        ([1] * 20, {"type": "list", "size": 20, "preview": [1, 1, 1]}),
+        ({"a": "x" * 600, "b": {"c": list(range(9))}}, {"type": "dict", "size": 2, "preview": {"a": "x" * 512 + "...", "b": {"c": [0, 1, 2]}}}),
+        ({f"k{i:02}": i for i in range(14)}, {"type": "dict", "size": 14, "preview": {f"k{i:02}": i for i in range(10)}}),
+        ("hello", {"type": "str", "size": 5, "preview": "hello"}),
+        ({"type": "list", "size": 3}, {"type": "list", "size": 3}),
+        (7, {"type": "int", "preview": 7}),
+    ],
+)
+def test_payload_summaries(spark, payload, want):
+    got = one(spark, dlq.summarize_payload(F.col("p")), p=None if payload is None else json.dumps(payload, separators=(",", ":")))
+    assert json.loads(got) == want
+
+
+def test_rpc_errors(spark):
+    def error(message, cause=()):
+        return json.dumps({"code": -32603, "message": message, "data": {"code": "E", "details": {"networkId": "evm:56", "durationMs": 4}, "cause": list(cause)}})
+
+    bad = {"code": "ErrUpstreamBlockUnavailable", "details": {"latestBlock": 10, "finalizedBlock": 8}}
+    rows = [(1, "m", error("x", [bad, {"code": "E", "cause": bad | {"details": {"latestBlock": 12}}}])), (2, "m", error("UPSTREAM does not have the requested block yet")), (3, "m", error("reverted"))]
+    out = {r["cursor"]: r for r in errors.classify_rpc_error(spark.createDataFrame(rows, "cursor long, method string, error string")).collect()}
+    assert [out[i]["not_ready"] for i in (1, 2, 3)] == [True, True, False]
+    assert (out[1]["not_ready_upstreams"], out[1]["min_latest_cursor"], out[1]["max_latest_cursor"], out[1]["min_finalized_cursor"]) == (2, 10, 12, 8)
+    assert out[3]["network_id"] == "evm:56" and out[3]["summary"] == "rpc_response_error(method=m, code=-32603, message=reverted, cursor=3)"
+
+
+def test_parse_failures(spark):
+    good = {"number": "0x1", "hash": "0xa", "parentHash": "0x0"}
+    rows = [(1, json.dumps(good)), (2, json.dumps({"number": "0x1", "hash": None})), (3, "[]"), (4, None), (5, "nonsense")]
+    out = {r["cursor"]: r["error_message"] for r in errors.parse_failures(spark.createDataFrame(rows, "cursor long, result string"), "block").collect()}
+    assert out == {2: "missing hash,parentHash", 3: "wrong shape", 4: "wrong shape", 5: "wrong shape"}
+
+
+def test_plan_time_rules(spark):
+    assert entities.resolve_entities(["token_transfer"]) == ["block", "receipt", "log"]
+    assert entities.resolve_entities(["transaction"]) == ["block", "transaction", "receipt"]
+    assert entities.sink_entities(["Trace", "receipt", "block"]) == ["block", "trace"]
+    assert [m for m, _, _ in entities.request_kinds(["log", "receipt"])] == ["eth_getBlockByNumber", "eth_getBlockReceipts"]
+    assert entities.state_topic("a.b.c.commit_watermark") == "a.b.c.cursor_state" and entities.state_topic("own") == "own.cursor_state"
+    name = identity.pipeline_name(F.lit("BSC"), F.lit("main-net"), F.lit("backfill"), F.lit(5), F.lit("latest"))
+    assert spark.range(1).select(name).first()[0] == "bsc_main_net_backfill_5_chainhead"
+    key = identity.identity_key(F.lit("pipe"), F.lit("sui:mainnet"), F.lit("sui"), F.lit("mainnet"), F.lit("backfill"), F.array(F.lit("transaction"), F.lit("checkpoint")))
+    assert spark.range(1).select(key).first()[0] == "pipeline=pipe|chain=sui:mainnet|network=mainnet|mode=backfill|unit=checkpoint|entities=checkpoint,transaction"
+
+
+def test_profiles(spark):
+    with pytest.raises(ValueError):
+        profiles.profiles(spark, [*profiles.PROFILES, ("BSC ", "mainnet", "x", "y", 1.0)])
+    with pytest.raises(Exception, match="unknown chain profile"):
+        profiles.chain_profile(spark.createDataFrame([("no", "mainnet")], "chain string, network string")).collect()
+
+
+def test_proto3_read_back(spark):
+    df = spark.createDataFrame([(None, None, None, None), ("e", 5, '{"a":1}', ["x"])], "error string, next_retry_at long, payload string, topics array<string>")
+    seen = contracts.proto3_defaults(df)
+    assert seen.first().asDict() == {"error": "", "next_retry_at": 0, "payload": "", "topics": []}
+    back = contracts.from_proto3(seen, json=("payload",)).collect()
+    assert (back[0]["error"], back[0]["next_retry_at"], back[0]["payload"]) == (None, None, "{}") and back[1]["payload"] == '{"a":1}'
+    odd = contracts.from_proto3(spark.createDataFrame([("not json",)], "payload string"), json=("payload",)).first()[0]
+    assert json.loads(odd) == {"raw": "not json"}
+    loose = contracts.conform(spark.createDataFrame([("1", "solo", "x")], "log_index string, topics string, block_number string"), contracts.LOG).first()
+    assert loose["log_index"] == 1 and loose["topics"] == ["solo"] and loose["block_number"] is None and list(loose.asDict()) == [f.name for f in contracts.LOG]
+
+
+def test_percentile_floor(spark):
+    df = spark.createDataFrame([("a", float(x)) for x in (5, 1, 1, 9)] + [("b", None)], "k string, x double")
+    got = {r["percent"]: r["value"] for r in metrics.percentile_floor(df, "x", [0, 50, 99, 100], ["k"]).collect()}
+    assert got == {0: 1.0, 50: 5.0, 99: 9.0, 100: 9.0}
