@@ -88,7 +88,7 @@ def shard_rows(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", text_c
     depth = max(0, -(-narrow.count() // block_rows) - 1).bit_length()
     block = F.pmod(hashed(0), F.lit(1 << depth)).alias("block")
     matrix = communication_matrix(narrow.groupBy(block).agg(F.count("*").alias("n")), depth, shards, seed)
-    ends = matrix.selectExpr("block", f"transform(sequence(1, {shards}), j -> aggregate(slice(counts, 1, j), 0L, (a, c) -> a + c)) AS ends")
+    ends = cut(matrix.selectExpr("block", f"transform(sequence(1, {shards}), j -> aggregate(slice(counts, 1, j), 0L, (a, c) -> a + c)) AS ends"))
     ties = ("doc_id", "size", "text_crc32")
 
     def placed(df: DataFrame) -> DataFrame:
