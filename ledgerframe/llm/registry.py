@@ -25,4 +25,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_decontamination": decontaminate.OP9_SQL, "op10_mixing": mixing.OP10_SQL}
+    return {"op8_secret_scan": secret_scan.OP8_SQL, "op9_decontamination": decontaminate.OP9_SQL, "op10_mixing": mixing.OP10_SQL}

@@ -111,3 +111,28 @@ def op8(spark, sf_dir: str) -> DataFrame:
     count = lambda kind: F.size(F.filter("found", lambda m: m["kind"] == kind)).cast("long")
     base = said(F.filter("found", lambda m: m["kind"] < 3))
     return found.select("doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"), F.sha2(base, 256).alias("base_sha256"), said(F.col("found")).alias("spans"))
+
+
+def _matches_sql(kind: int, pattern: str, group: int = 0) -> str:
+    """Rows (rid, kind, s, x, g) of a pattern's matches: texts between matches and matches, added up, give the places."""
+    p = pattern.replace("'", "''")
+    return f"""SELECT rid, {kind} AS kind, (list_sum(list_transform(list_slice(ps, 1, i), lambda x: length(x))) + coalesce(list_sum(list_transform(list_slice(ms, 1, i - 1), lambda x: length(x))), 0))::BIGINT AS s, ms[i] AS x, gs[i] AS g
+      FROM (SELECT rid, ms, ps, gs, unnest(range(1, len(ms) + 1)) AS i FROM (SELECT rid, regexp_extract_all(t, '{p}') AS ms, string_split_regex(t, '{p}') AS ps, regexp_extract_all(t, '{p}', {group}) AS gs FROM docs) WHERE len(ms) > 0)"""
+
+
+def _allow_sql() -> str:
+    plain = " OR ".join(f"regexp_matches(x, '{p}')" for p in ALLOW if "\\1" not in p)
+    return f"({plain} OR len(list_filter(range(1, length(x) - 6), lambda i: substr(x, i, 8) = repeat(substr(x, i, 1), 8))) > 0)"
+
+
+OP8_SQL = f"""
+WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+base AS (SELECT rid, kind, s, s + length(x) AS e FROM ({_matches_sql(0, ASSIGN, 1)} UNION ALL {_matches_sql(1, ACCESS)} UNION ALL {_matches_sql(2, HEX)}) WHERE kind > 0 OR length(g) >= 8),
+cand AS (SELECT rid, s, x, CASE WHEN regexp_full_match(x, '[0-9a-fA-F]+') THEN {LEAST_BITS['hex']} WHEN regexp_full_match(x, '[A-Za-z0-9]+') THEN {LEAST_BITS['alnum']} ELSE {LEAST_BITS['symbol']} END::DOUBLE AS bits
+  FROM ({_matches_sql(3, CANDIDATE)}) WHERE regexp_matches(x, '[0-9]') AND regexp_matches(x, '[A-Za-z]') AND NOT {_allow_sql()}),
+wins AS (SELECT rid, s, i, bits, list_sum(list_transform(map_values(list_histogram(string_split(substr(x, i + 1, {WINDOW}), ''))), lambda n: n * log2(n))) AS total FROM (SELECT *, unnest(range(0, length(x) - {WINDOW - 1})) AS i FROM cand)),
+more AS (SELECT rid, 3 AS kind, s + min(i) AS s, s + max(i) + {WINDOW} AS e FROM wins WHERE total <= {WINDOW} * (log2({WINDOW}) - bits) GROUP BY rid, s),
+spans AS (SELECT *, (['{"', '".join(KINDS)}'])[kind + 1] || ':' || s || ':' || e AS said FROM (SELECT * FROM base UNION ALL SELECT * FROM more)),
+per AS (SELECT rid, count(*) FILTER (kind = 0) AS a, count(*) FILTER (kind = 1) AS b, count(*) FILTER (kind = 2) AS c, string_agg(said, ',' ORDER BY s, kind, e) FILTER (kind < 3) AS base, string_agg(said, ',' ORDER BY s, kind, e) AS spans FROM spans GROUP BY rid)
+SELECT doc_id, coalesce(a, 0)::BIGINT AS n_assign, coalesce(b, 0)::BIGINT AS n_access, coalesce(c, 0)::BIGINT AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM docs LEFT JOIN per USING (rid)
+"""
