@@ -20,34 +20,51 @@ from ledgerframe.llm.common import cut, dealt, gathered, mix, runs_of, span_hash
 NUM, DEN = 4, 5
 #: Word buckets of the rarity table, which is broadcast: 2^18 counts of 8 bytes.
 BUCKETS = 1 << 18
-#: Prefix words, about, that one reducing task holds at once.
-PART_ROWS = 800_000
-_ROW = np.dtype([("token", "u8"), ("set", "u8"), ("bits", "u8"), ("doc", "i8"), ("line", "i4"), ("n", "i4"), ("at", "i4")])
-
-
-def line_tokens(text: str) -> tuple[np.ndarray, np.ndarray, int]:
-    """(words, lines, n_lines): the hash and the line number of each word of text, A-Z lower-cased; lines end at newlines only."""
-    data = text.encode("utf-8", "surrogatepass").lower()
+#: Prefix words, about, that one reducing task holds at once, and bytes of text that are hashed at once.
+PART_ROWS, CHUNK = 300_000, 400_000
+#: Bits, at most, of a filter that is broadcast (16 MB); it has 16 for each key where that is less.
+FILTER_BITS = 1 << 27
+_ROW = np.dtype([("set", "u8"), ("bits", "u8"), ("doc", "i8"), ("token", "u4"), ("line", "u4"), ("n", "u2"), ("at", "u2")])
+#: Sizes and ranks of this and more are not told apart; the filters let such sets pass.
+_LARGE = 65_535
+
+
+def chunks(batches: Iterator[pd.DataFrame], column: str = "text") -> Iterator[tuple[pd.DataFrame, list[bytes]]]:
+    """Rows with their lower-cased bytes, about CHUNK bytes of them at once."""
+    for batch in batches:
+        texts = [t.encode("utf-8", "surrogatepass").lower() for t in batch[column]]
+        at, size = 0, 0
+        for k, text in enumerate(texts):
+            size += len(text)
+            if size >= CHUNK or k == len(texts) - 1:
+                yield batch.iloc[at : k + 1], texts[at : k + 1]
+                at, size = k + 1, 0
+
+
+def line_tokens(data: bytes) -> tuple[np.ndarray, np.ndarray, int]:
+    """(words, lines, n_lines): the hash and the line number of each word; lines end at newlines only."""
     starts, ends = word_spans(data)
     breaks = np.flatnonzero(np.frombuffer(data, np.uint8) == 10)
     return span_hashes(data, starts, ends), np.searchsorted(breaks, starts), len(breaks) + 1
 
 
-def line_sets(text: str, counts: np.ndarray) -> dict[str, np.ndarray]:
+def line_sets(data: bytes, ranks: np.ndarray) -> dict[str, np.ndarray]:
     """The lines' word sets, one row per distinct word of a line, rarest first: token, line, at (its rank), n (the set's size), set, bits.
 
     set is a hash of the whole set, bits holds the parity of its words in 64 places: sets differ in at least as many words
-    as their bits do in places.
+    as their bits do in places. first says where each line with words starts.
     """
-    words, lines, n_lines = line_tokens(text)
-    rank = counts[(words & np.uint64(BUCKETS - 1)).astype(np.intp)]
+    words, lines, n_lines = line_tokens(data)
+    rank = ranks[(words & np.uint64(BUCKETS - 1)).astype(np.intp)]
+    order = None
     if n_lines < 1 << 20:  # one key for line, rank and most of the word; words that it can't tell apart are rare
         key = (lines.astype(np.uint64) << np.uint64(44)) | (rank << np.uint64(32)) | (words >> np.uint64(32))
         order = np.argsort(key)
         key = key[order]
-        same = key[1:] == key[:-1]
-    if n_lines >= 1 << 20 or np.any(same & (words[order[1:]] != words[order[:-1]])):
-        order = np.lexsort((words, rank, lines))
+        if np.any((key[1:] == key[:-1]) & (words[order[1:]] != words[order[:-1]])):
+            order = None
+    if order is None:
+        order = np.lexsort((words, words >> np.uint64(32), rank, lines))
     words, lines = words[order], lines[order]
     new = np.concatenate(([True], (words[1:] != words[:-1]) | (lines[1:] != lines[:-1]))) if len(words) else np.empty(0, bool)
     words, lines = words[new], lines[new]
@@ -77,9 +94,9 @@ def word_counts(docs: DataFrame) -> tuple[np.ndarray, int]:
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(BUCKETS, np.int64)
-        for batch in batches:
-            words = [line_tokens(text)[0] for text in batch["text"]]
-            total += np.bincount((np.concatenate(words) & np.uint64(BUCKETS - 1)).astype(np.intp), minlength=BUCKETS) if words else 0
+        for _, texts in chunks(batches):
+            words = line_tokens(b"\n".join(texts))[0]
+            np.add.at(total, (words & np.uint64(BUCKETS - 1)).astype(np.intp), 1)
         at = np.flatnonzero(total)
         yield pd.DataFrame({"bucket": at.astype(np.int32), "n": total[at]})
 
@@ -90,28 +107,84 @@ def word_counts(docs: DataFrame) -> tuple[np.ndarray, int]:
     return np.minimum(np.log2(1 + out) * 64, 4095).astype(np.uint64), int(out.sum())
 
 
-def prefixes(docs: DataFrame, counts, parts: int) -> DataFrame:
-    """(part, blob): a row for each prefix word of each line, dealt by word."""
+class Filter:
+    """A set of 64-bit keys as bits of a bounded number of places: it may hold more than was asked for, never less."""
+
+    def __init__(self, held: np.ndarray) -> None:
+        self.held, self.mask = held, np.uint64(len(held) * 8 - 1)
+
+    def has(self, keys: np.ndarray) -> np.ndarray:
+        at = keys & self.mask
+        return (self.held[(at >> np.uint64(3)).astype(np.intp)] >> (at & np.uint64(7)).astype(np.uint8) & np.uint8(1)).astype(bool)
+
+
+def key_filter(keys: DataFrame) -> Filter:
+    """A Filter of keys(key); its bits are gathered by place, so what reaches the driver is bounded by its size."""
+    n = keys.count()
+    size = min(FILTER_BITS, max(1 << 16, 1 << (16 * n - 1).bit_length() if n else 0))
+    place = F.col("key").bitwiseAND(F.lit(size - 1))
+    words = keys.groupBy(F.shiftright(place, 6).alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(key & 63 AS INT))")).alias("bits"))
+    held = np.zeros(size // 64, np.int64)
+    for r in words.toLocalIterator():
+        held[r["at"]] = r["bits"]
+    return Filter(held.view(np.uint8))
+
+
+def some_lines(data: bytes, wanted) -> tuple[bytes, np.ndarray]:
+    """The lines of data that wanted(line numbers, starts, ends) picks, as text, and their numbers."""
+    breaks = np.flatnonzero(np.frombuffer(data, np.uint8) == 10)
+    starts, ends = np.concatenate(([0], breaks + 1)), np.append(breaks, len(data))
+    keep = np.flatnonzero(wanted(len(starts), starts, ends))
+    return b"\n".join(data[a:b] for a, b in zip(starts[keep].tolist(), ends[keep].tolist(), strict=True)), keep
+
+
+def places(batch: pd.DataFrame, texts: list[bytes], line: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(doc, line within it) of line numbers of texts joined by newlines."""
+    ends = np.cumsum([t.count(b"\n") + 1 for t in texts])
+    doc = np.searchsorted(ends, line, side="right")
+    return batch["doc"].to_numpy(np.int64)[doc], line - np.concatenate(([0], ends))[doc]
+
+
+def place_key(doc: np.ndarray, line: np.ndarray) -> np.ndarray:
+    return mix(mix(doc.astype(np.int64).view(np.uint64)) + line.astype(np.uint64))
+
+
+def prefixes(docs: DataFrame, ranks, parts: int, only=None) -> DataFrame:
+    """(part, blob): a row for each prefix word of each line, dealt by word; with only (a Filter), just words that pass it."""
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[np.ndarray] = []
+        held: list[tuple[np.ndarray, np.ndarray]] = []
 
         def flush() -> pd.DataFrame:
-            rows = np.concatenate(held)
+            tokens, rows = (np.concatenate([x[k] for x in held]) for k in (0, 1))
             held.clear()
-            return pd.DataFrame(dealt(rows["token"], rows, parts), columns=["part", "blob"])
-
-        for batch in batches:
-            for doc, text in zip(batch["doc"], batch["text"], strict=True):
-                found = line_sets(text, counts.value)
-                keep = found["at"] < prefix_length(found["n"])
-                rows = np.empty(int(keep.sum()), _ROW)
-                for name in ("token", "set", "bits", "line", "n", "at"):
-                    rows[name] = found[name][keep]
-                rows["doc"] = doc
-                held.append(rows)
-                if sum(map(len, held)) > 250_000:
-                    yield flush()
+            return pd.DataFrame(dealt(tokens, rows, parts), columns=["part", "blob"])
+
+        for batch, texts in chunks(batches):
+            data, lines = b"\n".join(texts), None
+            if only is not None:
+
+                def with_words(n: int, starts: np.ndarray, ends: np.ndarray, data=data) -> np.ndarray:
+                    words, line, _ = line_tokens(data)
+                    hit = np.zeros(n, bool)
+                    hit[line[only.value.has(words)]] = True
+                    return hit
+
+                data, lines = some_lines(data, with_words)
+                if not len(lines):
+                    continue
+            found = line_sets(data, ranks.value)
+            keep = found["at"] < prefix_length(found["n"])
+            if only is not None:
+                keep &= only.value.has(found["token"])
+            line = found["line"][keep] if lines is None else lines[found["line"][keep]]
+            rows = np.empty(len(line), _ROW)
+            rows["doc"], rows["line"] = places(batch, texts, line)
+            rows["set"], rows["bits"], rows["token"] = found["set"][keep], found["bits"][keep], found["token"][keep] >> np.uint64(32)
+            rows["n"], rows["at"] = np.minimum(found["n"][keep], _LARGE), np.minimum(found["at"][keep], _LARGE)
+            held.append((found["token"][keep], rows))
+            if sum(len(x) for x, _ in held) > 150_000:
+                yield flush()
         if held:
             yield flush()
 
@@ -123,82 +196,107 @@ def filtered(rows: np.ndarray, early: np.ndarray, late: np.ndarray) -> np.ndarra
     n, m = rows["n"][early].astype(np.int64), rows["n"][late].astype(np.int64)
     need = least_overlap(n, m)
     left = np.minimum(n - rows["at"][early], m - rows["at"][late])
-    return (DEN * np.minimum(n, m) >= NUM * np.maximum(n, m)) & (left >= need) & (np.bitwise_count(rows["bits"][early] ^ rows["bits"][late]) <= n + m - 2 * need)
+    large = np.maximum(n, m) >= _LARGE
+    return large | (DEN * np.minimum(n, m) >= NUM * np.maximum(n, m)) & (left >= need) & (np.bitwise_count(rows["bits"][early] ^ rows["bits"][late]) <= n + m - 2 * need)
+
+
+_PAIR = "late long, early long, late_doc long, late_line int, early_doc long, early_line int, far int, more int"
 
 
-_PAIR = "late long, early long, late_doc long, late_line int, early_doc long, early_line int, passed int"
+def _frame(late: np.ndarray, early: np.ndarray | None, far, more) -> pd.DataFrame:
+    signed = lambda x: x.astype(np.uint64).view(np.int64)
+    early = late if early is None else early
+    return pd.DataFrame({"late": signed(late["set"]), "early": signed(early["set"]), "late_doc": late["doc"], "late_line": late["line"], "early_doc": early["doc"], "early_line": early["line"], "far": far, "more": more})
 
 
 def occurrences(rows: np.ndarray) -> pd.DataFrame:
-    """A row of each line, in the shape of candidates(): late is its set, late_doc and late_line its place, passed 1 if no line of that set is earlier."""
+    """A row of each line, in the shape of candidates(): far is -1, more is 1 if no line of that set is earlier."""
     rows = rows[rows["at"] == 0]
     rows = rows[np.lexsort((rows["line"], rows["doc"], rows["set"]))]
     first = runs_of(rows["set"])[0] == np.arange(len(rows))
-    return pd.DataFrame({"late": rows["set"].astype(np.uint64).view(np.int64), "early": None, "late_doc": rows["doc"], "late_line": rows["line"], "early_doc": None, "early_line": None, "passed": first.astype(np.int32)}).astype({"early": "Int64", "early_doc": "Int64", "early_line": "Int32"})
+    return _frame(rows, None, np.full(len(rows), -1, np.int32), first.astype(np.int32))
 
 
 def candidates(rows: np.ndarray, wanted: np.ndarray | None = None) -> pd.DataFrame:
     """Pairs of sets, later and earlier by first occurrence, that share a prefix word and pass the filters.
 
-    Without wanted, a later set gets two of its earlier ones for each word: the first, and the one whose bits are nearest;
-    passed says how many more there are. With wanted (set hashes), those sets get all of theirs.
+    Without wanted, a later set whose nearest candidate by bits is clearly similar gets that one for each word (far is 0, more
+    says how many others pass), and one whose nearest is in doubt gets all of its own (far is above 0). With wanted (set
+    hashes), those sets get all of theirs.
     """
+    rows = rows[np.argsort(rows["token"], kind="stable")]
+    start, end = runs_of(rows["token"])
+    rows = rows[end - start > 1]
+    rows = rows[np.lexsort((rows["line"], rows["doc"], rows["at"], rows["set"], rows["token"]))]
+    if len(rows):
+        rows = rows[np.concatenate(([True], (rows["token"][1:] != rows["token"][:-1]) | (rows["set"][1:] != rows["set"][:-1]) | (rows["at"][1:] != rows["at"][:-1])))]
     rows = rows[np.lexsort((rows["set"], rows["line"], rows["doc"], rows["token"]))]
-    _, index = np.unique(rows[["token", "set"]], return_index=True)
-    rows = rows[np.sort(index)]
     _, end = runs_of(rows["token"])
-    active = np.arange(len(rows))
-    asked = np.ones(len(rows), bool) if wanted is None else np.isin(rows["set"], wanted)
-    first, nearest, passed = np.full(len(rows), -1), np.full(len(rows), -1), np.zeros(len(rows), np.int32)
-    gap = np.full(len(rows), 1 << 30)
-    every, k = [], 0
-    while len(active):
-        k += 1
-        active = active[active + k < end[active]]
-        early = active[asked[active + k]]
-        early = early[filtered(rows, early, early + k)]
-        late = early + k
-        if wanted is not None:
-            every.append((late, early))
-            continue
+    asked = np.zeros(len(rows), bool) if wanted is None else np.isin(rows["set"], wanted)
+    nearest, passed, gap = np.full(len(rows), -1), np.zeros(len(rows), np.int32), np.full(len(rows), 1 << 30)
+
+    def passing(ask: np.ndarray | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(late, early) rows of one word that pass, by distance within the group."""
+        active, k = np.flatnonzero(np.arange(len(rows)) + 1 < end), 0
+        while len(active):
+            k += 1
+            active = active[active + k < end[active]]
+            early = active if ask is None else active[ask[active + k]]
+            early = early[filtered(rows, early, early + k) & (rows["set"][early] != rows["set"][early + k])]
+            if len(early):
+                yield early + k, early
+
+    def every(ask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        found = list(passing(ask)) if ask.any() else []
+        return tuple(np.concatenate([x[i] for x in found]) if found else np.empty(0, np.int64) for i in (0, 1))
+
+    if wanted is not None:
+        late, early = every(asked)
+        return _frame(rows[late], rows[early], np.zeros(len(late), np.int32), np.zeros(len(late), np.int32))
+    for late, early in passing(None):
         passed[late] += 1
-        first[late] = early
-        far = np.bitwise_count(rows["bits"][early] ^ rows["bits"][late]).astype(np.int64) * 1000 + np.abs(rows["n"][early] - rows["n"][late])
+        far = np.bitwise_count(rows["bits"][early] ^ rows["bits"][late]).astype(np.int64)
         near = far < gap[late]
         gap[late[near]], nearest[late[near]] = far[near], early[near]
-    if wanted is None:
-        some = np.flatnonzero(first >= 0)
-        two = some[first[some] != nearest[some]]
-        passed[some] -= 1
-        passed[two] -= 1
-        late, early = np.concatenate((some, two)), np.concatenate((first[some], nearest[two]))
-    else:
-        late, early = (np.concatenate([x[i] for x in every]) if every else np.empty(0, np.int64) for i in (0, 1))
-    a, b = rows[late], rows[early]
-    return pd.DataFrame({
-        "late": a["set"].astype(np.uint64).view(np.int64),
-        "early": b["set"].astype(np.uint64).view(np.int64), "late_doc": a["doc"], "late_line": a["line"], "early_doc": b["doc"], "early_line": b["line"], "passed": passed[late],
-    })
+    some = np.flatnonzero(nearest >= 0)
+    n, m = rows["n"][some].astype(np.int64), rows["n"][nearest[some]].astype(np.int64)
+    doubt = 10 * gap[some] > 7 * (n + m - 2 * least_overlap(n, m))
+    asked[some[doubt]] = True
+    late, early = every(asked)
+    clear = some[~doubt]
+    far = np.concatenate((np.zeros(len(clear), np.int32), 1 + np.bitwise_count(rows["bits"][early] ^ rows["bits"][late]).astype(np.int32)))
+    more = np.concatenate((passed[clear] - 1, np.zeros(len(late), np.int32)))
+    return _frame(rows[np.concatenate((clear, late))], rows[np.concatenate((nearest[clear], early))], far, more)
 
 
 def with_sets(docs: DataFrame, wanted: DataFrame, ranks) -> DataFrame:
-    """(set, words, prefix): the sorted words of the lines wanted(set, doc, line), and the prefix words, as bytes."""
-    per = wanted.groupBy("doc").agg(F.collect_list(F.struct("line", "set")).alias("lines"))
+    """(set, words, prefix): the sorted words of the sets wanted(set, doc, line), and the prefix words, as bytes.
 
-    def pick(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    Lines are picked in a pass over the texts by a filter on (doc, line), and by an exact join after it; no text is shuffled.
+    """
+
+    def keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = []
-            for text, lines in zip(batch["text"], batch["lines"], strict=True):
-                own = text.split("\n")
-                for r in lines:
-                    if r["line"] < len(own):
-                        got = line_sets(own[r["line"]], ranks.value)
-                        words = got["token"]
-                        if len(words) and int(got["set"][0].astype(np.int64)) == r["set"]:
-                            out.append((r["set"], np.sort(words).tobytes(), words[: int(prefix_length(np.int64(len(words))))].tobytes()))
-            yield pd.DataFrame(out, columns=["set", "words", "prefix"])
+            yield pd.DataFrame({"key": place_key(batch["doc"].to_numpy(np.int64), batch["line"].to_numpy(np.int64)).view(np.int64)})
+
+    picked = docs.sparkSession.sparkContext.broadcast(key_filter(wanted.select("doc", "line").mapInPandas(keys, "key long")))
 
-    return docs.join(per, "doc").select("text", "lines").mapInPandas(pick, "set long, words binary, prefix binary").dropDuplicates(["set"])
+    def pick(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch, texts in chunks(batches):
+            data, lines = some_lines(b"\n".join(texts), lambda n, a, b, batch=batch, texts=texts: picked.value.has(place_key(*places(batch, texts, np.arange(n)))))
+            if len(lines):
+                got = line_sets(data, ranks.value)
+                sets = got["set"][got["first"]]
+                _, once = np.unique(sets, return_index=True)
+                out = []
+                for k in once.tolist():
+                    at = got["first"][k]
+                    n = int(got["n"][at])
+                    words = got["token"][at : at + n]
+                    out.append((np.sort(words).tobytes(), words[: n + NUM * -n // DEN + 1].tobytes()))
+                yield pd.DataFrame({"set": sets[once].view(np.int64), "words": [x for x, _ in out], "prefix": [x for _, x in out]})
+
+    return docs.mapInPandas(pick, "set long, words binary, prefix binary").join(wanted.select("set"), "set", "left_semi").dropDuplicates(["set"])
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -217,49 +315,61 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.mapInPandas(judge, "late long, early long, similar boolean")
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    """(set, doc, line) of both ends of pairs."""
+    late = pairs.select(F.col("late").alias("set"), F.col("late_doc").alias("doc"), F.col("late_line").alias("line"))
+    return late.union(pairs.select("early", "early_doc", "early_line")).groupBy("set").agg(F.min(F.struct("doc", "line")).alias("p")).select("set", "p.doc", "p.line")
+
+
 def line_matches(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(lines, matched) of docs(doc, text): set, doc, line and whether it is the set's first of each line; the sets that have an earlier match.
 
-    A later set is judged against the first and the nearest of its candidates; where neither is similar and there are more,
-    a second pass judges it against all, so that no match is lost.
+    A later set is judged against its nearest candidate, and against all of its own where that is in doubt; where a clear one
+    is not similar after all and there are others, a second pass, over the words of such sets alone, judges it against all, so that no match is lost.
     """
-    spark = docs.sparkSession
+    sc = docs.sparkSession.sparkContext
     ranks, words = word_counts(docs)
     parts = max(8, -(-words // (5 * PART_ROWS)))
-    shared = spark.sparkContext.broadcast(ranks)
-    rows = prefixes(docs, shared, parts)
+    shared = sc.broadcast(ranks)
 
     def meet(group: pd.DataFrame) -> pd.DataFrame:
         own = gathered(group["blob"], _ROW)
         return pd.concat((candidates(own), occurrences(own)), ignore_index=True)
 
-    both = cut(rows.groupBy("part").applyInPandas(meet, _PAIR))
-    lines = both.where("early IS NULL").select(F.col("late").alias("set"), F.col("late_doc").alias("doc"), F.col("late_line").alias("line"), (F.col("passed") == 1).alias("first"))
-    found = cut(both.where("early IS NOT NULL").groupBy("late", "early", "late_doc", "late_line", "early_doc", "early_line").agg(F.max("passed").alias("passed")))
-    ends = found.select(F.col("late").alias("set"), F.col("late_doc").alias("doc"), F.col("late_line").alias("line")).union(found.select("early", "early_doc", "early_line"))
-    sets = cut(with_sets(docs, ends.distinct(), shared))
-    judged = cut(verified(found.select("late", "early"), sets))
+    both = cut(prefixes(docs, shared, parts).groupBy("part").applyInPandas(meet, _PAIR))
+    lines = both.where("far < 0").select(F.col("late").alias("set"), F.col("late_doc").alias("doc"), F.col("late_line").alias("line"), (F.col("more") == 1).alias("first"))
+    found = both.where("far >= 0").groupBy("late", "early", "late_doc", "late_line", "early_doc", "early_line").agg(F.min("far").alias("far"), F.max("more").alias("more"))
+    best = found.groupBy("late").agg(F.min(F.struct("far", "early")).alias("best"), F.max("more").alias("more"), F.count("*").alias("n"))
+    picked = cut(found.drop("more").join(best, "late").where("best.far > 0 OR early = best.early").withColumn("others", (F.col("best.far") == 0) & ((F.col("more") > 0) | (F.col("n") > 1))).drop("best", "n", "more"))
+    sets = cut(with_sets(docs, _ends(picked), shared))
+    judged = cut(verified(picked.select("late", "early"), sets))
     matched = judged.where("similar").select(F.col("late").alias("set")).distinct()
-    more = found.where("passed > 0").select(F.col("late").alias("set")).distinct()
+    more = picked.where("others").select(F.col("late").alias("set")).distinct()
     open_ = cut(more.join(matched, "set", "left_anti").join(sets, "set"))
-    if open_.limit(1).count():
-        def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for batch in batches:
-                keys = [np.frombuffer(x, np.uint64) for x in batch["prefix"]]
-                own = np.repeat(batch["set"].to_numpy(np.int64), [len(k) for k in keys]).astype("i8")
-                yield pd.DataFrame(dealt(np.concatenate(keys), own, parts) if keys else [], columns=["part", "sets"])
-
-        def again(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-            if not len(left) or not len(right):
-                return candidates(np.empty(0, _ROW), np.empty(0, np.uint64))
-            return candidates(gathered(left["blob"], _ROW), gathered(right["sets"], np.dtype("i8")).view(np.uint64))
-
-        asked = open_.select("set", "prefix").mapInPandas(spread, "part int, sets binary")
-        rest = cut(rows.groupBy("part").cogroup(asked.groupBy("part")).applyInPandas(again, _PAIR).dropDuplicates(["late", "early"]))
-        ends = rest.select(F.col("late").alias("set"), F.col("late_doc").alias("doc"), F.col("late_line").alias("line")).union(rest.select("early", "early_doc", "early_line"))
-        matched = matched.union(verified(rest.select("late", "early"), with_sets(docs, ends.distinct(), shared)).where("similar").select("late")).distinct()
-
-    return lines, matched
+    if open_.isEmpty():
+        return lines, matched
+
+    def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            keys = [np.frombuffer(x, np.uint64) for x in batch["prefix"]]
+            own = np.repeat(batch["set"].to_numpy(np.int64), [len(k) for k in keys])
+            yield pd.DataFrame(dealt(np.concatenate(keys), own, parts) if keys else [], columns=["part", "sets"])
+
+    def again(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if not len(left) or not len(right):
+            return candidates(np.empty(0, _ROW), np.empty(0, np.uint64))
+        return candidates(gathered(left["blob"], _ROW), gathered(right["sets"], np.dtype("i8")).view(np.uint64))
+
+    def tokens(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({"key": np.frombuffer(b"".join(batch["prefix"]), np.int64)})
+
+    rows = prefixes(docs, shared, parts, sc.broadcast(key_filter(open_.select("prefix").mapInPandas(tokens, "key long"))))
+    asked = open_.select("set", "prefix").mapInPandas(spread, "part int, sets binary")
+    rest = cut(rows.groupBy("part").cogroup(asked.groupBy("part")).applyInPandas(again, _PAIR).dropDuplicates(["late", "early"]))
+    have = sets.join(_ends(rest), "set", "left_semi")
+    new = with_sets(docs, _ends(rest).join(sets, "set", "left_anti"), shared)
+    return lines, matched.union(verified(rest.select("late", "early"), have.union(new)).where("similar").select("late")).distinct()
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -56,17 +56,18 @@ def test_open_sets_are_judged_against_all():
     rows = []
     for doc in range(6):
         text = " ".join([*(f"a{k}" for k in range(9)), f"b{doc}"])
-        found = op.line_sets(text, ranks)
+        found = op.line_sets(text.encode(), ranks)
         keep = found["at"] < op.prefix_length(found["n"])
         part = np.empty(int(keep.sum()), op._ROW)
-        for name in ("token", "set", "bits", "line", "n", "at"):
+        for name in ("set", "bits", "line", "n", "at"):
             part[name] = found[name][keep]
+        part["token"] = found["token"][keep] >> np.uint64(32)
         part["doc"] = doc
         rows.append(part)
     rows = np.concatenate(rows)
     few, every = op.candidates(rows), op.candidates(rows, np.unique(rows["set"]))
     assert set(zip(few["late"], few["early"])) <= set(zip(every["late"], every["early"]))
-    assert len(set(zip(every["late"], every["early"]))) == 15 and few["passed"].max() == 3
+    assert len(set(zip(every["late"], every["early"]))) == 15
 
 
 def test_odd(spark, odd_docs):
