@@ -132,11 +132,21 @@ def retry_job(log: DataFrame, still_failing: DataFrame, base_ms: int, now_ms: in
     return retry_transition(both.where("__bad").select(columns), base_ms, now_ms).unionByName(resolve_transition(both.where("__bad IS NULL").select(columns), now_ms))
 
 
-def replay_job(log: DataFrame, raw: DataFrame, run, now_ms: int, order: str = "seq", most: int | None = None, **wanted: str | None) -> tuple[object, DataFrame]:
-    """(what run(raw rows of the replay cursors) returns, the resolved rows of their records)."""
+def replay_job(log: DataFrame, raw: DataFrame, run, methods: list[str], now_ms: int, order: str = "seq", most: int | None = None, **wanted: str | None) -> tuple[dict[str, DataFrame], DataFrame]:
+    """(the bundle of the replay, the resolved rows of the records whose replay worked).
+
+    run(raw rows of the replay cursors) ingests them and gives (bundle, failures); a record is resolved only if its cursor has
+    raw rows of all methods, those that run needs, and is not among the failures. Raw rows without an error column have no RPC errors.
+    """
+    if "error" not in raw.columns:
+        raw = raw.withColumn("error", F.lit(None).cast("string"))
     cursors = replay_cursors(log, order, most, **wanted)
     own = replay_filter(latest_by_key(log, ["id"], [order]), **wanted).join(cursors, "cursor", "left_semi")
-    return run(raw.join(cursors, "cursor", "left_semi")), resolve_transition(own, now_ms)
+    raw = raw.join(cursors, "cursor", "left_semi")
+    bundle, failures = run(raw)
+    have = raw.where(F.col("method").isin(methods)).groupBy("cursor").agg(F.count_distinct("method").alias("__n")).where(F.col("__n") == len(set(methods))).select("cursor")
+    worked = own.join(have, "cursor", "left_semi").join(failures.select("cursor"), "cursor", "left_anti").select(own.columns)
+    return bundle, resolve_transition(worked, now_ms)
 
 
 def inspect_dlq(df: DataFrame, n: int, order: str = "seq", **wanted: str | None) -> DataFrame:

@@ -28,7 +28,7 @@ def ingest(raw: DataFrame, requested: list[str], check: bool = True) -> tuple[di
     if "error" in raw.columns:
         named = raw.where("error IS NOT NULL").withColumn("entity", F.when(F.col("method") == "eth_getBlockReceipts", "receipt").when(F.col("method") == "debug_traceBlockByNumber", "trace").otherwise("block"))
         bad = None
-        for e in [e for e in needed if e in REQUIRED] if check else ():
+        for e in [e for e in needed if e in REQUIRED or e == "trace"] if check else ():
             found = parse_failures(own(e), e)
             bad = found if bad is None else bad.unionByName(found)
         failures = capture_failures(named.select("cursor", "entity", "method", "error"), bad)

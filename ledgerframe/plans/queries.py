@@ -263,7 +263,9 @@ def d7_d10_retry_job(spark, sf):
 
 @query(f"""WITH {DL} SELECT id, status FROM (SELECT id, 'resolved' AS status, cursor FROM latest WHERE entity = 'trace' AND stage = 'rpc' AND cursor <> 0)""")
 def d8_d11_replay_job(spark, sf):
-    _, resolved = dlq.replay_job(v.dlq_log(spark, sf), v.raw_receipts(spark, sf), lambda raw: raw, NOW, entity="trace", stage="rpc")
+    """Trace payloads under the log's cursors (0 to 499), all of them whole."""
+    raw = v.raw_traces(spark, sf).withColumn("cursor", (F.col("cursor") - v.BASE) % 500)
+    _, resolved = dlq.replay_job(v.dlq_log(spark, sf), raw, lambda rows: ingest.ingest(rows, ["trace"]), [v.METHODS["trace"]], NOW, entity="trace", stage="rpc")
     return resolved.select("id", "status")
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from ledgerframe import sinks
+from ledgerframe.operators import dlq
 from ledgerframe.operators.progress import contiguous_watermark
 from ledgerframe.plans import ingest, registry
 from ledgerframe.sources import raw as raws, views
@@ -109,3 +110,21 @@ def test_stream_dedupe(spark, tmp_path):
     q = jobs.limits(jobs.stream_dedupe(stream, "t").writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/ck"), backfill=True).start()
     q.awaitTermination()
     assert spark.read.parquet(f"{tmp_path}/out").count() == 2
+
+
+def test_replay_resolves_only_what_worked(spark):
+    """Cursor 1 is whole, 2 is no list, 3 is an RPC error, 4 has no raw row, 5 has one of another method only."""
+    root = '[{"txHash":"0x1","result":{"type":"CALL","from":"0xa","to":"0xb","value":"0x1","gas":"0x1","gasUsed":"0x1"}}]'
+    trace = views.METHODS["trace"]
+    rows = [(1, trace, root, None), (2, trace, root[1:-1], None), (3, trace, None, '{"code":-32000,"message":"boom"}'), (5, "eth_getBlockReceipts", "[]", None), (9, trace, root, None)]
+    raw = spark.createDataFrame(rows, "cursor long, method string, result string, error string")
+    fields = "id long, seq long, status string, entity string, stage string, cursor long, next_retry_at long, last_attempt_at long, ingest_timestamp long"
+    log = spark.createDataFrame([(10 + c, c, "failed", "trace", "rpc", c, None, 0, 0) for c in range(1, 6)], fields)
+    bundle, resolved = dlq.replay_job(log, raw, lambda x: ingest.ingest(x, ["trace"]), [trace], 77, entity="trace", stage="rpc")
+    assert [(r["id"], r["status"], r["last_attempt_at"]) for r in resolved.collect()] == [(11, "resolved", 77)]
+    assert {r["cursor"] for r in log.join(resolved, "id", "left_anti").collect()} == {2, 3, 4, 5}
+    assert bundle["trace"].count() == 1
+
+
+def test_replay_query_matches_oracle(spark):
+    test_oracles(spark, "d8_d11_replay_job")
