@@ -20,14 +20,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a new local one where it is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir; where that is unset, a new local one, in local mode only."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         found = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name like name that df doesn't have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write df once to the shared folder and read it back: what follows neither recomputes it nor depends on executors."""
     spark = df.sparkSession

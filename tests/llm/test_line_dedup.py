@@ -3,6 +3,7 @@
 import random
 import re
 
+import numpy as np
 import pyarrow.parquet as pq
 import pytest
 
@@ -27,6 +28,22 @@ def got(spark, df):
     return {r["doc_id"]: r["removed"] for r in op.dedup_lines(df).collect()}
 
 
+def variants(seed, lengths=(5, 9, 10, 14, 27), words=60, changes=4, docs=60):
+    rng = random.Random(seed)
+    words = [f"w{k}" for k in range(words)]
+    base = [rng.sample(words, rng.choice(lengths)) for _ in range(6)]
+    out = []
+    for i in range(docs):
+        lines = []
+        for _ in range(4):
+            own = list(rng.choice(base))
+            for _ in range(rng.randrange(changes)):
+                own[rng.randrange(len(own))] = rng.choice(words)
+            lines.append(" ".join(own))
+        out.append((i, "\n".join(lines)))
+    return out
+
+
 def test_matches_brute_force(spark):
     docs = sorted((r["doc_id"], r["text"]) for r in pq.read_table("/root/testdata/sf0.001/documents.parquet").to_pylist())
     assert got(spark, spark.createDataFrame(docs, "doc_id long, text string")) == plain_removed(docs)
@@ -34,40 +51,63 @@ def test_matches_brute_force(spark):
 
 @pytest.mark.parametrize("seed", [1, 2])
 def test_variants_near_the_threshold(spark, seed):
-    rng = random.Random(seed)
-    words = [f"w{k}" for k in range(60)]
-    base = [rng.sample(words, rng.choice((5, 9, 10, 14, 27))) for _ in range(6)]
-    docs = []
-    for i in range(60):
-        lines = []
-        for _ in range(4):
-            own = list(rng.choice(base))
-            for _ in range(rng.randrange(4)):
-                own[rng.randrange(len(own))] = rng.choice(words)
-            lines.append(" ".join(own))
-        docs.append((i, "\n".join(lines)))
+    docs = variants(seed)
     assert got(spark, spark.createDataFrame(docs, "doc_id long, text string").repartition(3)) == plain_removed(docs)
 
 
-def test_open_sets_are_judged_against_all():
-    import numpy as np
+def test_long_lines_near_the_threshold(spark):
+    docs = variants(3, (60, 130, 270, 600), 900, 80, 40)
+    found = got(spark, spark.createDataFrame(docs, "doc_id long, text string").repartition(3))
+    assert found == plain_removed(docs)
+    assert 20 < sum(map(len, found.values())) < 150
 
-    ranks = np.zeros(op.BUCKETS, np.uint64)
-    rows = []
-    for doc in range(6):
-        text = " ".join([*(f"a{k}" for k in range(9)), f"b{doc}"])
-        found = op.line_sets(text.encode(), ranks)
-        keep = found["at"] < op.prefix_length(found["n"])
-        part = np.empty(int(keep.sum()), op._ROW)
-        for name in ("set", "bits", "line", "n", "at"):
-            part[name] = found[name][keep]
-        part["token"] = found["token"][keep] >> np.uint64(32)
-        part["doc"] = doc
-        rows.append(part)
-    rows = np.concatenate(rows)
-    few, every = op.candidates(rows), op.candidates(rows, np.unique(rows["set"]))
-    assert set(zip(few["late"], few["early"])) <= set(zip(every["late"], every["early"]))
-    assert len(set(zip(every["late"], every["early"]))) == 15
+
+@pytest.mark.parametrize(("hot", "first"), [(3, 16), (100_000, 1), (3, 1)])
+def test_hot_words_and_second_pass(spark, monkeypatch, hot, first):
+    """Words split into blocks, and sets that are judged again against all of their candidates, give the same."""
+    monkeypatch.setattr(op, "HOT", hot)
+    monkeypatch.setattr(op, "FIRST", first)
+    passes = []
+    again = op.matched_again
+    monkeypatch.setattr(op, "matched_again", lambda *a: passes.append(1) or again(*a))
+    docs = variants(4, (27, 40), 90, 9, 40)
+    assert got(spark, spark.createDataFrame(docs, "doc_id long, text string").repartition(3)) == plain_removed(docs)
+    assert passes or first > 1
+
+
+def test_candidates_are_those_of_all_pairs():
+    """Every similar pair of sets meets at some word, with and without blocks."""
+    rng = random.Random(5)
+    words = [f"w{k}" for k in range(300)]
+    base = rng.sample(words, 100)
+    sets = [set(base) ^ set(rng.sample(words, rng.randrange(30))) for _ in range(60)]
+    sets += [set(rng.sample(words, rng.randrange(4, 90))) for _ in range(60)]
+    counts = np.bincount(np.arange(op.BUCKETS) % 7, minlength=op.BUCKETS)
+    data = "\n".join(" ".join(sorted(x)) for x in sets).encode()
+    found = op.line_sets(data, op.rarity(counts))
+    place = np.zeros(len(sets), op._PLACE)
+    place["doc"] = np.arange(len(sets))
+    blobs, below = [], 0
+    for w, most in op.WIDTHS:
+        lines = np.flatnonzero((found["n"] > below) & (found["n"] <= most))
+        below = most
+        if len(lines):
+            blobs.append((w, op._rows(place, found, lines, w, None)[1].tobytes()))
+    every = op.candidates(op.Meeting(blobs), np.unique(found["set"]))
+    pairs = set(zip(every["late_doc"], every["early_doc"], strict=True))
+    similar = {(j, i) for j in range(len(sets)) for i in range(j) if sets[i] != sets[j] and 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])}
+    assert similar <= pairs and len(similar) > 20
+    some = op.candidates(op.Meeting(blobs))
+    assert {p[0] for p in similar} <= set(some["late_doc"]) and set(zip(some["late_doc"], some["early_doc"], strict=True)) <= pairs
+    assert len(pairs) < len(similar) + 600
+
+
+def test_one_id_with_several_texts(spark):
+    rows = [(0, "one two three four five"), (1, "zeta eta theta iota kappa"), (1, "one two three four five"), (1, "zeta eta theta iota kappa")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = [(r["doc_id"], r["removed"]) for r in op.dedup_lines(df).collect()]
+    assert sorted(out) == [(0, []), (1, []), (1, []), (1, [0])]
+    assert sorted(r["text"] for r in op.without_lines(df, op.dedup_lines(df)).collect()) == sorted(["one two three four five", "zeta eta theta iota kappa", "", "zeta eta theta iota kappa"])
 
 
 def test_odd(spark, odd_docs):
@@ -76,5 +116,7 @@ def test_odd(spark, odd_docs):
     by = {r["doc_id"]: r for r in out if r["doc_id"] is not None}
     assert by[2]["removed"] == [0] and by[1]["removed"] == [] and by[3]["n_lines"] == 0 and by[4]["removed"] == [] and by[12]["removed"] == [0]
     assert op.dedup_lines(odd_docs.limit(0)).count() == 0
-    text = {r["doc_id"]: r["text"] for r in op.without_lines(odd_docs, op.dedup_lines(odd_docs)).collect()}
-    assert text[2] == "" and text[1] and text[3] is None
+    named = odd_docs.withColumns({"id": odd_docs.doc_id, "hash": odd_docs.doc_id, "gone": odd_docs.doc_id})
+    kept = op.without_lines(named, op.dedup_lines(named))
+    text = {r["doc_id"]: r["text"] for r in kept.collect()}
+    assert text[2] == "" and text[1] and text[3] is None and kept.columns == named.columns
