@@ -22,7 +22,7 @@ NUM, DEN = 4, 5
 #: Word buckets of the rarity table, which is broadcast: 2^18 counts of 8 bytes.
 BUCKETS = 1 << 18
 #: Prefix words, about, that one reducing task holds at once, and bytes of text that are hashed at once.
-PART_ROWS, CHUNK = 300_000, 400_000
+PART_ROWS, CHUNK = 200_000, 400_000
 #: Bits, at most, of a filter that is broadcast (16 MB); it has 16 for each key where that is less.
 FILTER_BITS = 1 << 27
 #: A word that occurs more often than this may be in more prefixes than a task should compare: those are split into blocks of
@@ -43,13 +43,13 @@ _LARGE = 65_535
 def chunks(batches: Iterator[pd.DataFrame], column: str = "text") -> Iterator[tuple[pd.DataFrame, list[bytes]]]:
     """Rows with their lower-cased bytes, about CHUNK bytes of them at once."""
     for batch in batches:
-        texts = [t.encode("utf-8", "surrogatepass").lower() for t in batch[column]]
-        at, size = 0, 0
-        for k, text in enumerate(texts):
-            size += len(text)
-            if size >= CHUNK or k == len(texts) - 1:
-                yield batch.iloc[at : k + 1], texts[at : k + 1]
-                at, size = k + 1, 0
+        at, size, held = 0, 0, []
+        for k, text in enumerate(batch[column]):
+            held.append(text.encode("utf-8", "surrogatepass").lower())
+            size += len(held[-1])
+            if size >= CHUNK or k == len(batch) - 1:
+                yield batch.iloc[at : k + 1], held
+                at, size, held = k + 1, 0, []
 
 
 def line_tokens(data: bytes) -> tuple[np.ndarray, np.ndarray, int]:
@@ -116,11 +116,19 @@ def word_counts(docs: DataFrame) -> np.ndarray:
     """How often words of each bucket occur in docs(text)."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(BUCKETS, np.int64)
+        total, held = np.zeros(BUCKETS, np.int64), []
+
+        def add_up() -> None:
+            total[:] += np.bincount(np.concatenate(held), minlength=BUCKETS)
+            held.clear()
+
         for _, texts in chunks(batches):
             data = b"\n".join(texts)
-            words = span_hashes(data, *word_spans(data))
-            total += np.bincount((words & np.uint64(BUCKETS - 1)).astype(np.intp), minlength=BUCKETS)
+            held.append((span_hashes(data, *word_spans(data)) & np.uint64(BUCKETS - 1)).astype(np.int32))
+            if len(held) > 10:
+                add_up()
+        if held:
+            add_up()
         at = np.flatnonzero(total)
         yield pd.DataFrame({"bucket": at.astype(np.int32), "n": total[at]})
 
@@ -248,7 +256,7 @@ def prefixes(docs: DataFrame, counts, parts: int, only=None) -> DataFrame:
             if len(found["line"]):
                 held.append((places(batch, texts, found["line"] if lines is None else lines[found["line"]]), found))
                 pending += len(found["token"])
-            if pending > 500_000:
+            if pending > 300_000:
                 yield flush()
                 pending = 0
         if held:
@@ -294,27 +302,39 @@ class Meeting:
     def __init__(self, blobs: list[tuple[int, bytes]]) -> None:
         by_width = {w: gathered([b for x, b in blobs if x == w], _ROW[w]) for w, _ in WIDTHS}
         self.gone = [gathered([b for x, b in blobs if x == 0], _PLACE)]
-        rows = np.empty(sum(map(len, by_width.values())), _FIELDS)
-        for name, _ in _FIELDS:
-            rows[name] = np.concatenate([x[name] for x in by_width.values()])
-        order = np.lexsort((rows["line"], rows["sub"], rows["doc"], rows["at"], rows["set"], rows["token"]))
-        rows = rows[order]
-        once = np.ones(len(rows), bool)
-        once[1:] = (rows["token"][1:] != rows["token"][:-1]) | (rows["set"][1:] != rows["set"][:-1]) | (rows["at"][1:] != rows["at"][:-1])
-        place = np.empty(len(rows), _PLACE)
-        for name in _PLACE.names:
-            place[name] = rows[name]
-        head = np.maximum.accumulate(np.where(once, np.arange(len(rows)), 0))
-        self.gone.append(place[(rows["at"] == 0) & (place != place[head])])
-        keep = once & (rows["n"] > 3)  # smaller sets are similar to equal ones only
+        token, sets, at = (np.concatenate([x[name] for x in by_width.values()]) for name in ("token", "set", "at"))
+        order = np.argsort(token, kind="stable")
+        start, end = runs_of(token[order])
+        order = order[end - start > 1]
+        # Copies of a set at a word: those runs alone are put in order of place.
+        key = mix(sets[order] + mix(token[order].astype(np.uint64) << np.uint64(16) | at[order]))
+        by_key = np.argsort(key, kind="stable")
+        order, key = order[by_key], key[by_key]
+        start, end = runs_of(key)
+        once = start == np.arange(len(key))
+        twice = end - start > 1
+        rows = self._picked(by_width, order)
+        if twice.any():
+            own = np.flatnonzero(twice)
+            sorted_ = own[np.lexsort((rows["line"][own], rows["sub"][own], rows["doc"][own], key[own]))]
+            rows[own], order[own] = rows[sorted_], order[sorted_]
+            place = np.empty(len(own), _PLACE)
+            for name in _PLACE.names:
+                place[name] = rows[name][own]
+            first = np.maximum.accumulate(np.where(once[own], np.arange(len(own)), 0))
+            self.gone.append(place[(rows["at"][own] == 0) & (place != place[first])])
+        keep = np.flatnonzero(once & (rows["n"] > 3))  # smaller sets are similar to equal ones only
+        by_size = np.argsort(rows["token"][keep].astype(np.uint64) << np.uint64(16) | rows["n"][keep], kind="stable")
+        keep = keep[by_size]
         start, end = runs_of(rows["token"][keep])
-        lone = end - start == 1
-        keep[np.flatnonzero(keep)[lone]] = False
-        rows, order = rows[keep], order[keep]
-        by_size = np.lexsort((rows["n"], rows["token"]))
-        self.rows, order = rows[by_size], order[by_size]
-        self.rank = np.empty(len(self.rows), np.int64)
-        self.rank[in_order(self.rows)] = np.arange(len(self.rows))
+        keep = keep[end - start > 1]
+        self.rows, order = rows[keep], order[keep]
+        self.n, self.at, self.set = (np.ascontiguousarray(self.rows[c]) for c in ("n", "at", "set"))
+        self.n, self.at = self.n.astype(np.int32), self.at.astype(np.int32)
+        self.rank = np.empty(len(self.rows), np.int32)
+        self.rank[in_order(self.rows)] = np.arange(len(self.rows), dtype=np.int32)
+        offsets = np.cumsum([0, *map(len, by_width.values())])
+        self.width = np.array([w for w, _ in WIDTHS])[np.searchsorted(offsets, order, side="right") - 1] if len(order) else np.empty(0, np.int64)
         # Bitmaps by level: level k has those of 2^k words, of the sets that have at least so many.
         offsets = np.cumsum([0, *map(len, by_width.values())])
         self.width = np.array([w for w, _ in WIDTHS])[np.searchsorted(offsets, order, side="right") - 1] if len(order) else np.empty(0, np.int64)
@@ -335,16 +355,23 @@ class Meeting:
             self.levels.append((level, at, bits))
         self.start, self.end = runs_of(self.rows["token"])
 
+    @staticmethod
+    def _picked(by_width: dict[int, np.ndarray], order: np.ndarray) -> np.ndarray:
+        """The rows of all widths at order, without their bitmaps."""
+        rows = np.empty(len(order), _FIELDS)
+        for name, _ in _FIELDS:
+            rows[name] = np.concatenate([x[name] for x in by_width.values()])[order]
+        return rows
+
     def passing(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(which, gap, room) of pairs of rows of one word that pass the filters: places in which the bitmaps differ, and places in which those of similar sets can."""
-        rows, which = self.rows, np.arange(len(a))
-        n, m = rows["n"][a].astype(np.int64), rows["n"][b].astype(np.int64)
+        n, m = self.n[a], self.n[b]
         need = least_overlap(n, m)
         large = np.maximum(n, m) >= _LARGE
-        ok = large | (np.minimum(n - rows["at"][a], m - rows["at"][b]) >= need) & (DEN * np.minimum(n, m) >= NUM * np.maximum(n, m))
-        ok &= rows["set"][a] != rows["set"][b]
-        room = np.where(large, 1 << 30, n + m - 2 * need)
-        which, gap = which[ok], np.zeros(int(ok.sum()), np.int64)
+        ok = large | (np.minimum(n - self.at[a], m - self.at[b]) >= need) & (DEN * np.minimum(n, m) >= NUM * np.maximum(n, m))
+        which = np.flatnonzero(ok)
+        which = which[self.set[a[which]] != self.set[b[which]]]
+        room, gap = np.where(large, 1 << 30, n + m - 2 * need), np.zeros(len(which), np.int64)
         for level, at, bits in self.levels:
             both = np.flatnonzero(np.minimum(self.width[a[which]], self.width[b[which]]) >= level)
             if not len(both):
@@ -384,9 +411,8 @@ class Meeting:
 
         The smaller set of a similar pair holds their first common word within its first n - least_overlap(n, n) + 1 ones.
         """
-        rows, found = self.rows, []
-        n = rows["n"].astype(np.int64)
-        short = (rows["at"] < n - least_overlap(n, n) + 1) | (n >= _LARGE)
+        n, found = self.n, []
+        short = (self.at < n - least_overlap(n, n) + 1) | (n >= _LARGE)
         index = np.flatnonzero(ask)
         for up in (True, False):
             active, k = index[short[index]] if up else index, 0
@@ -632,7 +658,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     Other columns are not read, whatever their names.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    breaks = F.char_length(text) - F.char_length(F.replace(text, F.lit("\n"), F.lit("")))
+    breaks = F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit("")))
     least = F.lit(-(1 << 63))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), F.when(F.col(text_col).isNull(), 0).otherwise(breaks + 1).cast("int").alias("n_lines"))
     keyed = docs.select(F.coalesce(F.col(id_col).cast("long"), least).alias("doc"), F.xxhash64(text).alias("sub"), text.alias("text"))
