@@ -30,7 +30,9 @@ FILTER_BITS = 1 << 27
 HOT = 100_000
 #: Candidates of one prefix word, at most, that a set in doubt is judged against at first; where all of them fail, a second
 #: pass takes the others too.
-FIRST = 16
+FIRST = 128
+#: Rows of one word from which on later ones are first compared with a few early ones, and leave where one is clearly similar.
+MANY = 256
 #: Words of 64 bits in the bitmap of a set, and the largest set that has it (the last one: any).
 WIDTHS = ((1, 48), (2, 128), (4, 256), (8, 512), (16, 1 << 62))
 _FIELDS = [("set", "u8"), ("doc", "i8"), ("sub", "u8"), ("token", "u4"), ("line", "u4"), ("n", "u2"), ("at", "u2")]
@@ -384,10 +386,11 @@ class Meeting:
         return which, gap, room[which]
 
     def settle(self) -> tuple[np.ndarray, np.ndarray]:
-        """(early, gap): for each row an earlier one that is clearly similar, as far as the first few of a word's rows show one; else -1."""
+        """(early, gap): for each row of a word that has MANY an earlier one that is clearly similar, as far as the first few show one; else -1."""
         early, gap = np.full(len(self.rows), -1), np.zeros(len(self.rows), np.int64)
         group = np.cumsum(self.start == np.arange(len(self.rows))) - 1
-        by_rank = np.lexsort((self.rank, group))
+        by_rank = np.flatnonzero(self.end - self.start >= MANY)
+        by_rank = by_rank[np.lexsort((self.rank[by_rank], group[by_rank]))]
         for _ in range(4):
             open_ = by_rank[early[by_rank] < 0]
             if not len(open_):
@@ -397,7 +400,7 @@ class Meeting:
             first[group[head]] = head
             late = open_[first[group[open_]] != open_]
             which, far, room = self.passing(first[group[late]], late)
-            clear = 10 * far <= 7 * room
+            clear = 10 * far <= 4 * room
             late = late[which[clear]]
             early[late], gap[late] = first[group[late]], far[clear]
             by_rank = np.setdiff1d(by_rank, head, assume_unique=True)

@@ -62,7 +62,7 @@ def test_long_lines_near_the_threshold(spark):
     assert 20 < sum(map(len, found.values())) < 150
 
 
-@pytest.mark.parametrize(("hot", "first"), [(3, 16), (100_000, 1), (3, 1)])
+@pytest.mark.parametrize(("hot", "first"), [(3, 128), (100_000, 1), (3, 1)])
 def test_hot_words_and_second_pass(spark, monkeypatch, hot, first):
     """Words split into blocks, and sets that are judged again against all of their candidates, give the same."""
     monkeypatch.setattr(op, "HOT", hot)
@@ -75,7 +75,7 @@ def test_hot_words_and_second_pass(spark, monkeypatch, hot, first):
     assert passes or first > 1
 
 
-def test_candidates_are_those_of_all_pairs():
+def test_candidates_are_those_of_all_pairs(monkeypatch):
     """Every similar pair of sets meets at some word, with and without blocks."""
     rng = random.Random(5)
     words = [f"w{k}" for k in range(300)]
@@ -97,6 +97,7 @@ def test_candidates_are_those_of_all_pairs():
     pairs = set(zip(every["late_doc"], every["early_doc"], strict=True))
     similar = {(j, i) for j in range(len(sets)) for i in range(j) if sets[i] != sets[j] and 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])}
     assert similar <= pairs and len(similar) > 20
+    monkeypatch.setattr(op, "MANY", 2)
     some = op.candidates(op.Meeting(blobs))
     assert {p[0] for p in similar} <= set(some["late_doc"]) and set(zip(some["late_doc"], some["early_doc"], strict=True)) <= pairs
     assert len(pairs) < len(similar) + 600
