@@ -1,21 +1,25 @@
 """Benchmark decontamination in DataFrame functions only.
 
-Items become windows of normalised words. Each window is filed under one of its words (its anchor, the longest), and the
-set of windows is broadcast once its size is checked. Documents are scanned whole: every word that is an anchor is looked up
-in the broadcast set with the words around it, and a hit is verified word by word, so only true occurrences count.
+Items become windows of normalised words, windows become 64-bit hashes, and the set of hashes is broadcast once its size is
+checked. Documents are scanned whole: the hash of every window of a length that occurs is looked up in that set, and hits are
+verified on the words themselves, so only true occurrences count. What is hit can be dropped by document or cut out by span.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerframe.llm.common import ascii_lower, table
+from ledgerframe.llm.common import ascii_lower, fresh, table
 
 #: Fixed value: what stands between the contract's words.
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: The same in a text that is not lower-cased yet.
+_BETWEEN = r"\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F"
 WINDOW = 13
-#: Windows, at most, that are broadcast (about 200 bytes each); more are joined by shuffled hashes of all windows.
-BROADCAST_WINDOWS = 60_000
+#: Bytes, at most, that the hashes of windows may take where they are broadcast, at about 50 for each; more of them are joined
+#: as Spark sees fit, by the same plan without the hint.
+BROADCAST_BYTES, HASH_BYTES = 256 << 20, 50
+_SPANS = "array<struct<start:int,end:int>>"
 
 
 def words(text: Column) -> Column:
@@ -24,59 +28,94 @@ def words(text: Column) -> Column:
     return F.when(clean == "", F.array().cast("array<string>")).otherwise(F.split(clean, " "))
 
 
+def window_hashes(hashes: Column, length: int) -> Column:
+    """A hash of each window of `length` from the array of word hashes; none if there are fewer words."""
+    at = F.sequence(F.lit(1), F.size(hashes) - (length - 1))
+    return F.when(F.size(hashes) >= length, F.transform(at, lambda i: F.xxhash64(F.slice(hashes, i, length)))).otherwise(F.array().cast("array<bigint>"))
+
+
 def item_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
-    """(item, len, win, anchor, off): the distinct windows of each item; a shorter item, but not an empty one, is one window."""
+    """(item, len, ws, hash): the distinct windows of each item; a shorter item, but not an empty one, is one window."""
     w = items.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("string").alias("item"), words(F.col(text_col)).alias("ws")).where("size(ws) > 0")
-    w = w.select("item", F.explode(F.expr(f"transform(sequence(1, greatest(size(ws) - {window - 1}, 1)), i -> slice(ws, i, {window}))")).alias("ws"))
-    longest = F.expr("array_max(transform(ws, (x, i) -> struct(char_length(x) AS n, x AS x, -i AS i)))")
-    w = w.withColumn("top", longest)
-    return w.select("item", F.size("ws").alias("len"), F.array_join("ws", " ").alias("win"), F.col("top.x").alias("anchor"), (-F.col("top.i")).alias("off")).distinct()
+    w = w.select("item", F.explode(F.expr(f"transform(sequence(1, greatest(size(ws) - {window - 1}, 1)), i -> slice(ws, i, {window}))")).alias("ws")).distinct()
+    return w.select("item", F.size("ws").alias("len"), "ws", F.xxhash64(F.transform("ws", lambda x: F.xxhash64(x))).alias("hash"))
 
 
-def occurrences(rows: DataFrame, windows: DataFrame, few: bool, window: int = WINDOW) -> DataFrame:
-    """rows(ws, ...) with a row for each window found (start, len, item), or one with nulls for a document without any."""
+def occurrences(rows: DataFrame, windows: DataFrame) -> DataFrame:
+    """rows(ws, ...) without ws, with a row for each window found (start, len, item), and one with nulls for each row of rows.
+
+    One pass: each row's array of hashes begins with a mark that is in the set too, so that rows without a hit stay.
+    """
     keep = [c for c in rows.columns if c != "ws"]
-    if few:
-        anchors = [r[0] for r in windows.select("anchor").distinct().collect()]
-        if not anchors:
-            return rows.select(*keep, F.lit(None).cast("int").alias("start"), F.lit(None).cast("int").alias("len"), F.lit(None).cast("string").alias("item"))
-        spots = F.when(F.size("ws") > 0, F.filter(F.sequence(F.lit(0), F.size("ws") - 1), lambda i: F.get("ws", i).isin(anchors)))
-        around = F.transform(spots, lambda i: F.struct(i.alias("at"), F.get("ws", i).alias("anchor"), F.slice("ws", F.greatest(i - (window - 1), F.lit(0)) + 1, 2 * window - 1).alias("near")))
-        found = rows.select(*keep, F.explode_outer(around).alias("hit")).select(*keep, "hit.*")
-        lead = F.least("at", F.lit(window - 1))
-        same = (lead >= F.col("off")) & (F.array_join(F.slice("near", lead - F.col("off") + 1, F.col("len")), " ") == F.col("win"))
-        found = found.join(F.broadcast(windows), (found.anchor == windows.anchor) & same, "left")
-        return found.select(*keep, (F.col("at") - F.col("off")).alias("start"), "len", "item")
-    lengths = F.array(*[F.lit(k) for k in range(1, window + 1)])
-    runs = F.flatten(F.transform(lengths, lambda k: F.when(F.size("ws") >= k, F.transform(F.sequence(F.lit(0), F.size("ws") - k), lambda i: F.struct(i.alias("start"), k.alias("len"), F.array_join(F.slice("ws", i + 1, k), " ").alias("win")))).otherwise(F.array().cast("array<struct<start:int,len:int,win:string>>"))))
-    found = rows.select(*keep, F.explode_outer(runs).alias("hit")).select(*keep, "hit.*")
-    return found.join(windows.select("win", "len", "item"), ["win", "len"], "left").select(*keep, F.when(F.col("item").isNotNull(), F.col("start")).alias("start"), "len", "item")
-
-
-def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), window: int = WINDOW, share: int = 20, few_windows: int = BROADCAST_WINDOWS) -> DataFrame:
-    """(doc_id, n_words, n_hit, n_items, items, contaminated, *keep), one row per row of docs.
+    lengths = [r[0] for r in windows.select("len").distinct().orderBy("len").collect()]
+    mark = F.lit(0).cast("bigint")
+    keys = windows.select("hash").union(windows.sparkSession.range(1).select(mark)).distinct()
+    if keys.count() * HASH_BYTES <= BROADCAST_BYTES:
+        keys = F.broadcast(keys)
+    hashed = rows.withColumn("hashes", F.transform("ws", lambda x: F.xxhash64(x)))
+    hashed = hashed.select(*keep, "ws", F.concat(F.array(mark), *[window_hashes(F.col("hashes"), k) for k in lengths]).alias("hashes"))
+    hits = hashed.select(*keep, "ws", F.posexplode("hashes").alias("p", "hash")).join(keys, "hash", "left_semi")
+    # The position among a row's hashes, after the mark, tells a window's length and place.
+    start, length, before = F.lit(None).cast("int"), F.lit(None).cast("int"), F.lit(1)
+    for k in lengths:
+        after = before + F.greatest(F.size("ws") - (k - 1), F.lit(0))
+        inside = (F.col("p") >= before) & (F.col("p") < after)
+        start, length, before = F.when(inside, F.col("p") - before).otherwise(start), F.when(inside, F.lit(k)).otherwise(length), after
+    hits = hits.select(*keep, "hash", "ws", start.alias("start"), length.alias("len")).withColumn("ws", F.slice("ws", F.col("start") + 1, F.col("len")))
+    found = hits.join(windows, ["hash", "len", "ws"], "left")
+    real = F.col("item").isNotNull()
+    return found.select(*keep, F.when(real, F.col("start")).alias("start"), F.when(real, F.col("len")).alias("len"), "item")
+
+
+def merged(spans: Column) -> Column:
+    """The disjoint union of half-open word spans in order of their starts."""
+
+    def join(done: Column, s: Column) -> Column:
+        last = F.get(done, F.size(done) - 1)
+        longer = F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"))
+        return F.when(last["end"] >= s["start"], F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(longer))).otherwise(F.concat(done, F.array(s)))
+
+    return F.aggregate(F.array_sort(spans), F.array().cast(_SPANS), join)
+
+
+def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), window: int = WINDOW, share: int = 20) -> DataFrame:
+    """(doc_id, n_words, n_hit, n_items, items, spans, contaminated, *keep), one row per row of docs.
 
     A word inside any occurrence of an item's window is hit; a document is contaminated if some word is hit and at least
-    one in `share` is. items lists the item ids found, sorted as strings. Null and blank texts have no words and no hits;
-    a null item id or an item without words gives no window; repeated rows and repeated items are judged alike each time;
-    an empty docs gives an empty result, empty items leave every document clean. Columns not named are not read.
+    one in `share` is. items lists the item ids found, sorted as strings, spans the hit words as disjoint half-open ranges.
+    Null and blank texts have no words and no hits; very long texts are scanned whole; a null item id or an item without words
+    gives no window; repeated rows and repeated items are judged alike each time; an empty docs gives an empty result, empty
+    items leave every document clean. Columns not named are not read, whatever their names.
     """
     windows = item_windows(items, window=window)
-    few = windows.limit(few_windows + 1).count() <= few_windows
     rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.struct(F.col(id_col).alias("doc_id"), *keep).alias("doc"), words(F.col(text_col)).alias("ws"))
-    rows = rows.select("rid", "doc", F.size("ws").alias("n_words"), "ws")
-    found = occurrences(rows, windows, few, window)
-    spans = F.collect_set(F.when(F.col("item").isNotNull(), F.struct("start", "len"))).alias("spans")
-    per = found.groupBy("rid").agg(F.first("doc").alias("doc"), F.first("n_words").alias("n_words"), spans, F.array_sort(F.collect_set("item")).alias("items"))
-    hit = F.size(F.array_distinct(F.flatten(F.transform("spans", lambda s: F.sequence(s["start"], s["start"] + s["len"] - 1)))))
-    per = per.withColumn("n_hit", hit)
+    found = occurrences(rows.select("rid", "doc", F.size("ws").alias("n_words"), "ws"), windows)
+    spans = F.collect_set(F.when(F.col("item").isNotNull(), F.struct("start", (F.col("start") + F.col("len")).alias("end"))))
+    per = found.groupBy("rid").agg(F.first("doc").alias("doc"), F.first("n_words").alias("n_words"), spans.alias("spans"), F.array_sort(F.collect_set("item")).alias("items"))
+    per = per.withColumn("spans", merged(F.col("spans").cast(_SPANS)))
+    per = per.withColumn("n_hit", F.aggregate("spans", F.lit(0), lambda n, s: n + s["end"] - s["start"]))
     return per.select(
-        "doc.doc_id", F.col("n_words").cast("long"), F.col("n_hit").cast("long"), F.size("items").cast("long").alias("n_items"), "items",
+        "doc.doc_id", F.col("n_words").cast("long"), F.col("n_hit").cast("long"), F.size("items").cast("long").alias("n_items"), "items", "spans",
         ((F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"), *[F.col(f"doc.{c}").alias(c) for c in keep],
     )
 
 
+def without_spans(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
+    """docs with every hit word, and what stands between it and the word before, cut out of the text.
+
+    Every row stays and has docs' columns, whatever their names; texts without a hit stay as they are, null texts null.
+    """
+    row = fresh(docs, "row")
+    judged = decontaminate(docs.withColumn(row, F.struct(*docs.columns)), items, id_col, text_col, keep=(row,), window=window)
+    text = F.col(row)[text_col].cast("string")
+    pieces = F.regexp_extract_all(text, F.lit(f"[{_BETWEEN}]*[^{_BETWEEN}]+"), F.lit(0))
+    kept = F.filter(pieces, lambda _, i: ~F.exists("spans", lambda s: (s["start"] <= i) & (i < s["end"])))
+    cleaned = F.concat(F.array_join(kept, ""), F.regexp_extract(text, f"[{_BETWEEN}]*$", 0))
+    return judged.select(*[(F.when(F.size("spans") > 0, cleaned).otherwise(text) if c == text_col else F.col(row)[c]).alias(c) for c in docs.columns])
+
+
 def op9(spark, sf_dir: str) -> DataFrame:
+    """The contract's digest columns of decontaminate over all documents; nulls, repeated rows and empty tables as there."""
     out = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return out.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 

@@ -40,9 +40,10 @@ def source_targets(sizes: DataFrame, share: float = 1.5, most: float = 2.0, weig
     return df.withColumn("level", level).select("skey", "source_size", F.least("cap", F.coalesce(F.col("level") * F.col("w"), F.col("cap"))).alias("target"))
 
 
-def unit_draw(id_col: Column, seed: int) -> Column:
-    """A number in (0, 1] that follows from the id and seed alone."""
-    digest = F.md5(F.concat(F.coalesce(id_col.cast("string"), F.lit("")), F.lit(f"#{seed}")).cast("binary"))
+def unit_draw(id_col: Column, text: Column, seed: int) -> Column:
+    """A number in (0, 1] that follows from the id, the text and the seed alone: rows without an id, or of one, draw apart."""
+    own = F.md5(F.coalesce(text, F.lit("")).cast("binary"))
+    digest = F.md5(F.concat(F.coalesce(id_col.cast("string"), F.lit("")), F.lit(f"#{seed}#"), own).cast("binary"))
     return (F.conv(F.substring(digest, 1, 13), 16, 10).cast("long") + 1) / F.lit(float(1 << 52))
 
 
@@ -52,17 +53,18 @@ def mix_sources(docs: DataFrame, weights: DataFrame | None = None, id_col: str =
     size counts the words of the whole text (null: 0). weights(label_id, weight) gives quality weights; documents without
     one have 1. A source's budget is its target rounded to words; complete epochs take every document whole, the rest goes
     to documents in key order, and the one in which the budget ends gives its first words only, so sums meet the target.
-    A null source is a source like any other (last in order); a null id draws as an empty one; equal rows are
-    interchangeable; documents without words take 0; an empty table gives an empty result. Other columns are not read.
+    A null source is a source like any other (last in order); rows without an id draw by their texts; equal rows are
+    interchangeable; documents without words take 0; very long texts are counted whole; an empty table gives an empty result.
+    Other columns are not read, whatever their names.
     """
     size = F.coalesce(F.regexp_count(F.col(text_col).cast("string"), F.lit(WORD)), F.lit(0)).cast("long")
     source = F.col(source_col).cast("string")
-    rows = docs.select(F.col(id_col).alias("doc_id"), source.alias("source"), size.alias("size"), F.when(source.isNull(), "n").otherwise(F.concat(F.lit("s"), source)).alias("skey"), F.struct(*keep, F.lit(0).alias("__")).alias("kept"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), source.alias("source"), size.alias("size"), F.when(source.isNull(), "n").otherwise(F.concat(F.lit("s"), source)).alias("skey"), unit_draw(F.col(id_col), F.col(text_col).cast("string"), seed).alias("u"), F.struct(*keep, F.lit(0).alias("__")).alias("kept"))
     if weights is None:
         rows = rows.withColumn("weight", F.lit(1.0))
     else:
         rows = rows.join(weights, rows.doc_id == weights.label_id, "left").drop("label_id").withColumn("weight", F.coalesce("weight", F.lit(1.0)))
-    rows = rows.withColumn("key", -F.log(unit_draw(F.col("doc_id"), seed)) / F.col("weight")).drop("weight")
+    rows = rows.withColumn("key", -F.log("u") / F.col("weight")).drop("weight", "u")
     rows = cut(rows.withColumn("bucket", F.least(F.floor((1 - F.exp(-F.col("key"))) * buckets), F.lit(buckets - 1)).cast("int")))
 
     sums = rows.groupBy("skey", "bucket").agg(F.sum("size").alias("held"), F.first("source").alias("source"))
@@ -82,6 +84,7 @@ def mix_sources(docs: DataFrame, weights: DataFrame | None = None, id_col: str =
 
 
 def op10(spark, sf_dir: str) -> DataFrame:
+    """The contract's columns of mix_sources over all documents, with the labels' quality weights; odd rows as there."""
     return mix_sources(table(spark, sf_dir, "documents"), quality_weights(table(spark, sf_dir, "labels"))).drop("source")
 
 
@@ -89,7 +92,7 @@ OP10_SQL = r"""
 WITH lab AS (SELECT doc_id, max(quality) AS q FROM labels WHERE quality IS NOT NULL GROUP BY doc_id),
 rows AS (
   SELECT d.doc_id, d.source, coalesce(len(regexp_extract_all(d.text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
-    -ln((('0x' || substr(md5(coalesce(d.doc_id::VARCHAR, '') || '#10'), 1, 13))::BIGINT + 1) / 4503599627370496.0::DOUBLE)
+    -ln((('0x' || substr(md5(coalesce(d.doc_id::VARCHAR, '') || '#10#' || md5(coalesce(d.text, ''))), 1, 13))::BIGINT + 1) / 4503599627370496.0::DOUBLE)
       / (CASE WHEN q >= 1 THEN 2.0 WHEN q IS NOT NULL THEN 0.5 ELSE 1.0 END)::DOUBLE AS key
   FROM documents d LEFT JOIN lab USING (doc_id)),
 src AS (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS rank FROM rows GROUP BY source),
