@@ -54,7 +54,8 @@ def occurrences(rows: DataFrame, windows: DataFrame) -> DataFrame:
         keys = F.broadcast(keys)
     hashed = rows.withColumn("hashes", F.transform("ws", lambda x: F.xxhash64(x)))
     hashed = hashed.select(*keep, "ws", F.concat(F.array(mark), *[window_hashes(F.col("hashes"), k) for k in lengths]).alias("hashes"))
-    hits = hashed.select(*keep, "ws", F.posexplode("hashes").alias("p", "hash")).join(keys, "hash", "left_semi")
+    # posexplode_outer: for posexplode, a filter on the array's size would be pushed below, with all that makes the array inlined.
+    hits = hashed.select(*keep, "ws", F.posexplode_outer("hashes").alias("p", "hash")).join(keys, "hash", "left_semi")
     # The position among a row's hashes, after the mark, tells a window's length and place.
     start, length, before = F.lit(None).cast("int"), F.lit(None).cast("int"), F.lit(1)
     for k in lengths:

@@ -683,5 +683,6 @@ def without_lines(docs: DataFrame, decided: DataFrame, id_col: str = "doc_id", t
 
 
 def op2(spark, sf_dir: str) -> DataFrame:
+    """The lines that dedup_lines removes, over all documents; odd rows as there."""
     out = dedup_lines(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", F.size("removed").alias("n_removed"), F.array_join("removed", ",").alias("removed"))

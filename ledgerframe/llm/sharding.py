@@ -104,5 +104,6 @@ def shard_rows(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", text_c
 
 
 def op4(spark, sf_dir: str) -> DataFrame:
+    """The contract's columns of shard_rows over all documents, under the law `rows`; odd rows as there."""
     out = shard_rows(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))

@@ -46,8 +46,8 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """(doc_id, fp): one row per document, fp the fingerprint as a signed long. Null and blank texts have 0."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, fp, *keep): one row per document, fp the fingerprint as a signed long. Null and blank texts have 0."""
 
     @F.pandas_udf("long")
     def fp(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -55,7 +55,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         for batch in texts:
             yield pd.Series(np.fromiter(map(one, batch), np.uint64, len(batch)).view(np.int64))
 
-    return docs.select(F.col(id_col).alias("doc_id"), fp(F.col(text_col).cast("string")).alias("fp"))
+    return docs.select(F.col(id_col).alias("doc_id"), fp(F.col(text_col).cast("string")).alias("fp"), *keep)
 
 
 @dataclass
@@ -206,21 +206,22 @@ def links(fps: DataFrame, reach: int = 2, least: int = SAMPLE, leaf: int = LEAF)
     return fps.select("fp").mapInPandas(deal, "shard long, fp long, own boolean").groupBy("shard").applyInPandas(match, "a long, b long")
 
 
-def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, reach: int = 2) -> DataFrame:
-    """(doc_id, fp, fingerprint, component_id): near-duplicate classes of whole texts, one row per row of docs.
+def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, reach: int = 2, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, fp, fingerprint, component_id, class_fp, *keep): near-duplicate classes of whole texts, one row per row of docs.
 
-    component_id is the smallest doc_id reachable over links of at most `reach` differing bits, the document's own included.
+    component_id is the smallest doc_id reachable over links of at most `reach` differing bits, the document's own included;
+    class_fp, the smallest fingerprint of the class as a signed long, names it where no document of it has an id.
     Null, blank and very long texts are ordinary (no words: fingerprint 0); repeated rows share a fingerprint; a null
     doc_id gets a row and takes no part in the smallest id; an empty table gives an empty result; other columns are not read.
     """
-    own = cut(fingerprints(docs, id_col, text_col, shingle))
+    own = cut(fingerprints(docs, id_col, text_col, shingle, keep))
     distinct = cut(own.groupBy("fp").agg(F.min("doc_id").alias("first")))
     parts = connected_components(links(distinct, reach))
     named = distinct.join(parts, distinct.fp == parts.node, "left").select("fp", "first", F.coalesce("component", "fp").alias("part"))
     least = named.groupBy("part").agg(F.min("first").alias("component_id"))
-    named = named.join(least, "part").select("fp", "component_id")
+    named = named.join(least, "part").select("fp", "component_id", F.col("part").alias("class_fp"))
     hexed = F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint")
-    return own.join(named, "fp").select("doc_id", "fp", hexed, "component_id")
+    return own.join(named, "fp").select("doc_id", "fp", hexed, "component_id", "class_fp", *keep)
 
 
 def op5(spark, sf_dir: str) -> DataFrame:

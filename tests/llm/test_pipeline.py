@@ -49,9 +49,24 @@ def test_stages(spark):
 
 
 def test_odd(spark, odd_docs, tmp_path):
+    """What each stage keeps of odd rows; an empty table stays empty, clashing columns stay as they are."""
     spark.createDataFrame([(1, "alpha beta")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     for docs in (odd_docs, odd_docs.limit(0)):
-        for _, stage in corpus_pipeline.STAGES:
-            docs = cut(stage(spark, docs, str(tmp_path)))
+        for name, stage in corpus_pipeline.STAGES:
+            before, docs = docs.collect(), cut(stage(spark, docs, str(tmp_path)))
+            rows = docs.collect()
+            assert bool(rows) == bool(before)
+            if name == "language_id":
+                assert {r["doc_id"] for r in rows} <= {1, 2, 6, 7, 8, 9, 10, 12, None}
+            if name != "sharding":
+                assert docs.columns == odd_docs.columns and {tuple(r) for r in rows} <= {tuple(r) for r in before}
         assert set(odd_docs.columns) <= set(docs.columns)
+
+
+def test_near_duplicates_keep_one_of_each_group(spark):
+    words = " ".join(f"w{k}" for k in range(40))
+    rows = [(5, words, 1), (3, words, 2), (3, "another text of its own under the same id", 3), (None, words, 4), (None, "a row without an id", 5), (None, "a row without an id", 6), (9, None, 7), (8, "  ", 8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, hash int")
+    kept = sorted((r["doc_id"] or 0, r["text"] or "") for r in corpus_pipeline.near_duplicates(spark, docs, "").collect())
+    assert kept == [(0, "a row without an id"), (3, "another text of its own under the same id"), (3, words), (8, "  ")]
