@@ -4,36 +4,179 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-_TYPES = {"s": T.StringType(), "l": T.LongType(), "b": T.BooleanType(), "as": T.ArrayType(T.StringType()), "al": T.ArrayType(T.LongType())}
+STRING, LONG, BOOLEAN = T.StringType(), T.LongType(), T.BooleanType()
+STRINGS, LONGS = T.ArrayType(STRING), T.ArrayType(LONG)
 
 
-def _contract(text: str) -> T.StructType:
-    """A StructType from `name:kind` words; a word without a kind is a string."""
-    return T.StructType([T.StructField(n, _TYPES[k or "s"]) for n, _, k in (w.partition(":") for w in text.split())])
+def _contract(*fields: tuple[str, T.DataType]) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in fields])
 
 
-#: The fields of each contract, in order (s string, l bigint, b boolean, as/al arrays).
+#: The fields of each contract, in order.
 BLOCK = _contract(
-    "type number:l hash parent_hash nonce:l sha3_uncles logs_bloom transactions_root state_root receipts_root miner difficulty total_difficulty size:l extra_data"
-    " gas_limit:l gas_used:l timestamp:l transaction_count:l base_fee_per_gas withdrawals_root withdrawals blob_gas_used:l excess_blob_gas:l id ingest_timestamp:l"
+    ("type", STRING),
+    ("number", LONG),
+    ("hash", STRING),
+    ("parent_hash", STRING),
+    ("nonce", LONG),
+    ("sha3_uncles", STRING),
+    ("logs_bloom", STRING),
+    ("transactions_root", STRING),
+    ("state_root", STRING),
+    ("receipts_root", STRING),
+    ("miner", STRING),
+    ("difficulty", STRING),
+    ("total_difficulty", STRING),
+    ("size", LONG),
+    ("extra_data", STRING),
+    ("gas_limit", LONG),
+    ("gas_used", LONG),
+    ("timestamp", LONG),
+    ("transaction_count", LONG),
+    ("base_fee_per_gas", STRING),
+    ("withdrawals_root", STRING),
+    ("withdrawals", STRING),
+    ("blob_gas_used", LONG),
+    ("excess_blob_gas", LONG),
+    ("id", STRING),
+    ("ingest_timestamp", LONG),
 )
 TRANSACTION = _contract(
-    "type hash block_hash transaction_index:l from_address to_address nonce:l block_number:l block_timestamp:l value gas:l gas_price max_fee_per_gas max_priority_fee_per_gas"
-    " max_fee_per_blob_gas transaction_type:l chain_id:l v:l r s input blob_versioned_hashes:as receipt_cumulative_gas_used:l receipt_gas_used:l receipt_contract_address receipt_status:l"
-    " receipt_effective_gas_price receipt_transaction_type:l receipt_l1_fee receipt_l1_gas_used:l receipt_l1_gas_price receipt_l1_fee_scalar receipt_blob_gas_price receipt_blob_gas_used:l id ingest_timestamp:l"
+    ("type", STRING),
+    ("hash", STRING),
+    ("block_hash", STRING),
+    ("transaction_index", LONG),
+    ("from_address", STRING),
+    ("to_address", STRING),
+    ("nonce", LONG),
+    ("block_number", LONG),
+    ("block_timestamp", LONG),
+    ("value", STRING),
+    ("gas", LONG),
+    ("gas_price", STRING),
+    ("max_fee_per_gas", STRING),
+    ("max_priority_fee_per_gas", STRING),
+    ("max_fee_per_blob_gas", STRING),
+    ("transaction_type", LONG),
+    ("chain_id", LONG),
+    ("v", LONG),
+    ("r", STRING),
+    ("s", STRING),
+    ("input", STRING),
+    ("blob_versioned_hashes", STRINGS),
+    ("receipt_cumulative_gas_used", LONG),
+    ("receipt_gas_used", LONG),
+    ("receipt_contract_address", STRING),
+    ("receipt_status", LONG),
+    ("receipt_effective_gas_price", STRING),
+    ("receipt_transaction_type", LONG),
+    ("receipt_l1_fee", STRING),
+    ("receipt_l1_gas_used", LONG),
+    ("receipt_l1_gas_price", STRING),
+    ("receipt_l1_fee_scalar", STRING),
+    ("receipt_blob_gas_price", STRING),
+    ("receipt_blob_gas_used", LONG),
+    ("id", STRING),
+    ("ingest_timestamp", LONG),
+)
+LOG = _contract(
+    ("type", STRING),
+    ("log_index", LONG),
+    ("transaction_hash", STRING),
+    ("transaction_index", LONG),
+    ("block_hash", STRING),
+    ("block_number", LONG),
+    ("block_timestamp", LONG),
+    ("address", STRING),
+    ("data", STRING),
+    ("topics", STRINGS),
+    ("removed", BOOLEAN),
+    ("id", STRING),
+    ("ingest_timestamp", LONG),
 )
-LOG = _contract("type log_index:l transaction_hash transaction_index:l block_hash block_number:l block_timestamp:l address data topics:as removed:b id ingest_timestamp:l")
 TOKEN_TRANSFER = _contract(
-    "type transfer_type source_log_id token_address from_address to_address token_id amount transaction_hash transaction_index:l block_hash block_number:l block_timestamp:l log_index:l transfer_index:l id ingest_timestamp:l"
+    ("type", STRING),
+    ("transfer_type", STRING),
+    ("source_log_id", STRING),
+    ("token_address", STRING),
+    ("from_address", STRING),
+    ("to_address", STRING),
+    ("token_id", STRING),
+    ("amount", STRING),
+    ("transaction_hash", STRING),
+    ("transaction_index", LONG),
+    ("block_hash", STRING),
+    ("block_number", LONG),
+    ("block_timestamp", LONG),
+    ("log_index", LONG),
+    ("transfer_index", LONG),
+    ("id", STRING),
+    ("ingest_timestamp", LONG),
 )
 TRACE = _contract(
-    "type block_number:l block_hash block_timestamp:l transaction_hash trace_id parent_trace_id trace_index:l from_address to_address value input output call_type trace_type status error gas:l gas_used:l"
-    " depth:l subtraces:l reward_type trace_address:al trace_source trace_method id ingest_timestamp:l"
+    ("type", STRING),
+    ("block_number", LONG),
+    ("block_hash", STRING),
+    ("block_timestamp", LONG),
+    ("transaction_hash", STRING),
+    ("trace_id", STRING),
+    ("parent_trace_id", STRING),
+    ("trace_index", LONG),
+    ("from_address", STRING),
+    ("to_address", STRING),
+    ("value", STRING),
+    ("input", STRING),
+    ("output", STRING),
+    ("call_type", STRING),
+    ("trace_type", STRING),
+    ("status", STRING),
+    ("error", STRING),
+    ("gas", LONG),
+    ("gas_used", LONG),
+    ("depth", LONG),
+    ("subtraces", LONG),
+    ("reward_type", STRING),
+    ("trace_address", LONGS),
+    ("trace_source", STRING),
+    ("trace_method", STRING),
+    ("id", STRING),
+    ("ingest_timestamp", LONG),
 )
 DEAD_LETTER = _contract(
-    "chain network pipeline entity cursor:l stage error_type error_message payload context retry_count:l max_retry:l status first_seen_at:l last_attempt_at:l next_retry_at:l id ingest_timestamp:l"
+    ("chain", STRING),
+    ("network", STRING),
+    ("pipeline", STRING),
+    ("entity", STRING),
+    ("cursor", LONG),
+    ("stage", STRING),
+    ("error_type", STRING),
+    ("error_message", STRING),
+    ("payload", STRING),
+    ("context", STRING),
+    ("retry_count", LONG),
+    ("max_retry", LONG),
+    ("status", STRING),
+    ("first_seen_at", LONG),
+    ("last_attempt_at", LONG),
+    ("next_retry_at", LONG),
+    ("id", STRING),
+    ("ingest_timestamp", LONG),
+)
+CHECKPOINT = _contract(
+    ("cursor", LONG),
+    ("status", STRING),
+    ("updated_at_ms", LONG),
+    ("pipeline", STRING),
+    ("chain_uid", STRING),
+    ("chain_type", STRING),
+    ("network", STRING),
+    ("mode", STRING),
+    ("primary_unit", STRING),
+    ("entities", STRINGS),
+    ("error", STRING),
+    ("id", STRING),
+    ("ingest_timestamp", LONG),
 )
-CHECKPOINT = _contract("cursor:l status updated_at_ms:l pipeline chain_uid chain_type network mode primary_unit entities:as error id ingest_timestamp:l")
 WATERMARK_STATE = CHECKPOINT
 CONTRACTS = {"block": BLOCK, "transaction": TRANSACTION, "log": LOG, "token_transfer": TOKEN_TRANSFER, "trace": TRACE}
 #: What a reader of the messages finds where nothing was set.

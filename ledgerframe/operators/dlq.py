@@ -75,10 +75,14 @@ def next_retry_at(retry_count: Column, base_ms: int, now_ms: Column | int) -> Co
     return (now + F.lit(base_ms) * F.pow(F.lit(2.0), F.greatest(retry_count - 1, F.lit(0)))).cast("bigint")
 
 
+def _count(name: str) -> Column:
+    return F.coalesce(F.col(name), F.lit(0)).cast("bigint")
+
+
 def should_retry(now_ms: int) -> Column:
-    """Open records with retries left that are due (NULL or 0: due now)."""
+    """Open records with retries left (missing counts are 0) that are due (NULL or 0: due now)."""
     due = F.coalesce(F.col("next_retry_at"), F.lit(0)) <= now_ms
-    return F.col("status").isin("pending", "retrying") & (F.col("retry_count") < F.col("max_retry")) & due
+    return F.coalesce(F.col("status").isin("pending", "retrying"), F.lit(False)) & (_count("retry_count") < _count("max_retry")) & due
 
 
 def retry_delay_ms(now_ms: int) -> Column:
@@ -86,12 +90,23 @@ def retry_delay_ms(now_ms: int) -> Column:
 
 
 def retry_transition(df: DataFrame, base_ms: int, now_ms: int) -> DataFrame:
-    """The records after a failed retry: one more try; failed at the limit, else retrying with a new due time. Ids and first_seen_at stay."""
-    n = F.col("retry_count") + 1
-    spent = n >= F.col("max_retry")
+    """The records after a failed retry: one more try; failed at the limit, else retrying with a new due time.
+
+    Ids and first_seen_at stay. What the new failure says, in columns new_error_type, new_error_message, new_payload and
+    new_context (which go), takes the place of the old; a missing payload or context keeps the old one.
+    """
+    n = _count("retry_count") + 1
+    spent = n >= _count("max_retry")
+    told = {}
+    for name in ("error_type", "error_message", "payload", "context"):
+        if f"new_{name}" in df.columns:
+            new = F.col(f"new_{name}")
+            new = F.when(new.isNotNull(), summarize_payload(new)) if name == "payload" else new
+            told[name] = F.coalesce(new, F.col(name)) if name in df.columns else new
     return df.withColumns({
-        "retry_count": n, "status": F.when(spent, "failed").otherwise("retrying"), "next_retry_at": F.when(~spent, next_retry_at(n, base_ms, now_ms)), "last_attempt_at": F.lit(now_ms).cast("bigint"), "ingest_timestamp": F.lit(now_ms).cast("bigint"),
-    })
+        **told, "retry_count": n, "max_retry": _count("max_retry"), "status": F.when(spent, "failed").otherwise("retrying"),
+        "next_retry_at": F.when(~spent, next_retry_at(n, base_ms, now_ms)), "last_attempt_at": F.lit(now_ms).cast("bigint"), "ingest_timestamp": F.lit(now_ms).cast("bigint"),
+    }).drop(*[f"new_{name}" for name in told])
 
 
 def resolve_transition(df: DataFrame, now_ms: int) -> DataFrame:
@@ -123,13 +138,44 @@ def replay_cursor_records(log: DataFrame, cursors: DataFrame, order: str = "seq"
     return latest.join(cursors, "cursor", "left_semi").groupBy("cursor").agg(F.count("*").alias("n_records"), F.array_sort(F.collect_list("id")).alias("ids"))
 
 
-def retry_job(log: DataFrame, still_failing: DataFrame, base_ms: int, now_ms: int, order: str = "seq") -> DataFrame:
-    """New states of the latest retryable records: retried where still_failing(cursor, entity) lists them, else resolved."""
+_ENTITIES = ("block", "transaction", "receipt", "log", "trace")
+#: What a record says whose raw rows did not come again.
+NO_PAYLOAD = "no payload for the cursor"
+
+
+def _run_again(raw: DataFrame, cursors: DataFrame, run, methods: list[str]) -> tuple[dict[str, DataFrame], DataFrame, DataFrame]:
+    """(bundle, failures, whole): the raw rows of cursors ingested again; whole lists the cursors that have raw rows of all methods."""
+    if "error" not in raw.columns:
+        raw = raw.withColumn("error", F.lit(None).cast("string"))
+    own = raw.join(cursors.select("cursor").distinct(), "cursor", "left_semi")
+    bundle, failures = run(own)
+    have = own.where(F.col("method").isin(methods)).groupBy("cursor").agg(F.count_distinct("method").alias("__n"))
+    return bundle, failures, have.where(F.col("__n") == len(set(methods))).select("cursor")
+
+
+def retry_job(log: DataFrame, raw: DataFrame, run, methods: list[str], base_ms: int, now_ms: int, order: str = "seq") -> tuple[dict[str, DataFrame], DataFrame, DataFrame]:
+    """(bundle, states, gaps): the due records' cursors ingested again, the records' new states, and gap rows(cursor, status, error).
+
+    run(raw rows of those cursors) gives (bundle, failures). A record whose cursor has raw rows of all methods and no failure is
+    resolved; else it takes the cursor's last failure in entity order, or NO_PAYLOAD, and waits for its next try or fails.
+    """
     due = latest_by_key(log, ["id"], [order]).where(should_retry(now_ms))
-    bad = still_failing.select("cursor", "entity").distinct().withColumn("__bad", F.lit(True))
-    both = due.join(bad, ["cursor", "entity"], "left")
-    columns = due.columns
-    return retry_transition(both.where("__bad").select(columns), base_ms, now_ms).unionByName(resolve_transition(both.where("__bad IS NULL").select(columns), now_ms))
+    bundle, failures, whole = _run_again(raw, due.where("cursor IS NOT NULL"), run, methods)
+    rank = F.array_position(F.array(*map(F.lit, _ENTITIES)), F.col("entity"))
+    last = failures.groupBy("cursor").agg(F.max_by(F.struct("error_type", "error_message", "context"), F.struct(rank, "stage", "error_message")).alias("__f"))
+    both = due.join(last, "cursor", "left").join(whole.withColumn("__whole", F.lit(True)), "cursor", "left")
+    bad = F.col("__f").isNotNull() | F.col("__whole").isNull()
+    told = {
+        "new_error_type": F.coalesce("__f.error_type", F.lit("RpcError")),
+        "new_error_message": F.coalesce("__f.error_message", F.lit(NO_PAYLOAD)),
+        "new_context": F.col("__f.context"),
+    }
+    again = retry_transition(both.where(bad).withColumns(told).drop("__f", "__whole"), base_ms, now_ms)
+    fine = resolve_transition(both.where(~bad).drop("__f", "__whole"), now_ms)
+    states = again.unionByName(fine, allowMissingColumns=True).select(*due.columns, *[c for c in ("error_type", "error_message", "context") if c not in due.columns])
+    done = F.col("status") == "resolved"
+    gaps = states.where("cursor IS NOT NULL").groupBy("cursor").agg(F.every(done).alias("done"), F.max(F.when(~done, F.col("error_message"))).alias("error"))
+    return bundle, states, gaps.select("cursor", F.when(F.col("done"), "completed").otherwise("failed").alias("status"), "error")
 
 
 def replay_job(log: DataFrame, raw: DataFrame, run, methods: list[str], now_ms: int, order: str = "seq", most: int | None = None, **wanted: str | None) -> tuple[dict[str, DataFrame], DataFrame]:
@@ -138,14 +184,10 @@ def replay_job(log: DataFrame, raw: DataFrame, run, methods: list[str], now_ms:
     run(raw rows of the replay cursors) ingests them and gives (bundle, failures); a record is resolved only if its cursor has
     raw rows of all methods, those that run needs, and is not among the failures. Raw rows without an error column have no RPC errors.
     """
-    if "error" not in raw.columns:
-        raw = raw.withColumn("error", F.lit(None).cast("string"))
     cursors = replay_cursors(log, order, most, **wanted)
     own = replay_filter(latest_by_key(log, ["id"], [order]), **wanted).join(cursors, "cursor", "left_semi")
-    raw = raw.join(cursors, "cursor", "left_semi")
-    bundle, failures = run(raw)
-    have = raw.where(F.col("method").isin(methods)).groupBy("cursor").agg(F.count_distinct("method").alias("__n")).where(F.col("__n") == len(set(methods))).select("cursor")
-    worked = own.join(have, "cursor", "left_semi").join(failures.select("cursor"), "cursor", "left_anti").select(own.columns)
+    bundle, failures, whole = _run_again(raw, cursors, run, methods)
+    worked = own.join(whole, "cursor", "left_semi").join(failures.select("cursor"), "cursor", "left_anti").select(own.columns)
     return bundle, resolve_transition(worked, now_ms)
 
 

@@ -11,11 +11,19 @@ RECEIPT_FIELDS = (
 
 
 def enrich_transactions(transactions: DataFrame, receipts: DataFrame) -> DataFrame:
-    """transactions with receipt_* columns by hash; NULL where there is no receipt. Of several receipts of a hash the one of the highest transaction_index counts."""
+    """transactions with receipt_* columns by hash, within a cursor where both sides have one; NULL where there is no receipt.
+
+    Of several receipts of a hash the last in order of arrival counts: `arrival`, the place in the payload, or transaction_index
+    where a table has no such column. A missing hash never matches.
+    """
     have = [c for c in RECEIPT_FIELDS if c in receipts.columns]
-    own = receipts.where("transaction_hash IS NOT NULL").groupBy("transaction_hash").agg(F.max_by(F.struct(*have), F.coalesce("transaction_index", F.lit(-1))).alias("__r"))
-    joined = transactions.join(own, transactions["hash"] == own["transaction_hash"], "left")
-    return joined.select(*[transactions[c] for c in transactions.columns], *[F.col(f"__r.{c}").alias(f"receipt_{c}") for c in have])
+    order = "arrival" if "arrival" in receipts.columns else "transaction_index"
+    by = ["cursor"] if "cursor" in transactions.columns and "cursor" in receipts.columns else []
+    known = receipts.where("transaction_hash IS NOT NULL").withColumnRenamed("transaction_hash", "__hash")
+    own = known.groupBy(*by, "__hash").agg(F.max_by(F.struct(*have), F.coalesce(order, F.lit(-1))).alias("__r"))
+    rows = transactions.withColumn("__hash", F.col("hash"))
+    joined = rows.join(own, [*by, "__hash"], "left")
+    return joined.select(*transactions.columns, *[F.col(f"__r.{c}").alias(f"receipt_{c}") for c in have])
 
 
 def inject_block_context(rows: DataFrame, blocks: DataFrame) -> DataFrame:

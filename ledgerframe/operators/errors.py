@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from ledgerframe.operators.parse import block_payloads, receipt_payloads
+
 _DETAILS = "struct<networkId:string,projectId:string,upstreams:bigint,durationMs:bigint,retries:bigint,attempts:bigint,hedges:bigint,blockNumber:bigint,latestBlock:bigint,finalizedBlock:bigint>"
 _CAUSE = f"struct<code:string,details:{_DETAILS},cause:struct<code:string,details:{_DETAILS}>>"
 _ERROR = f"struct<code:bigint,message:string,data:struct<code:string,details:{_DETAILS},cause:array<{_CAUSE}>>>"
@@ -50,27 +52,23 @@ def classify_rpc_error(errors: DataFrame) -> DataFrame:
     )
 
 
-#: Keys without which a payload can't be parsed, by entity.
-REQUIRED = {
-    "block": ("number", "hash", "parentHash"),
-    "receipt": ("blockNumber", "blockHash", "transactionHash", "transactionIndex"),
-    "log": ("logIndex", "transactionHash", "transactionIndex", "blockHash", "blockNumber", "address", "data", "topics"),
-}
 _ORDER = ("block", "transaction", "receipt", "log", "trace")
 
 
 def parse_failures(raw: DataFrame, entity: str) -> DataFrame:
     """(cursor, entity, error_message) of payloads of the wrong shape or without a required key (an explicit null counts as missing)."""
-    keys = REQUIRED.get(entity, ())
-    one = "struct<" + ",".join(f"{k}:string" for k in keys) + ">" if keys else "struct<a:string>"
-    lacks = lambda x: F.array_join(F.filter(F.array(*[F.when(x[k].isNull(), F.lit(k)) for k in keys]), lambda m: m.isNotNull()), ",") if keys else F.lit("")
-    kind = {"block": one, "transaction": one, "log": f"array<struct<logs:array<{one}>>>"}.get(entity, f"array<{one}>")
-    shape = F.when(~F.coalesce(F.ltrim(F.col("result")).startswith("{" if entity in ("block", "transaction") else "["), F.lit(False)) | F.col("p").isNull(), "wrong shape")
-    p = F.col("p")
-    listed = F.flatten(F.transform(p, lambda r: F.coalesce(r["logs"], F.array().cast(f"array<{one}>")))) if entity == "log" else p
-    missing = lacks(p) if entity in ("block", "transaction") else F.array_join(F.array_distinct(F.filter(F.transform(listed, lacks), lambda x: x != "")), ";")
-    found = raw.withColumn("p", F.from_json("result", kind)).withColumn("why", F.coalesce(shape, F.when(missing != "", F.concat(F.lit("missing "), missing))))
-    return found.where("why IS NOT NULL").select("cursor", F.lit(entity).alias("entity"), F.col("why").alias("error_message"))
+    if entity in ("block", "transaction"):
+        return failures_of(block_payloads(raw, whole=False), {"block": entity})
+    if entity in ("receipt", "log"):
+        return failures_of(receipt_payloads(raw), {entity: entity})
+    shape = F.coalesce(F.ltrim("result").startswith("["), F.lit(False)) & F.from_json("result", "array<struct<a:string>>").isNotNull()
+    return raw.where(~shape).select("cursor", F.lit(entity).alias("entity"), F.lit("wrong shape").alias("error_message"))
+
+
+def failures_of(payloads: DataFrame, entities: dict[str, str]) -> DataFrame:
+    """(cursor, entity, error_message) of parsed payloads: of each why_ column named, the rows that have a reason, under the entity given."""
+    reasons = F.array(*[F.struct(F.lit(entity).alias("entity"), F.col(f"why_{own}").alias("error_message")) for own, entity in entities.items()])
+    return payloads.select("cursor", F.inline(reasons)).where("error_message IS NOT NULL")
 
 
 def capture_failures(rpc_errors: DataFrame, parse_errors: DataFrame | None = None) -> DataFrame:

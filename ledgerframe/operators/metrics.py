@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
@@ -27,12 +29,51 @@ def merge_delivery_summaries(summaries: DataFrame, by: list[str]) -> DataFrame:
     return _differences(out)
 
 
+def exact_percentiles(df: DataFrame, value: str, shares: list[float], cells: int = 4096) -> list[float | None]:
+    """The exact, linearly interpolated percentiles of a numeric column; None without values.
+
+    A search by range: the value range is cut into cells, whose counts tell the few that hold the places asked for, and those are cut
+    again until each holds one value, which takes a few passes. Only counts of cells come to the driver.
+    """
+    rows = df.where(F.col(value).isNotNull()).select(F.col(value).cast("double").alias("v"))
+    lo, hi, n = rows.agg(F.min("v"), F.max("v"), F.count("*")).first()
+    if not n:
+        return [None] * len(shares)
+    places = [(n - 1) * p for p in shares]
+    found: dict[int, float] = {}
+    # Ranges still open, with the ranks looked for: {rank in all: rank within the range}.
+    ranges = {(lo, hi): {r: r for at in places for r in (math.floor(at), math.ceil(at))}}
+    while ranges:
+        for low, high in [x for x in ranges if x[0] == x[1]]:
+            found |= dict.fromkeys(ranges.pop((low, high)), low)
+        own = list(ranges)
+        if not own:
+            break
+        cell = F.lit(None).cast("int")
+        for k, (low, high) in enumerate(own):
+            at = F.least(F.floor((F.col("v") - low) / (high - low) * cells), F.lit(cells - 1)).cast("int") + k * cells
+            cell = F.when(F.col("v").between(low, high), at).otherwise(cell)
+        counts = rows.withColumn("cell", cell).where("cell IS NOT NULL").groupBy("cell").agg(F.count("*").alias("c"), F.min("v").alias("low"), F.max("v").alias("high"))
+        after: dict[tuple[float, float], dict[int, int]] = {}
+        before, last = 0, -1
+        for r in sorted(counts.collect(), key=lambda r: r["cell"]):
+            k = r["cell"] // cells
+            before = before if k == last else 0
+            for rank, place in ranges[own[k]].items():
+                if before <= place < before + r["c"]:
+                    after.setdefault((r["low"], r["high"]), {})[rank] = place - before
+            before, last = before + r["c"], k
+        ranges = after
+    return [found[math.floor(at)] + (found[math.ceil(at)] - found[math.floor(at)]) * (at - math.floor(at)) for at in places]
+
+
 def benchmark_summary(samples: DataFrame, value: Column, elapsed_s: float) -> DataFrame:
     """Mean, extremes and exact interpolated percentiles of value; blocks and messages a second (NULL without elapsed time)."""
     v = samples.withColumn("v", value)
     rate = F.nullif(F.greatest(F.lit(float(elapsed_s)), F.lit(0.0)), F.lit(0.0))
-    out = v.agg(F.count("*").alias("blocks"), F.sum("messages").alias("messages"), F.avg("v").alias("avg_ms"), F.min("v").alias("min_ms"), F.max("v").alias("max_ms"), F.percentile("v", F.array(F.lit(0.5), F.lit(0.95), F.lit(0.99))).alias("p"))
-    return out.select("blocks", "messages", "avg_ms", "min_ms", "max_ms", F.col("p")[0].alias("p50_ms"), F.col("p")[1].alias("p95_ms"), F.col("p")[2].alias("p99_ms"), (F.col("blocks") / rate).alias("blocks_per_s"), (F.col("messages") / rate).alias("messages_per_s"))
+    out = v.agg(F.count("*").alias("blocks"), F.sum("messages").alias("messages"), F.avg("v").alias("avg_ms"), F.min("v").alias("min_ms"), F.max("v").alias("max_ms"))
+    p = dict(zip(("p50_ms", "p95_ms", "p99_ms"), exact_percentiles(v, "v", [0.5, 0.95, 0.99]), strict=True))
+    return out.withColumns({k: F.lit(x).cast("double") for k, x in p.items()} | {"blocks_per_s": F.col("blocks") / rate, "messages_per_s": F.col("messages") / rate})
 
 
 def percentile_floor(df: DataFrame, value: str, percents: list[int], by: list[str]) -> DataFrame:
@@ -108,7 +149,8 @@ def head_age(observations: DataFrame, blocks: DataFrame) -> DataFrame:
 def progress_snapshot(samples: DataFrame, start: int, end: int, elapsed_s: float) -> DataFrame:
     """Progress, rate, time left and latency figures of a bounded run."""
     total = float(end - start + 1)
-    out = samples.agg(F.count("*").alias("done"), F.avg("latency_ms").alias("avg_ms"), F.min("latency_ms").alias("min_ms"), F.max("latency_ms").alias("max_ms"), F.percentile("latency_ms", 0.95).alias("p95_ms"))
+    out = samples.agg(F.count("*").alias("done"), F.avg("latency_ms").alias("avg_ms"), F.min("latency_ms").alias("min_ms"), F.max("latency_ms").alias("max_ms"))
+    out = out.withColumn("p95_ms", F.lit(exact_percentiles(samples, "latency_ms", [0.95])[0]).cast("double"))
     rate = F.col("done") / F.nullif(F.lit(float(elapsed_s)), F.lit(0.0))
     left = F.greatest(F.lit(total) - F.col("done"), F.lit(0.0))
     return out.withColumns({"progress": F.least(F.col("done") / total, F.lit(1.0)), "rate": rate, "remaining": left, "eta_s": left / F.nullif(rate, F.lit(0.0))})
@@ -121,10 +163,19 @@ def payload_stats(raw: DataFrame) -> DataFrame:
     return r.select("cursor", F.size("r").cast("long").alias("receipts"), logs.cast("long").alias("logs"), (F.octet_length("result") / 1024).alias("payload_kb"))
 
 
-def rolling_messages(samples: DataFrame, seconds: int = 60, time: str = "completed_s", by: list[str] | None = None) -> DataFrame:
-    """samples with the messages of the trailing seconds, this one's included."""
-    w = Window.partitionBy(*(by or [])).orderBy(time).rangeBetween(-seconds, 0)
-    return samples.withColumn("rolling_messages", F.sum("messages").over(w))
+def rolling_messages(samples: DataFrame, seconds: int = 60, time: str = "completed_s", by: list[str] | None = None, block: int = 86_400) -> DataFrame:
+    """samples with the messages of the trailing seconds, this one's included; without messages 0 is added.
+
+    Each block of time also gets the messages of the seconds before it, summed by second, so that no window holds more than a block's rows.
+    """
+    by, block = by or [], max(block, seconds)
+    rows = samples.withColumn("__block", F.floor(F.col(time) / block))
+    own = rows.select("*", F.lit(True).alias("__own"))
+    tail = rows.groupBy(*by, "__block", time).agg(F.sum("messages").alias("messages"))
+    tail = tail.where(F.col(time) >= (F.col("__block") + 1) * block - seconds).withColumns({"__block": F.col("__block") + 1, "__own": F.lit(False)})
+    w = Window.partitionBy(*by, "__block").orderBy(time).rangeBetween(-seconds, 0)
+    both = own.unionByName(tail, allowMissingColumns=True).withColumn("rolling_messages", F.sum("messages").over(w))
+    return both.where("__own").select(*samples.columns, "rolling_messages")
 
 
 def top_by(samples: DataFrame, value: str, k: int, tie: str = "cursor") -> DataFrame:
@@ -137,10 +188,17 @@ def recent(samples: DataFrame, n: int, order: str) -> DataFrame:
     return samples.orderBy(F.desc(order)).limit(n)
 
 
-def message_deltas(totals: DataFrame, order: str, by: list[str] | None = None) -> DataFrame:
-    """totals with the growth since the row before, never negative; the first row's is its total."""
-    w = Window.partitionBy(*(by or [])).orderBy(order)
-    return totals.withColumn("delta", F.greatest(F.col("total") - F.coalesce(F.lag("total").over(w), F.lit(0)), F.lit(0)))
+def message_deltas(totals: DataFrame, order: str, by: list[str] | None = None, block: int = 1_000_000) -> DataFrame:
+    """totals with the growth since the row before, never negative; the first row's is its total. order is a number, `block` of which make a window."""
+    by = by or []
+    rows = totals.withColumn("__block", F.floor(F.col(order) / block))
+    blocks = rows.groupBy(*by, "__block").agg(F.max_by("total", order).alias("__last"))
+    blocks = blocks.withColumn("__earlier", F.lag("__last").over(Window.partitionBy(*by).orderBy("__block"))).drop("__last")
+    within = F.lag("total").over(Window.partitionBy(*by, "__block").orderBy(order))
+    first = F.row_number().over(Window.partitionBy(*by, "__block").orderBy(order)) == 1
+    joined = rows.withColumns({"__within": within, "__first": first}).join(blocks, [*by, "__block"], "left")
+    before = F.when(F.col("__first"), F.col("__earlier")).otherwise(F.col("__within"))
+    return joined.withColumn("delta", F.greatest(F.col("total") - F.coalesce(before, F.lit(0)), F.lit(0))).select(*totals.columns, "delta")
 
 
 def logs_with_samples(logs: DataFrame, samples: DataFrame, n: int, order: str = "seq") -> DataFrame:

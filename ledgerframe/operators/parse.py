@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import json
+import sys
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerframe.functions.hexabi import hex_to_decimal_string as dec, hex_to_long as num
@@ -40,41 +44,100 @@ def _columns(source: str, fields: dict[str, str], change=None) -> list[Column]:
     return out
 
 
-def parse_blocks(raw: DataFrame) -> DataFrame:
-    """cursor and the block fields, one row per raw row whose result is an object.
+#: Keys without which a payload can't be parsed, by entity.
+REQUIRED = {
+    "block": ("number", "hash", "parentHash"),
+    "receipt": ("blockNumber", "blockHash", "transactionHash", "transactionIndex"),
+    "log": ("logIndex", "transactionHash", "transactionIndex", "blockHash", "blockNumber", "address", "data", "topics"),
+}
+_LOGS = f"array<{_schema(_LOG, 'topics:array<string>,removed:boolean')}>"
+_WRONG = "wrong shape"
 
-    transaction_count counts the transactions, whole or as hashes (0 if missing); withdrawals is JSON text ([] if missing).
+
+def _missing(row: Column, keys: tuple[str, ...]) -> Column:
+    """The keys that a parsed object lacks or has as null, joined by commas."""
+    return F.array_join(F.filter(F.array(*[F.when(row[k].isNull(), F.lit(k)) for k in keys]), lambda k: k.isNotNull()), ",")
+
+
+def _why(starts: str, parsed: Column, missing: Column) -> Column:
+    """Why a payload can't be parsed: its shape, or the keys it lacks; NULL if it can."""
+    shape = ~F.coalesce(F.ltrim(F.col("result")).startswith(starts), F.lit(False)) | parsed.isNull()
+    return F.when(shape, _WRONG).when(missing != "", F.concat(F.lit("missing "), missing))
+
+
+def block_payloads(raw: DataFrame, whole: bool) -> DataFrame:
+    """(cursor, b, why_block): block payloads parsed once; b holds the transactions as objects if whole, else as text.
+
+    Keys that count as zero when missing are VARIANT, which tells a missing key from an explicit null.
     """
-    schema = _schema(_BLOCK, "transactions:array<string>,withdrawals:string")
-    rows = raw.select("cursor", "result", F.from_json("result", schema).alias("b")).where("b IS NOT NULL")
-    missing = lambda key, c: F.when(c.isNull() & ~F.array_contains(F.json_object_keys("result"), key), "0x0").otherwise(c) if key in _ZERO else c
-    return rows.select(
-        "cursor", F.lit("block").alias("type"), *_columns("b", _BLOCK, missing), F.coalesce(F.size("b.transactions"), F.lit(0)).cast("long").alias("transaction_count"),
+    fields = ",".join(f"`{k}`:{'variant' if k in _ZERO else 'string'}" for k in _BLOCK)
+    one = _schema(_TRANSACTION, "blobVersionedHashes:array<string>") if whole else "string"
+    rows = raw.select("cursor", "result", F.from_json("result", f"struct<{fields},withdrawals:string,transactions:array<{one}>>").alias("b"))
+    zero = {k: F.when(F.col(f"b.{k}").isNull(), "0x0").otherwise(F.try_variant_get(F.col(f"b.{k}"), "$", "string")) for k in _ZERO}
+    plain = F.struct(*[zero.get(k, F.col(f"b.{k}")).alias(k) for k in _BLOCK], "b.withdrawals", "b.transactions")
+    rows = rows.select("cursor", "result", F.when(F.col("b").isNotNull(), plain).alias("b"))
+    return rows.select("cursor", "b", _why("{", F.col("b"), _missing(F.col("b"), REQUIRED["block"])).alias("why_block"))
+
+
+def receipt_payloads(raw: DataFrame) -> DataFrame:
+    """(cursor, receipts, why_receipt, why_log): receipts payloads with their logs, parsed once."""
+    rows = raw.select("cursor", "result", F.from_json("result", f"array<{_schema(_RECEIPT, f'logs:{_LOGS}')}>").alias("receipts"))
+    every = lambda lists, entity: F.array_join(F.array_distinct(F.filter(F.transform(lists, lambda x: _missing(x, REQUIRED[entity])), lambda m: m != "")), ";")
+    logs = F.flatten(F.transform("receipts", lambda r: F.coalesce(r["logs"], F.array().cast(_LOGS))))
+    why = {e: _why("[", F.col("receipts"), F.coalesce(every(x, e), F.lit(""))) for e, x in (("receipt", F.col("receipts")), ("log", logs))}
+    return rows.select("cursor", "receipts", *[c.alias(f"why_{e}") for e, c in why.items()])
+
+
+def block_rows(payloads: DataFrame) -> DataFrame:
+    """Block rows of block_payloads, one for each payload that is an object."""
+    return payloads.where("b IS NOT NULL").select(
+        "cursor", F.lit("block").alias("type"), *_columns("b", _BLOCK), F.coalesce(F.size("b.transactions"), F.lit(0)).cast("long").alias("transaction_count"),
         F.coalesce("b.withdrawals", F.lit("[]")).alias("withdrawals"),
     )
 
 
-def parse_transactions(raw: DataFrame) -> DataFrame:
-    """cursor and the transaction fields: a row per transaction of a full block; transaction_index is the place in the array."""
-    schema = f"struct<number:string,hash:string,timestamp:string,transactions:array<{_schema(_TRANSACTION, 'blobVersionedHashes:array<string>')}>>"
-    rows = raw.select("cursor", F.from_json("result", schema).alias("b")).select("cursor", "b.number", "b.timestamp", F.col("b.hash").alias("block_hash"), F.posexplode("b.transactions").alias("i", "t"))
+def transaction_rows(payloads: DataFrame) -> DataFrame:
+    """Transaction rows of block_payloads, whole."""
+    rows = payloads.select("cursor", "b.number", "b.timestamp", F.col("b.hash").alias("block_hash"), F.posexplode("b.transactions").alias("i", "t"))
     return rows.select(
         "cursor", F.lit("transaction").alias("type"), *_columns("t", _TRANSACTION), "block_hash", F.col("i").cast("long").alias("transaction_index"), num(F.col("number")).alias("block_number"),
         num(F.col("timestamp")).alias("block_timestamp"), F.coalesce("t.blobVersionedHashes", F.array().cast("array<string>")).alias("blob_versioned_hashes"),
     )
 
 
+def receipt_rows(payloads: DataFrame) -> DataFrame:
+    """Receipt rows of receipt_payloads; arrival is the place in the payload."""
+    rows = payloads.select("cursor", F.posexplode("receipts").alias("i", "r"))
+    return rows.select("cursor", F.lit("receipt").alias("type"), *_columns("r", _RECEIPT), F.col("i").cast("long").alias("arrival"))
+
+
+def log_rows(payloads: DataFrame) -> DataFrame:
+    """Log rows of receipt_payloads."""
+    rows = payloads.select("cursor", F.explode("receipts.logs").alias("ls")).select("cursor", F.explode("ls").alias("l"))
+    return rows.select("cursor", F.lit("log").alias("type"), *_columns("l", _LOG), F.col("l.topics").alias("topics"), F.coalesce("l.removed", F.lit(False)).alias("removed"))
+
+
+def parse_blocks(raw: DataFrame) -> DataFrame:
+    """cursor and the block fields, one row per raw row whose result is an object.
+
+    transaction_count counts the transactions, whole or as hashes (0 if missing); withdrawals is JSON text ([] if missing).
+    """
+    return block_rows(block_payloads(raw, whole=False))
+
+
+def parse_transactions(raw: DataFrame) -> DataFrame:
+    """cursor and the transaction fields: a row per transaction of a full block; transaction_index is the place in the array."""
+    return transaction_rows(block_payloads(raw, whole=True))
+
+
 def parse_receipts(raw: DataFrame) -> DataFrame:
-    """cursor and the receipt fields, a row per receipt."""
-    rows = raw.select("cursor", F.explode(F.from_json("result", f"array<{_schema(_RECEIPT)}>")).alias("r"))
-    return rows.select("cursor", F.lit("receipt").alias("type"), *_columns("r", _RECEIPT))
+    """cursor and the receipt fields, a row per receipt; arrival is its place in the payload."""
+    return receipt_rows(receipt_payloads(raw))
 
 
 def parse_logs(raw: DataFrame) -> DataFrame:
     """cursor and the log fields, a row per log of each receipt; there is no block_timestamp yet."""
-    log = _schema(_LOG, "topics:array<string>,removed:boolean")
-    rows = raw.select("cursor", F.explode(F.from_json("result", f"array<struct<logs:array<{log}>>>")).alias("r")).select("cursor", F.explode("r.logs").alias("l"))
-    return rows.select("cursor", F.lit("log").alias("type"), *_columns("l", _LOG), F.col("l.topics").alias("topics"), F.coalesce("l.removed", F.lit(False)).alias("removed"))
+    return log_rows(receipt_payloads(raw))
 
 
 def trace_id(tx: Column, path: Column) -> Column:
@@ -103,42 +166,85 @@ def parse_trace_block(raw: DataFrame) -> DataFrame:
     )
 
 
-_CALL = "struct<type:string,`from`:string,`to`:string,value:string,gas:string,gasUsed:string,input:string,output:string,error:string,calls:array<string>>"
+#: The public names of a call's fields.
+_CALL = ("type", "from", "to", "value", "gas", "gasUsed", "input", "output", "error")
+#: Calls below this level (the root is level 0) are walked in Python; levels up to it are opened by one expression.
+LEVELS = 8
+_FLAT = "array<struct<path:array<bigint>," + ",".join(f"`{k}`:string" for k in _CALL) + ",subtraces:bigint>>"
+
+
+def _call_schema(levels: int) -> str:
+    return _schema(dict.fromkeys(_CALL, ""), "calls:array<string>" if levels == 0 else f"calls:array<{_call_schema(levels - 1)}>")
+
+
+def _opened(call: Column, path: Column, levels: int) -> Column:
+    """array of the rows of a call and all calls below it, of a tree of at most so many levels below."""
+    own = F.array(F.struct(path.alias("path"), *[call[k].alias(k) for k in _CALL], F.coalesce(F.size(call["calls"]), F.lit(0)).cast("bigint").alias("subtraces")))
+    if levels == 0:
+        return own
+    below = F.transform(call["calls"], lambda x, i: _opened(x, F.concat(path, F.array(i.cast("bigint"))), levels - 1))
+    return F.concat(own, F.coalesce(F.flatten(below), F.array().cast(_FLAT)))
 
 
-def flatten_call_tree(raw: DataFrame, unrolled: int = 3) -> DataFrame:
-    """cursor and the trace fields of recursive call traces, a row per call.
+def _said(x) -> str | None:
+    """A JSON value as from_json gives it for a string field."""
+    return x if x is None or isinstance(x, str) else json.dumps(x, separators=(",", ":"))
 
-    Calls are opened level by level: a level's calls keep their children as JSON text, so a tree may be of any depth. Levels up to
-    `unrolled` make one plan; deeper ones continue from a checkpoint of the open calls until none is left. Transactions
-    without a result give no rows.
+
+def walked(text: str | None) -> list | None:
+    """The rows of a call tree of any depth; None for None."""
+    if text is None:
+        return None
+    try:
+        todo = [([], json_value(text))]
+    except ValueError:
+        todo = [([], None)]
+    out = []
+    while todo:
+        path, call = todo.pop()
+        call = call if isinstance(call, dict) else {}
+        calls = call.get("calls") if isinstance(call.get("calls"), list) else []
+        out.append({"path": path, **{k: _said(call.get(k)) for k in _CALL}, "subtraces": len(calls)})
+        todo += [([*path, i], x) for i, x in enumerate(calls)]
+    return out
+
+
+def json_value(text: str):
+    """The value of a JSON text, however deep it is nested."""
+    limit = sys.getrecursionlimit()
+    sys.setrecursionlimit(max(limit, 20_000))
+    try:
+        return json.loads(text, parse_float=str, parse_int=str)
+    finally:
+        sys.setrecursionlimit(limit)
+
+
+def flatten_call_tree(raw: DataFrame) -> DataFrame:
+    """cursor and the trace fields of recursive call traces, a row per call; one pass over raw, nothing runs while the plan is made.
+
+    A tree is parsed once and opened by one expression. Trees that may be deeper than LEVELS, told by the number of their
+    "calls" keys, go to a small walker instead; the others give it NULLs. Transactions without a result give no rows.
     """
     tops = raw.select("cursor", F.explode(F.from_json("result", "array<struct<txHash:string,transactionHash:string,result:string>>")).alias("t"))
     tx = F.coalesce(F.nullif("t.txHash", F.lit("")), F.col("t.transactionHash"))
-    empty = F.col("t.result").isin("{}", "[]", "null", "false", "0", '""')
-    level = tops.where(F.col("t.result").isNotNull() & ~empty).select("cursor", tx.alias("tx"), F.array().cast("array<bigint>").alias("path"), F.from_json("t.result", _CALL).alias("c"))
-    levels, depth = [level], 0
-    while True:
-        depth += 1
-        level = level.select("cursor", "tx", "path", F.posexplode("c.calls").alias("i", "text")).select("cursor", "tx", F.concat("path", F.array(F.col("i").cast("long"))).alias("path"), F.from_json("text", _CALL).alias("c"))
-        if depth >= unrolled:
-            if raw.sparkSession.sparkContext.getCheckpointDir() is None and raw.sparkSession.conf.get("spark.checkpoint.dir", None) is None:
-                import tempfile
-
-                raw.sparkSession.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
-            level = level.checkpoint()
-            if not level.limit(1).count():
-                break
-        levels.append(level)
-    rows = levels[0]
-    for more in levels[1:]:
-        rows = rows.unionByName(more)
-    tx, path, none = F.col("tx"), F.col("path"), F.lit(None).cast("string")
-    return rows.select(
+    text = F.col("t.result")
+    empty = text.isin("{}", "[]", "null", "false", "0", '""')
+    rows = tops.where(text.isNotNull() & ~empty).select("cursor", tx.alias("tx"), text.alias("text"))
+    deep = F.char_length("text") - F.char_length(F.replace("text", F.lit('"calls"'), F.lit(""))) > len('"calls"') * LEVELS
+
+    @F.pandas_udf(_FLAT)
+    def walk(texts: pd.Series) -> pd.Series:
+        return texts.map(walked, na_action="ignore")
+
+    rows = rows.withColumn("walked", walk(F.when(deep, F.col("text"))))
+    opened = F.transform(F.array(F.from_json("text", _call_schema(LEVELS))), lambda c: _opened(c, F.array().cast("array<bigint>"), LEVELS))
+    flat = rows.select("cursor", "tx", F.explode(F.coalesce("walked", F.flatten(opened))).alias("c"))
+    tx, path, none = F.col("tx"), F.col("c.path"), F.lit(None).cast("string")
+    return flat.select(
         "cursor", F.lit("trace").alias("type"), F.col("cursor").alias("block_number"), tx.alias("transaction_hash"), trace_id(tx, path).alias("trace_id"), parent_trace_id(tx, path).alias("parent_trace_id"),
         F.lit(None).cast("long").alias("trace_index"), F.col("c.from").alias("from_address"), F.col("c.to").alias("to_address"), dec(F.col("c.value")).alias("value"), F.col("c.input").alias("input"),
         F.col("c.output").alias("output"), F.col("c.type").alias("call_type"), F.lit("call").alias("trace_type"), none.alias("status"), F.col("c.error").alias("error"), num(F.col("c.gas")).alias("gas"),
-        num(F.col("c.gasUsed")).alias("gas_used"), F.size("path").cast("long").alias("depth"), F.coalesce(F.size("c.calls"), F.lit(0)).cast("long").alias("subtraces"), none.alias("reward_type"), path.alias("trace_address"),
+        num(F.col("c.gasUsed")).alias("gas_used"), F.size("c.path").cast("long").alias("depth"), F.col("c.subtraces").alias("subtraces"), none.alias("reward_type"), path.alias("trace_address"),
         F.lit("geth").alias("trace_source"), F.lit("debug_trace").alias("trace_method"),
     )
 
@@ -168,6 +274,7 @@ def coalesce_names(df: DataFrame) -> DataFrame:
 
 
 _PARSERS = {"block": parse_blocks, "transaction": parse_transactions, "receipt": parse_receipts, "log": parse_logs, "trace": flatten_call_tree}
+_OWN = dict(_PARSERS)
 
 
 def register_parser(entity: str, parser) -> None:
@@ -177,3 +284,8 @@ def register_parser(entity: str, parser) -> None:
 
 def parser_of(entity: str):
     return _PARSERS[entity]
+
+
+def is_own_parser(entity: str) -> bool:
+    """Whether an entity still has the parser of this module."""
+    return _PARSERS.get(entity) is _OWN.get(entity)

@@ -46,14 +46,24 @@ def preview_watermark(state: DataFrame, batch: DataFrame, initial=None, key: str
 
 
 def merge_state(current: DataFrame, external: DataFrame, watermark: DataFrame, key: str = "identity") -> DataFrame:
-    """current with the newer of external's rows: version is (updated_at_ms, status); rows at or below the watermark are left out.
+    """current with those of external's rows that are newer: version is (updated_at_ms, status); rows at or below the watermark are left out.
 
-    A completed row clears a failed one whatever its version, for a failure does not undo a completion.
+    Of each cursor the newest external row counts, and only if it is newer than the newest current one. A completed current row
+    stays completed, for a later failure does not undo it; an older external completion does not clear a failure.
     """
     cols = [key, "cursor", "status", "updated_at_ms"]
-    rows = current.select(cols).union(external.select(cols)).join(watermark.select(key, "watermark"), key, "left").where("watermark IS NULL OR cursor > watermark")
-    best = rows.groupBy(key, "cursor").agg(F.max(F.struct("updated_at_ms", "status")).alias("v"), F.max(F.when(F.col("status") == "completed", F.struct("updated_at_ms", "status"))).alias("d"))
-    return best.select(key, "cursor", F.coalesce("d.status", "v.status").alias("status"), F.coalesce("d.updated_at_ms", "v.updated_at_ms").alias("updated_at_ms"))
+    rows = current.select(*cols, F.lit(True).alias("own")).union(external.select(*cols, F.lit(False)))
+    rows = rows.join(watermark.select(key, "watermark"), key, "left").where("watermark IS NULL OR cursor > watermark")
+    version = F.struct("updated_at_ms", "status")
+    best = rows.groupBy(key, "cursor").agg(
+        F.max(F.when(F.col("own"), version)).alias("mine"),
+        F.max(F.when(F.col("own") & (F.col("status") == "completed"), version)).alias("done"),
+        F.max(F.when(~F.col("own"), version)).alias("theirs"),
+    )
+    newer = F.col("theirs").isNotNull() & (F.col("mine").isNull() | (F.col("theirs") > F.col("mine")))
+    undone = F.col("done").isNotNull() & (F.col("theirs.status") != "completed")
+    v = F.when(newer & ~undone, F.col("theirs")).otherwise(F.coalesce("done", "mine"))
+    return best.select(key, "cursor", v["status"].alias("status"), v["updated_at_ms"].alias("updated_at_ms"))
 
 
 def needs_state_row(batch: DataFrame, failed: DataFrame, watermark: DataFrame, key: str = "identity") -> DataFrame:
@@ -71,53 +81,73 @@ def gap_metrics(state: DataFrame, watermark: DataFrame, target: Column, key: str
     return out.select(key, "commit_cursor", "gap_count", "oldest_gap", F.greatest(F.col("target") - F.col("commit_cursor"), F.lit(0)).alias("commit_delay"))
 
 
-def checkpoint_rows(watermark: DataFrame, identity: dict[str, Column], status: str, now_ms: int) -> DataFrame:
-    """Watermark rows to the checkpoint contract, with the identity key as id and partition key."""
+_IDENTITY = ("pipeline", "chain_uid", "chain_type", "network", "mode", "entities")
+
+
+def _state_contract(rows: DataFrame, identity: dict[str, Column], status: Column, error: Column, now_ms: int, by_cursor: bool) -> DataFrame:
     from ledgerframe.operators.identity import identity_key
 
-    fields = {k: identity[k] for k in ("pipeline", "chain_uid", "chain_type", "network", "mode", "entities")}
-    key = identity_key(fields["pipeline"], fields["chain_uid"], fields["chain_type"], fields["network"], fields["mode"], fields["entities"])
+    fields = {k: identity[k] for k in _IDENTITY}
+    key = identity_key(*fields.values())
+    own = identity_key(*fields.values(), cursor=F.col("cursor")) if by_cursor else key
     unit = F.when(fields["chain_type"] == "sui", "checkpoint").otherwise("block")
     now = F.lit(now_ms).cast("bigint")
-    return watermark.select(F.col("watermark").alias("cursor"), F.lit(status).alias("status"), now.alias("updated_at_ms"), *[c.alias(k) for k, c in fields.items() if k != "entities"], unit.alias("primary_unit"), F.array_sort(fields["entities"]).alias("entities"), F.lit(None).cast("string").alias("error"), key.alias("id"), now.alias("ingest_timestamp"), key.alias("kafka_partition_key"))
+    return rows.select(
+        "cursor", status.alias("status"), now.alias("updated_at_ms"), *[c.alias(k) for k, c in fields.items() if k != "entities"], unit.alias("primary_unit"),
+        F.array_sort(fields["entities"]).alias("entities"), error.cast("string").alias("error"), own.alias("id"), now.alias("ingest_timestamp"), key.alias("kafka_partition_key"),
+    )
+
+
+def checkpoint_rows(watermark: DataFrame, identity: dict[str, Column], status: str, now_ms: int) -> DataFrame:
+    """Watermark rows to the checkpoint contract, with the identity key as id and partition key."""
+    return _state_contract(watermark.withColumn("cursor", F.col("watermark")), identity, F.lit(status), F.lit(None), now_ms, False)
 
 
 def state_rows(rows: DataFrame, identity: dict[str, Column], now_ms: int) -> DataFrame:
-    """Gap rows(cursor, status, error) to the watermark-state contract; ids are per cursor, the partition key is the identity's."""
-    from ledgerframe.operators.identity import identity_key
+    """Gap rows(cursor, status[, error]) to the watermark-state contract, a row each; ids are per cursor, the partition key is the identity's."""
+    error = F.col("error") if "error" in rows.columns else F.lit(None)
+    return _state_contract(rows, identity, F.col("status"), error, now_ms, True)
 
-    base = checkpoint_rows(rows.withColumn("watermark", F.col("cursor")), identity, "", now_ms)
-    args = [identity[k] for k in ("pipeline", "chain_uid", "chain_type", "network", "mode", "entities")]
-    made = rows.withColumn("watermark", F.col("cursor"))
-    extra = made.select(F.col("cursor").alias("__c"), "status", *(["error"] if "error" in rows.columns else [F.lit(None).cast("string").alias("error")]))
-    joined = base.drop("status", "error").join(extra, F.col("cursor") == F.col("__c")).withColumn("id", identity_key(*args, cursor=F.col("cursor")))
-    return joined.select("cursor", "status", "updated_at_ms", "pipeline", "chain_uid", "chain_type", "network", "mode", "primary_unit", "entities", "error", "id", "ingest_timestamp", "kafka_partition_key")
+
+def _before(df: DataFrame, value: str, order: str, key: str | None, block: int, inclusive: bool = False) -> DataFrame:
+    """df with __before: the largest value of the rows before a row (or up to it), by key.
+
+    The running maximum goes over blocks of the order column first and then over the blocks' maxima, so no window holds more
+    than a block's rows and one row a block, however many rows a key has.
+    """
+    by = [key] if key else []
+    rows = df.withColumn("__block", F.floor(F.col(order) / block))
+    blocks = rows.groupBy(*by, "__block").agg(F.max(value).alias("__most"))
+    over = Window.partitionBy(*by).orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("__earlier", F.max("__most").over(over)).drop("__most")
+    within = Window.partitionBy(*by, "__block").orderBy(order).rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
+    joined = rows.withColumn("__within", F.max(value).over(within)).join(blocks, [*by, "__block"], "left")
+    return joined.withColumn("__before", F.greatest("__within", "__earlier")).drop("__block", "__within", "__earlier")
 
 
-def head_progress(heads: DataFrame, order: str = "seq", head: str = "head", key: str | None = None) -> DataFrame:
-    """Observations that raise the head over all before them."""
-    w = Window.partitionBy(*([key] if key else [])).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    before = F.max(head).over(w)
-    return heads.withColumn("previous", before).where(F.col("previous").isNull() | (F.col(head) > F.col("previous")))
+def head_progress(heads: DataFrame, order: str = "seq", head: str = "head", key: str | None = None, block: int = 1_000_000) -> DataFrame:
+    """Observations that raise the head over all before them; order is a number, `block` of which make a window."""
+    rows = _before(heads, head, order, key, block).withColumnRenamed("__before", "previous")
+    return rows.where(F.col("previous").isNull() | (F.col(head) > F.col("previous"))).select(*heads.columns, "previous")
 
 
-def emit_cursors(heads: DataFrame, start: int | str = "chainhead", order: str = "seq", head: str = "head", key: str | None = None) -> DataFrame:
+def emit_cursors(heads: DataFrame, start: int | str = "chainhead", order: str = "seq", head: str = "head", key: str | None = None, block: int = 1_000_000) -> DataFrame:
     """(order, cursor): the cursors that each rise of the head releases.
 
     With chainhead the first is the first head itself; with a number none is released before the head reaches it.
     """
-    rises = head_progress(heads, order, head, key)
+    rises = head_progress(heads, order, head, key, block)
     first = F.col(head) if start == "chainhead" else F.lit(int(start))
     low = F.coalesce(F.col("previous") + 1, first)
     low = low if start == "chainhead" else F.greatest(low, F.lit(int(start)))
     return rises.where(F.col(head) >= low).select(*([key] if key else []), order, F.explode(F.sequence(low.cast("bigint"), F.col(head).cast("bigint"))).alias("cursor"))
 
 
-def ingestion_lag(df: DataFrame, order: str = "seq", key: str | None = None, end: int | None = None) -> DataFrame:
+def ingestion_lag(df: DataFrame, order: str = "seq", key: str | None = None, end: int | None = None, block: int = 1_000_000) -> DataFrame:
     """df(seq, cursor, head) with head_lag (head − cursor) and ingestion_lag (head − the largest cursor so far, or what a backfill to `end` lacks)."""
-    w = Window.partitionBy(*([key] if key else [])).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    own = F.col("head") - F.max("cursor").over(w) if end is None else F.greatest(F.lit(end) - F.col("cursor"), F.lit(0))
-    return df.withColumns({"head_lag": F.col("head") - F.col("cursor"), "ingestion_lag": own})
+    out = df if end is not None else _before(df, "cursor", order, key, block, inclusive=True)
+    own = F.col("head") - F.col("__before") if end is None else F.greatest(F.lit(end) - F.col("cursor"), F.lit(0))
+    return out.withColumns({"head_lag": F.col("head") - F.col("cursor"), "ingestion_lag": own}).select(*df.columns, "head_lag", "ingestion_lag")
 
 
 def cursor_range(spark: SparkSession, start: int, end: int) -> DataFrame:

@@ -2,42 +2,76 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerframe.operators.decode import decode_token_transfers
 from ledgerframe.operators.enrich import drop_failed_cursors, enrich_transactions, inject_block_context
-from ledgerframe.operators.errors import REQUIRED, capture_failures, parse_failures
+from ledgerframe.operators.errors import capture_failures, failures_of, parse_failures
 from ledgerframe.operators.identity import event_id, event_time
-from ledgerframe.operators.parse import parser_of
+from ledgerframe.operators.parse import REQUIRED, block_payloads, block_rows, is_own_parser, log_rows, parser_of, receipt_payloads, receipt_rows, transaction_rows
 from ledgerframe.plans.entities import resolve_entities, sink_entities
+from ledgerframe.storage import cut
+
+METHOD = {"block": "eth_getBlockByNumber", "transaction": "eth_getBlockByNumber", "receipt": "eth_getBlockReceipts", "log": "eth_getBlockReceipts", "trace": "debug_traceBlockByNumber"}
+
+
+#: Which raw method each entity comes from, and how rows of an entity follow from that method's parsed payloads.
+_FROM_BLOCKS = {"block": block_rows, "transaction": transaction_rows}
+_FROM_RECEIPTS = {"receipt": receipt_rows, "log": log_rows}
+
 
-_METHOD = {"block": "eth_getBlockByNumber", "transaction": "eth_getBlockByNumber", "receipt": "eth_getBlockReceipts", "log": "eth_getBlockReceipts", "trace": "debug_traceBlockByNumber"}
+def needed_methods(requested: list[str]) -> list[str]:
+    """The raw methods that a request needs of each cursor."""
+    return sorted({METHOD[e] for e in resolve_entities(requested)})
+
+
+def parsed_once(good: DataFrame, needed: list[str], check: bool) -> tuple[dict[str, DataFrame], DataFrame | None]:
+    """(rows by entity, parse failures): each method's payloads are parsed in one pass and written once; sinks read columns of that.
+
+    A method that only one branch reads is not written. Entities with a parser of the caller's are parsed from raw.
+    """
+    own = lambda e: good.where(F.col("method") == METHOD[e])
+    rows, bad = {}, []
+    for kinds, first, payloads in ((_FROM_BLOCKS, "block", lambda r: block_payloads(r, "transaction" in needed)), (_FROM_RECEIPTS, "receipt", receipt_payloads)):
+        wanted = [e for e in kinds if e in needed]
+        ours = [e for e in wanted if is_own_parser(e)]
+        if ours and (check or len(needed) > 1):
+            parsed = cut(payloads(own(first)))
+            rows |= {e: kinds[e](parsed) for e in ours}
+            bad.append(failures_of(parsed, {e: e for e in ours if e in REQUIRED}))
+            wanted = [e for e in wanted if e not in ours]
+        rows |= {e: parser_of(e)(own(e)) for e in wanted}
+        bad += [parse_failures(own(e), e) for e in wanted if e in REQUIRED]
+    if "trace" in needed:
+        rows["trace"] = parser_of("trace")(own("trace"))
+        bad.append(parse_failures(own("trace"), "trace"))
+    return rows, reduce(DataFrame.unionByName, bad) if check and bad else None
 
 
-def ingest(raw: DataFrame, requested: list[str], check: bool = True) -> tuple[dict[str, DataFrame], DataFrame]:
+def ingest(raw: DataFrame, requested: list[str], check: bool = True) -> tuple[dict[str, DataFrame], DataFrame | None]:
     """(bundle, failures): a DataFrame per requested entity, and the failed cursors with why.
 
-    Only the branches that the request needs enter the plan. A cursor with any RPC or parse failure gives no row of any
-    entity. Each id comes once. With check off, parse failures are not looked for (payloads known to be whole).
+    Only the branches that the request needs enter the plan, and each method's JSON is parsed once: parsed payloads are written
+    to the shared folder, so a job runs while the plan is made. A cursor with any RPC or parse failure gives no row of any entity; where
+    no cursor failed, nothing is joined. Each id comes once. With check off, parse failures are not looked for (payloads known to be
+    whole). Raw rows without an error column have no failures.
     """
     needed = resolve_entities(requested)
     good = raw.where("error IS NULL") if "error" in raw.columns else raw
-    own = lambda e: good.where(F.col("method") == _METHOD[e])
-    rows = {e: parser_of(e)(own(e)) for e in needed}
+    rows, bad = parsed_once(good, needed, check and "error" in raw.columns)
     failures = None
     if "error" in raw.columns:
-        named = raw.where("error IS NOT NULL").withColumn("entity", F.when(F.col("method") == "eth_getBlockReceipts", "receipt").when(F.col("method") == "debug_traceBlockByNumber", "trace").otherwise("block"))
-        bad = None
-        for e in [e for e in needed if e in REQUIRED or e == "trace"] if check else ():
-            found = parse_failures(own(e), e)
-            bad = found if bad is None else bad.unionByName(found)
-        failures = capture_failures(named.select("cursor", "entity", "method", "error"), bad)
+        named = raw.where("error IS NOT NULL").withColumn("entity", F.when(F.col("method") == METHOD["receipt"], "receipt").when(F.col("method") == METHOD["trace"], "trace").otherwise("block"))
+        failures = cut(capture_failures(named.select("cursor", "entity", "method", "error"), bad))
     if "log" in rows and "token_transfer" in [r.strip().lower() for r in requested]:
         rows["token_transfer"] = decode_token_transfers(rows["log"])
     if "transaction" in rows:
         rows["transaction"] = enrich_transactions(rows["transaction"], rows["receipt"])
-    for e in ("log", "token_transfer", "trace"):
-        if e in rows and "block" in rows:
+    sinks = sink_entities(requested)
+    for e in ("receipt", "log", "token_transfer", "trace"):
+        if e in rows and "block" in rows and (e in sinks or e == "receipt"):
             rows[e] = inject_block_context(rows[e], rows["block"])
-    bundle = {e: rows[e].withColumns({"id": event_id(rows[e], e), "event_timestamp_ms": event_time(rows[e], e)[0]}) for e in sink_entities(requested)}
-    return drop_failed_cursors(bundle, failures), failures
+    bundle = {e: rows[e].withColumns({"id": event_id(rows[e], e), "event_timestamp_ms": event_time(rows[e], e)[0]}) for e in sinks}
+    return drop_failed_cursors(bundle, None if failures is None or failures.isEmpty() else failures), failures

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+import uuid
+from functools import reduce
 
-from ledgerframe import contracts, sinks
+from pyspark.sql import DataFrame, functions as F
+
+from ledgerframe import contracts, sinks, storage
 from ledgerframe.functions import hexabi
 from ledgerframe.operators import decode, dlq, enrich, errors, identity, metrics, parse, profiles, progress
 from ledgerframe.plans import entities, ingest
-from ledgerframe.sources import views as v
+from ledgerframe.sources import raw as raws, views as v
 
 #: name -> (query, SQL)
 QUERIES: dict = {}
@@ -19,10 +22,10 @@ TX = """tx AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_l
 ADDR = "'0x' || lpad(lower(hex({}::BIGINT)), 40, '0')"
 BLK = "'0x' || lpad(lower(hex({}::BIGINT)), 64, '0')"
 EV = "ev AS (SELECT *, epoch_us(ts) // 1000 AS ts_ms FROM events)"
-ST = f"{EV}, st AS (SELECT user_id AS identity, 99 + row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS cursor, CASE WHEN event_type = 'error' THEN 'failed' ELSE 'completed' END AS status, ts_ms AS updated_at_ms, value FROM ev)"
+ST = f"{EV}, st AS (SELECT user_id AS identity, 99 + row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS cursor, CASE WHEN event_type = 'error' THEN 'failed' ELSE 'completed' END AS status, ts_ms AS updated_at_ms, value, event_id FROM ev)"
 MARKS = "marks AS (SELECT identity, coalesce(min(CASE WHEN status = 'failed' THEN cursor END) - 1, max(cursor)) AS watermark FROM {} GROUP BY identity)"
 DL = f"""{EV}, dl AS (SELECT user_id * 10 + event_id % 7 AS id, event_id AS seq, CASE event_type WHEN 'error' THEN 'pending' WHEN 'click' THEN 'retrying' WHEN 'view' THEN 'failed' WHEN 'purchase' THEN 'resolved' ELSE 'pending' END AS status,
-  (['block', 'transaction', 'receipt', 'log', 'trace'])[(event_id % 5 + 1)::INT] AS entity, (['rpc', 'processor'])[(event_id % 2 + 1)::INT] AS stage, event_id % 500 AS cursor, floor(value)::BIGINT % 4 AS retry_count, 3 AS max_retry,
+  (['block', 'transaction', 'receipt', 'log', 'trace'])[(event_id % 5 + 1)::INT] AS entity, (['rpc', 'processor'])[(event_id % 2 + 1)::INT] AS stage, event_id % 500 AS cursor, CASE WHEN event_id % 11 <> 0 THEN floor(value)::BIGINT % 4 END AS retry_count, CASE WHEN event_id % 13 <> 0 THEN 3 END AS max_retry, 'OldError' AS error_type, 'old ' || (event_id % 9) AS error_message,
   ts_ms + floor(value)::BIGINT * 1000 AS next_retry_at, ts_ms AS first_seen_at FROM ev),
   latest AS (SELECT * FROM dl QUALIFY row_number() OVER (PARTITION BY id ORDER BY seq DESC) = 1)"""
 HEADS = f"{EV}, hd AS (SELECT event_id AS seq, (1000000 + event_id // 3 - event_id % 7)::BIGINT AS head, CASE WHEN event_type IN ('click', 'view') THEN 'websocket' ELSE 'poll' END AS source, ts_ms AS seen_ms, user_id FROM ev)"
@@ -182,11 +185,13 @@ def p24_classify_rpc_error(spark, sf):
 
 
 @query(f"""WITH {TX}, bad AS (SELECT event_id % 50 + 90000000 AS cursor FROM events WHERE event_type = 'error' AND event_id % 50 < 20)
-  SELECT hash, last_value(CASE WHEN l_returnflag = 'R' THEN 0 ELSE 1 END) OVER h AS receipt_status, 21000 + 100 * last_value(l_quantity::BIGINT) OVER h AS receipt_gas_used FROM tx WHERE cursor NOT IN (SELECT cursor FROM bad)
-  WINDOW h AS (PARTITION BY hash ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)""")
+  SELECT hash, CASE WHEN first THEN 0 ELSE last_value(CASE WHEN l_returnflag = 'R' THEN 0 ELSE 1 END) OVER h END AS receipt_status, CASE WHEN first THEN 7 ELSE 21000 + 100 * last_value(l_quantity::BIGINT) OVER h END AS receipt_gas_used
+  FROM (SELECT *, hash = first_value(hash) OVER (PARTITION BY cursor ORDER BY idx) AS first FROM tx) WHERE cursor NOT IN (SELECT cursor FROM bad) WINDOW h AS (PARTITION BY hash ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)""")
 def j1_j3_enriched_transactions(spark, sf):
-    """Transactions with their receipts, without the cursors that failed."""
-    t = enrich.enrich_transactions(parse.parse_transactions(v.raw_blocks(spark, sf)), parse.parse_receipts(v.raw_receipts(spark, sf)))
+    """Transactions with their receipts, without the cursors that failed; each block's first receipt comes again at the end, with the same index and other values."""
+    again = F.concat(F.lit(',{"transactionHash":"'), F.get_json_object("result", "$[0].transactionHash"), F.lit('","transactionIndex":"0x0","status":"0x0","gasUsed":"0x7"}]'))
+    raw = v.raw_receipts(spark, sf).withColumn("result", F.concat(F.substr("result", F.lit(1), F.length("result") - 1), again))
+    t = enrich.enrich_transactions(parse.parse_transactions(v.raw_blocks(spark, sf)), parse.parse_receipts(raw))
     bad = v.raw_errors(spark, sf).select((F.col("cursor") % 50 + v.BASE).alias("cursor")).where(F.col("cursor") < v.BASE + 20)
     return enrich.drop_failed_cursors({"t": t}, bad)["t"].select("hash", F.col("receipt_status").cast("int"), "receipt_gas_used")
 
@@ -244,21 +249,39 @@ def _now(spark, sf):
     return v.events(spark, sf).agg((F.max("ts_ms") - 300_000_000).alias("n")).first()[0]
 
 
-@query(f"""WITH {DL}, n AS (SELECT max(ts_ms) - 300000000 AS now FROM ev) SELECT id, status IN ('pending', 'retrying') AND retry_count < max_retry AND next_retry_at <= now AS retry, greatest(next_retry_at - now, 0) AS delay_ms,
-  retry_count + 1 AS next_count, CASE WHEN retry_count + 1 >= 3 THEN 'failed' ELSE 'retrying' END AS next_status, CASE WHEN retry_count + 1 < 3 THEN now + 1000 * (1 << greatest(retry_count, 0)::INT) END AS next_due FROM latest, n""")
+_DUE = "status IN ('pending', 'retrying') AND coalesce(retry_count, 0) < coalesce(max_retry, 0) AND next_retry_at <= now"
+
+
+@query(f"""WITH {DL}, n AS (SELECT max(ts_ms) - 300000000 AS now FROM ev), r AS (SELECT *, {_DUE} AS retry, coalesce(retry_count, 0) + 1 AS n, coalesce(max_retry, 0) AS most FROM latest, n)
+  SELECT id, retry, greatest(next_retry_at - now, 0) AS delay_ms, n AS next_count, most AS max_retry, CASE WHEN n >= most THEN 'failed' ELSE 'retrying' END AS next_status, CASE WHEN n < most THEN now + 1000 * (1 << greatest(n - 1, 0)::INT) END AS next_due,
+  CASE WHEN cursor % 2 = 0 THEN 'NewError' ELSE error_type END AS error_type, CASE WHEN cursor % 2 = 0 THEN 'new ' || cursor ELSE error_message END AS error_message, first_seen_at, now AS last_attempt_at FROM r""")
 def d4_d6_retry_states(spark, sf):
+    """Missing counts are 0; what the failed retry says takes the old error's place where it says something."""
     now = _now(spark, sf)
     latest = progress.latest_by_key(v.dlq_log(spark, sf), ["id"], ["seq"]).withColumns({"retry": dlq.should_retry(now), "delay_ms": dlq.retry_delay_ms(now)})
-    out = dlq.retry_transition(latest, 1000, now)
-    return out.select("id", "retry", "delay_ms", F.col("retry_count").alias("next_count"), F.col("status").alias("next_status"), F.col("next_retry_at").alias("next_due"))
+    even = F.col("cursor") % 2 == 0
+    out = dlq.retry_transition(latest.withColumns({"new_error_type": F.when(even, "NewError"), "new_error_message": F.when(even, F.concat(F.lit("new "), "cursor"))}), 1000, now)
+    return out.select("id", "retry", "delay_ms", F.col("retry_count").alias("next_count"), "max_retry", F.col("status").alias("next_status"), F.col("next_retry_at").alias("next_due"), "error_type", "error_message", "first_seen_at", "last_attempt_at")
+
 
+_AGAIN = f"""{DL}, n AS (SELECT max(ts_ms) - 300000000 AS now FROM ev), have AS (SELECT DISTINCT o_orderkey % 500 AS cursor FROM orders WHERE o_orderkey % 500 % 7 <> 1),
+  due AS (SELECT latest.*, now, CASE WHEN have.cursor IS NULL THEN 'no payload for the cursor' WHEN latest.cursor % 5 = 2 THEN 'boom' WHEN latest.cursor % 3 = 0 THEN 'wrong shape' END AS bad FROM latest JOIN n ON {_DUE} LEFT JOIN have USING (cursor))"""
 
-@query(f"""WITH {DL}, n AS (SELECT max(ts_ms) - 300000000 AS now FROM ev), due AS (SELECT * FROM latest, n WHERE status IN ('pending', 'retrying') AND retry_count < max_retry AND next_retry_at <= now)
-  SELECT id, CASE WHEN cursor % 3 = 0 THEN retry_count + 1 ELSE retry_count END AS retry_count, CASE WHEN cursor % 3 <> 0 THEN 'resolved' WHEN retry_count + 1 >= 3 THEN 'failed' ELSE 'retrying' END AS status FROM due""")
+
+@query(f"""WITH {_AGAIN}, r AS (SELECT *, coalesce(retry_count, 0) + (bad IS NOT NULL)::INT AS n FROM due)
+  SELECT id, CASE WHEN bad IS NULL THEN retry_count ELSE n END AS retry_count, CASE WHEN bad IS NULL THEN 'resolved' WHEN n >= max_retry THEN 'failed' ELSE 'retrying' END AS status, CASE WHEN bad IS NOT NULL AND n < max_retry THEN now + 1000 * (1 << greatest(n - 1, 0)::INT) END AS next_retry_at,
+  CASE WHEN bad IS NULL THEN error_type WHEN bad = 'wrong shape' THEN 'ParseError' ELSE 'RpcError' END AS error_type, coalesce(bad, error_message) AS error_message, first_seen_at, now AS last_attempt_at FROM r""")
 def d7_d10_retry_job(spark, sf):
-    log = v.dlq_log(spark, sf)
-    failing = log.where("cursor % 3 = 0").select("cursor", "entity")
-    return dlq.retry_job(log, failing, 1000, _now(spark, sf)).select("id", "retry_count", "status")
+    """Due records, their cursors' payloads ingested again."""
+    now = _now(spark, sf)
+    _, states, _ = dlq.retry_job(v.dlq_log(spark, sf), v.retried_payloads(spark, sf), lambda rows: ingest.ingest(rows, ["trace"]), [v.METHODS["trace"]], 1000, now)
+    return states.select("id", "retry_count", "status", "next_retry_at", "error_type", "error_message", "first_seen_at", "last_attempt_at")
+
+
+@query(f"WITH {_AGAIN} SELECT cursor, CASE WHEN max(bad) IS NULL THEN 'completed' ELSE 'failed' END AS status, max(bad) AS error FROM due GROUP BY cursor")
+def d10_retry_gaps(spark, sf):
+    """The gap rows of the same retries."""
+    return dlq.retry_job(v.dlq_log(spark, sf), v.retried_payloads(spark, sf), lambda rows: ingest.ingest(rows, ["trace"]), [v.METHODS["trace"]], 1000, _now(spark, sf))[2]
 
 
 @query(f"""WITH {DL} SELECT id, status FROM (SELECT id, 'resolved' AS status, cursor FROM latest WHERE entity = 'trace' AND stage = 'rpc' AND cursor <> 0)""")
@@ -306,8 +329,8 @@ def w2_preview_watermark(spark, sf):
     return progress.preview_watermark(v.cursor_state(spark, sf), v.state_repairs(spark, sf), 99)
 
 
-@query(f"""WITH {ST}, {MARKS.format('st')}, m AS (SELECT st.identity, cursor, CASE WHEN status = 'failed' AND value < 100 THEN 'completed' ELSE status END AS status, CASE WHEN status = 'failed' AND value < 100 THEN updated_at_ms + 1 ELSE updated_at_ms END AS updated_at_ms
-  FROM st JOIN marks ON marks.identity = st.identity WHERE cursor > watermark) SELECT * FROM m""")
+@query(f"""WITH {ST}, {MARKS.format('st')} SELECT st.identity, cursor, CASE WHEN fixed THEN 'completed' ELSE status END AS status, updated_at_ms + fixed::INT AS updated_at_ms
+  FROM (SELECT *, status = 'failed' AND value < 100 AND event_id % 3 <> 0 AS fixed FROM st) st JOIN marks ON marks.identity = st.identity WHERE cursor > watermark""")
 def k4_merge_state(spark, sf):
     state = v.cursor_state(spark, sf)
     return progress.merge_state(state, v.state_repairs(spark, sf), progress.contiguous_watermark(state, 99))
@@ -327,7 +350,7 @@ def a11_gap_metrics(spark, sf):
 
 
 @query(f"""WITH {ST}, {MARKS.format('st')} SELECT 'pipeline=eth_main|chain=evm:1|network=mainnet|mode=realtime|unit=block|entities=block,log' AS key, watermark AS cursor, 'running' AS status, 'block,log' AS entities, identity
-  FROM marks UNION ALL SELECT 'pipeline=eth_main|chain=evm:1|network=mainnet|mode=realtime|unit=block|entities=block,log|cursor=' || cursor, cursor, status, 'block,log', NULL FROM (SELECT DISTINCT cursor, status FROM st WHERE status = 'failed')""")
+  FROM marks UNION ALL SELECT 'pipeline=eth_main|chain=evm:1|network=mainnet|mode=realtime|unit=block|entities=block,log|cursor=' || cursor, cursor, status, 'block,log', NULL FROM st WHERE status = 'failed'""")
 def k1_k2_checkpoint_rows(spark, sf):
     me = {"pipeline": identity.normalize_name(F.lit(" Eth-Main ")), "chain_uid": F.lit("evm:1"), "chain_type": F.lit("evm"), "network": F.lit("mainnet"), "mode": F.lit("realtime"), "entities": F.array(F.lit("log"), F.lit("block"))}
     state = v.cursor_state(spark, sf)
@@ -335,7 +358,7 @@ def k1_k2_checkpoint_rows(spark, sf):
     rows = progress.checkpoint_rows(marks, me, "running", NOW).select(F.col("id").alias("key"), "cursor", "status", F.array_join("entities", ",").alias("entities"))
     named = marks.select("identity", F.col("watermark").alias("cursor"))
     one = rows.distinct().join(named, "cursor").select("key", "cursor", "status", "entities", "identity")
-    gaps = progress.state_rows(state.where("status = 'failed'").select("cursor", "status").distinct(), me, NOW)
+    gaps = progress.state_rows(state.where("status = 'failed'").select("cursor", "status"), me, NOW)
     return one.union(gaps.select("id", "cursor", "status", F.array_join("entities", ","), F.lit(None).cast("bigint")))
 
 
@@ -447,9 +470,119 @@ def a13_progress_snapshot(spark, sf):
     return metrics.progress_snapshot(v.rpc_samples(spark, sf), 0, 1_999_999, 500.0)
 
 
-@query("SELECT 90000000 + l_orderkey AS cursor, count(*) AS receipts, count(*) AS logs FROM lineitem GROUP BY 1")
+@query("SELECT 90000000 + l_orderkey AS cursor, count(*) AS receipts, count(*) AS logs, true AS whole_kb FROM lineitem GROUP BY 1")
 def a14_payload_stats(spark, sf):
-    return metrics.payload_stats(v.raw_receipts(spark, sf)).where("payload_kb > 0").select("cursor", "receipts", "logs")
+    raw = v.raw_receipts(spark, sf)
+    size = raw.select("cursor", F.octet_length("result").alias("bytes"))
+    return metrics.payload_stats(raw).join(size, "cursor").select("cursor", "receipts", "logs", (F.col("payload_kb") * 1024 == F.col("bytes")).alias("whole_kb"))
+
+
+_S = "CAST(NULL AS VARCHAR)"
+_L = "CAST(NULL AS BIGINT)"
+W64 = "lpad(lower(hex({}::BIGINT)), 64, '0')"
+
+
+def _contract(rows, *lists: str):
+    """Rows with each list joined by commas, in the columns of the oracle."""
+    return rows.withColumns({c: F.array_join(F.col(c).cast("array<string>"), ",") for c in lists})
+
+
+@query(f"""SELECT 90000000 + o_orderkey AS cursor, 'block' AS type, 90000000 + o_orderkey AS number, {BLK.format('o_orderkey')} AS hash, CASE WHEN o_orderkey > 0 THEN {BLK.format('(o_orderkey - 1)')} ELSE '0x' || repeat('0', 64) END AS parent_hash,
+  o_orderkey * 3 AS nonce, '0xaa' AS sha3_uncles, '0xb0' AS logs_bloom, '0x71' AS transactions_root, '0x72' AS state_root, '0x73' AS receipts_root, {ADDR.format('o_custkey')} AS miner, '2' AS difficulty, (o_orderkey * 7)::VARCHAR AS total_difficulty,
+  o_orderkey + 500 AS size, '0xee' AS extra_data, 30000000::BIGINT AS gas_limit, floor(o_totalprice)::BIGINT AS gas_used, epoch(o_orderdate)::BIGINT + o_orderkey AS timestamp, (o_orderkey + 9)::VARCHAR AS base_fee_per_gas, '0x74' AS withdrawals_root,
+  131072::BIGINT AS blob_gas_used, o_orderkey % 5 AS excess_blob_gas, (SELECT count(*) FROM lineitem WHERE l_orderkey = o_orderkey) AS transaction_count, '[{{"index":"0x' || lower(hex(o_orderkey)) || '"}}]' AS withdrawals FROM orders""")
+def p3_block_contract(spark, sf):
+    """Every field of a block, every key of the payload set."""
+    return parse.parse_blocks(v.raw_blocks(spark, sf, full=True))
+
+
+@query(f"""WITH {TX} SELECT cursor, 'transaction' AS type, hash, {ADDR.format('l_suppkey')} AS from_address, {ADDR.format('l_partkey')} AS to_address, l_quantity::BIGINT AS nonce, (cents::HUGEINT * 10000000000)::VARCHAR AS value, 21000::BIGINT AS gas,
+  (cents + 1)::VARCHAR AS gas_price, (cents + 2)::VARCHAR AS max_fee_per_gas, (cents + 3)::VARCHAR AS max_priority_fee_per_gas, (cents + 4)::VARCHAR AS max_fee_per_blob_gas, 2::BIGINT AS transaction_type, 56::BIGINT AS chain_id, (l_linenumber % 2)::BIGINT AS v,
+  '0x' || {W64.format('l_partkey')} AS r, '0x' || {W64.format('l_suppkey')} AS s, '0x' AS input, {BLK.format('l_orderkey')} AS block_hash, idx AS transaction_index, cursor AS block_number, epoch(o_orderdate)::BIGINT + o_orderkey AS block_timestamp,
+  hash || ',0xb10b' AS blob_versioned_hashes FROM tx JOIN orders ON o_orderkey = l_orderkey""")
+def p4_transaction_contract(spark, sf):
+    return _contract(parse.parse_transactions(v.raw_blocks(spark, sf, full=True)), "blob_versioned_hashes")
+
+
+@query(f"""WITH {TX} SELECT cursor, 'receipt' AS type, hash AS transaction_hash, idx AS transaction_index, {BLK.format('l_orderkey')} AS block_hash, cursor AS block_number, {ADDR.format('l_suppkey')} AS from_address, {ADDR.format('l_partkey')} AS to_address, {_L} AS cumulative_gas_used,
+  21000 + 100 * l_quantity::BIGINT AS gas_used, {_S} AS contract_address, CASE WHEN l_returnflag = 'R' THEN 0 ELSE 1 END::BIGINT AS status, {_S} AS effective_gas_price, {_L} AS transaction_type, {_S} AS l1_fee, {_L} AS l1_gas_used, {_S} AS l1_gas_price, {_S} AS l1_fee_scalar,
+  {_S} AS blob_gas_price, {_L} AS blob_gas_used, idx AS arrival FROM tx""")
+def p5_receipt_contract(spark, sf):
+    return parse.parse_receipts(v.raw_receipts(spark, sf))
+
+
+@query(f"""WITH {TX}, w AS (SELECT *, {W64.format('l_partkey')} AS p, {W64.format('l_suppkey')} AS sp, {W64.format('l_quantity::BIGINT')} AS q, l_linenumber % 5 AS kind FROM tx)
+  SELECT cursor, 'log' AS type, idx AS log_index, hash AS transaction_hash, idx AS transaction_index, {BLK.format('l_orderkey')} AS block_hash, cursor AS block_number, {ADDR.format('l_partkey')} AS address,
+  CASE kind WHEN 0 THEN '0x' || {W64.format('64')} || {W64.format('160')} || {W64.format('2')} || p || sp || {W64.format('2')} || q || {W64.format('l_linenumber')} WHEN 1 THEN '0x' || {W64.format('cents')} WHEN 3 THEN '0x' || p || q ELSE '0x' END AS data,
+  CASE kind WHEN 0 THEN '{v.BATCH_TOPIC},0x' || sp || ',0x' || sp || ',0x' || p WHEN 1 THEN '{decode.TRANSFER},0x' || sp || ',0x' || p WHEN 2 THEN '{decode.TRANSFER},0x' || sp || ',0x' || p || ',0x' || {W64.format('(l_partkey * 1000 + l_suppkey)')}
+    WHEN 3 THEN '{decode.SINGLE},0x' || sp || ',0x' || sp || ',0x' || p ELSE '{v.OTHER_TOPIC}' END AS topics, false AS removed FROM w""")
+def p6_log_contract(spark, sf):
+    return _contract(parse.parse_logs(v.raw_receipts(spark, sf)), "topics")
+
+
+@query(f"""WITH {TX} SELECT cursor, 'trace' AS type, cursor AS block_number, hash AS transaction_hash, hash || CASE k WHEN 0 THEN '_root' ELSE '_0' END AS trace_id, CASE k WHEN 1 THEN hash || '_root' END AS parent_trace_id, idx AS trace_index, {ADDR.format('l_suppkey')} AS from_address,
+  {ADDR.format('l_partkey')} AS to_address, cents::VARCHAR AS value, {_S} AS input, CASE WHEN l_returnflag <> 'R' THEN '0x' END AS output, 'call' AS call_type, 'call' AS trace_type, {_S} AS status, {_S} AS error, 21000::BIGINT AS gas, CASE WHEN l_returnflag <> 'R' THEN 16::BIGINT END AS gas_used,
+  k::BIGINT AS depth, CASE WHEN k = 0 AND l_quantity::BIGINT % 2 = 0 THEN 1 ELSE 0 END::BIGINT AS subtraces, {_S} AS reward_type, CASE k WHEN 0 THEN '' ELSE '0' END AS trace_address, 'parity' AS trace_source, 'trace_block' AS trace_method
+  FROM tx, (VALUES (0), (1)) x(k) WHERE k = 0 OR l_quantity::BIGINT % 2 = 0""")
+def p7_trace_contract(spark, sf):
+    return _contract(parse.parse_traces(v.raw_trace_blocks(spark, sf), "trace_block"), "trace_address")
+
+
+@query(f"""WITH {TX}, paths AS (
+  SELECT *, repeat('_0', d) AS p, d AS depth, CASE WHEN d = 0 THEN cents ELSE d END AS value, CASE WHEN d = 0 THEN (l_linenumber > 1)::INT + l_quantity::BIGINT % 3 WHEN d = l_linenumber - 1 THEN 0 ELSE 1 END AS subtraces FROM (SELECT *, unnest(range(0, l_linenumber)) AS d FROM tx)
+  UNION ALL SELECT * EXCLUDE (e), '_' || ((l_linenumber > 1)::INT + e), 1, 0, 0 FROM (SELECT *, 0 AS d, unnest(range(0, l_quantity::BIGINT % 3)) AS e FROM tx))
+  SELECT cursor, 'trace' AS type, cursor AS block_number, hash AS transaction_hash, hash || CASE WHEN p = '' THEN '_root' ELSE p END AS trace_id, CASE WHEN p <> '' THEN CASE WHEN depth = 1 THEN hash || '_root' ELSE hash || repeat('_0', depth::INT - 1) END END AS parent_trace_id, {_L} AS trace_index,
+  {ADDR.format('l_suppkey')} AS from_address, {ADDR.format('l_partkey')} AS to_address, value::VARCHAR AS value, {_S} AS input, {_S} AS output, 'CALL' AS call_type, 'call' AS trace_type, {_S} AS status, {_S} AS error, 21000::BIGINT AS gas, 16::BIGINT AS gas_used, depth::BIGINT AS depth, subtraces::BIGINT AS subtraces,
+  {_S} AS reward_type, replace(substr(p, 2), '_', ',') AS trace_address, 'geth' AS trace_source, 'debug_trace' AS trace_method FROM paths""")
+def p8_trace_contract(spark, sf):
+    return _contract(parse.parse_traces(v.raw_traces(spark, sf), "debug_trace"), "trace_address")
+
+
+def _folder(spark) -> str:
+    return f"{storage.shared_dir(spark)}/sink-{uuid.uuid4().hex}"
+
+
+@query(f"SELECT '{v.METHODS['block']}' AS method, count(*) AS n, min(90000000 + o_orderkey) AS first, max(90000000 + o_orderkey) AS last FROM orders")
+def o1_read_raw(spark, sf):
+    """Raw payloads written, and read by their fixed schema."""
+    path = _folder(spark)
+    v.raw_blocks(spark, sf).write.parquet(path)
+    rows = raws.read_raw(spark, path).where("result IS NOT NULL AND error IS NULL")
+    return rows.groupBy("method").agg(F.count("*").alias("n"), F.min("cursor").alias("first"), F.max("cursor").alias("last"))
+
+
+_NATIONS = "SELECT n_nationkey::BIGINT AS k, n_name AS name FROM nation"
+
+
+@query(f"WITH n AS ({_NATIONS}) SELECT 'even' AS entity, k, name FROM n WHERE k % 2 = 0 UNION ALL SELECT 'odd', k, name FROM n WHERE k % 2 = 1")
+def o8_write_fanout(spark, sf):
+    """Two entities with rows, one without, one that isn't asked for; read back what was written."""
+    path = _folder(spark)
+    n = v.table(spark, sf, "nation").select(F.col("n_nationkey").cast("bigint").alias("k"), F.col("n_name").alias("name"))
+    done = sinks.write_fanout({"even": n.where("k % 2 = 0"), "odd": n.where("k % 2 = 1"), "none": n.where("k < 0"), "receipt": n}, path, ["even", "odd", "none"])
+    return reduce(DataFrame.union, [spark.read.parquet(f"{path}/{e}").select(F.lit(e).alias("entity"), "k", "name") for e in done])
+
+
+@query(f"WITH n AS ({_NATIONS}) SELECT 0::BIGINT AS batch_id, k, name FROM n UNION ALL SELECT 2, k, name FROM n WHERE k < 5")
+def o9_commit_batch(spark, sf):
+    """Batch 0 twice, batch 1 without its commit, batch 2: readers see batches 0 and 2 once."""
+    path = _folder(spark)
+    n = v.table(spark, sf, "nation").select(F.col("n_nationkey").cast("bigint").alias("k"), F.col("n_name").alias("name"))
+    for _ in range(2):
+        sinks.commit_batch({"rows": n, "gaps": n.limit(0)}, path, 0)
+    n.write.parquet(f"{path}/rows/batch_id=1")
+    sinks.commit_batch({"rows": n.where("k < 5"), "gaps": n.limit(0)}, path, 2)
+    return sinks.read_committed(spark, path, "rows", "k bigint, name string").select("batch_id", "k", "name")
+
+
+@query(f"WITH n AS ({_NATIONS}) SELECT k, name FROM n UNION ALL SELECT k, name FROM n WHERE k < 3")
+def o11_write_jsonl(spark, sf):
+    """JSON lines, appended to."""
+    path = _folder(spark)
+    n = v.table(spark, sf, "nation").select(F.col("n_nationkey").cast("bigint").alias("k"), F.col("n_name").alias("name"))
+    sinks.write_jsonl(n, path)
+    sinks.write_jsonl(n.where("k < 3"), path)
+    return spark.read.schema("k bigint, name string").json(path)
 
 
 @query(f"""WITH {TX} SELECT 'block' AS entity, count(*) AS n, count(DISTINCT o_orderkey) AS cursors FROM orders UNION ALL SELECT 'transaction', count(*), count(DISTINCT l_orderkey) FROM tx UNION ALL SELECT 'log', count(*), count(DISTINCT l_orderkey) FROM tx

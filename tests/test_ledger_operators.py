@@ -170,6 +170,63 @@ def test_merge_and_gaps(spark):
     assert (g["commit_cursor"], g["gap_count"], g["oldest_gap"], g["commit_delay"]) == (99, 1, 100, 6)
 
 
+def test_merge_takes_newer_versions_only(spark):
+    marks = spark.createDataFrame([("p", 99)], "identity string, watermark long")
+    merge = lambda own, other: {(r["cursor"], r["status"], r["updated_at_ms"]) for r in progress.merge_state(state(spark, own), state(spark, other), marks).collect()}
+    assert merge([(100, "failed", 10)], [(100, "completed", 5)]) == {(100, "failed", 10)}
+    assert merge([(100, "failed", 10)], [(100, "completed", 11), (100, "failed", 12)]) == {(100, "failed", 12)}
+    assert merge([(100, "completed", 5)], [(100, "failed", 10)]) == {(100, "completed", 5)}
+    assert merge([(100, "completed", 5), (100, "failed", 8)], []) == {(100, "completed", 5)} and merge([], [(101, "failed", 1)]) == {(101, "failed", 1)}
+
+
+def test_state_rows_are_one_to_one(spark):
+    me = {k: F.lit(k) for k in ("pipeline", "chain_uid", "chain_type", "network", "mode")} | {"entities": F.array(F.lit("log"))}
+    rows = spark.createDataFrame([(7, "failed", "boom"), (7, "completed", None), (8, "failed", "x")], "cursor long, status string, error string")
+    out = progress.state_rows(rows, me, 5).collect()
+    assert sorted((r["cursor"], r["status"], r["error"]) for r in out if r["error"]) == [(7, "failed", "boom"), (8, "failed", "x")] and len(out) == 3
+
+
+@pytest.mark.parametrize("block", [3, 1000])
+def test_windows_by_blocks(spark, block):
+    """Running maxima, differences and trailing sums over blocks are those of one window."""
+    rng = random.Random(block)
+    rows = [(s, rng.randrange(50), rng.randrange(90), rng.randrange(9)) for s in sorted(rng.sample(range(60), 40))]
+    df = spark.createDataFrame(rows, "seq long, head long, total long, messages long")
+    best, want = None, []
+    for s, h, *_ in rows:
+        if best is None or h > best:
+            want.append((s, best))
+            best = h
+    assert [(r["seq"], r["previous"]) for r in progress.head_progress(df, block=block).orderBy("seq").collect()] == want
+    deltas = [(rows[k][0], max(0, rows[k][2] - (rows[k - 1][2] if k else 0))) for k in range(len(rows))]
+    assert [(r["seq"], r["delta"]) for r in metrics.message_deltas(df, "seq", block=block).orderBy("seq").collect()] == deltas
+    sums = [(s, sum(m for t, _, _, m in rows if s - 5 <= t <= s)) for s, *_ in rows]
+    assert [(r["seq"], r["rolling_messages"]) for r in metrics.rolling_messages(df, 5, time="seq", block=block).orderBy("seq").collect()] == sums
+    lags = [(rows[k][0], rows[k][1] - max(r[2] for r in rows[: k + 1])) for k in range(len(rows))]
+    lagged = progress.ingestion_lag(df.withColumn("cursor", F.col("total")), block=block).orderBy("seq").collect()
+    assert [(r["seq"], r["ingestion_lag"]) for r in lagged] == lags
+
+
+def test_exact_percentiles(spark):
+    rng = random.Random(1)
+    values = [rng.choice([1.0, 2.0, 1e9, rng.random(), rng.random() * 1e-9]) for _ in range(500)]
+    df = spark.createDataFrame([(x,) for x in [*values, None]], "v double")
+    shares = [0.0, 0.1, 0.5, 0.95, 1.0]
+    want = df.agg(F.percentile("v", F.array(*map(F.lit, shares)))).first()[0]
+    assert metrics.exact_percentiles(df, "v", shares, cells=8) == pytest.approx(want)
+    assert metrics.exact_percentiles(df.limit(0), "v", shares) == [None] * 5
+
+
+def test_deep_trees_of_either_way(spark):
+    """The walker and the expression give the same rows."""
+    tree = {"type": "CALL", "value": 7, "calls": [{"type": "A", "calls": [{"type": "B", "error": "x"}, {"type": "C", "input": {"k": [1, True]}}]}, {"gas": "0x9"}]}
+    rows = parse.walked(json.dumps(tree))
+    raw = spark.createDataFrame([(5, json.dumps([{"txHash": "0xt", "result": tree}]))], "cursor long, result string")
+    got = {tuple(r["trace_address"]): r for r in parse.flatten_call_tree(raw).collect()}
+    assert {tuple(r["path"]): (r["type"], r["error"], r["subtraces"]) for r in rows} == {k: (r["call_type"], r["error"], r["subtraces"]) for k, r in got.items()}
+    assert {tuple(r["path"]): r["input"] for r in rows if r["input"]} == {(0, 1): '{"k":["1",true]}'} and got[0, 1]["input"] == '{"k":[1,true]}'
+
+
 def test_heads_and_resume(spark):
     heads = spark.createDataFrame([(1, 105), (2, 105), (3, 106), (4, 107)], "seq long, head long")
     assert [r["cursor"] for r in progress.emit_cursors(heads, 103).orderBy("cursor").collect()] == [103, 104, 105, 106, 107]
