@@ -110,6 +110,7 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     if not per:
         return None
     langs = sorted(per)
+    per_lang = max(1, min(per_lang, max_rows // len(langs)))  # so that the bound leaves out no language
 
     def frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total, n = np.zeros(DIM, np.int64), 0
@@ -149,7 +150,7 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_c
     """(doc_id, lang_pred, score, *keep): one row per row of docs; the language of the whole text and its calibrated probability.
 
     A null text, one without letters, and any text without a model have `und` and score 0. Equal texts have equal
-    predictions; an empty table gives an empty result; columns not named are not read.
+    predictions; very long texts are read whole; an empty table gives an empty result; columns not named are not read.
     """
     text = F.col(text_col).cast("string")
     base = [F.col(id_col).alias("doc_id"), *[F.col(c) for c in keep if c != "doc_id"]]
@@ -177,6 +178,7 @@ def held_out(id_col: Column) -> Column:
 
 
 def op6(spark, sf_dir: str) -> DataFrame:
+    """predict over all documents by a model of those that are not held out; odd rows as there and in learn."""
     docs = table(spark, sf_dir, "documents")
     model = learn(docs.where(~held_out(F.col("doc_id"))))
     return predict(docs, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")

@@ -192,4 +192,5 @@ def packets(media: DataFrame) -> DataFrame:
 
 
 def op7(spark, sf_dir: str) -> DataFrame:
+    """The contract's columns of media_features over all documents; a null text is an empty one, repeated rows are stored alike."""
     return media_features(with_media(table(spark, sf_dir, "documents")))

@@ -9,6 +9,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ledgerframe.llm.common import cut, table
@@ -17,13 +19,31 @@ from ledgerframe.llm.common import cut, table
 BLOCK_ROWS = 16384
 
 
-def _log_factorial(x: str) -> str:
-    """ln(x!) as SQL: exact below 16, else Stirling's series (error under 1e-11 relative to 1)."""
-    y = f"CAST({x} AS DOUBLE)"
-    return (
-        f"CASE WHEN {x} < 16 THEN ln(CAST(factorial(CAST(greatest({x}, 0) AS INT)) AS DOUBLE)) ELSE {y} * ln({y}) - {y} + 0.5 * ln(6.283185307179586 * {y})"
-        f" + 1 / (12 * {y}) - 1 / (360 * {y} * {y} * {y}) + 1 / (1260 * {y} * {y} * {y} * {y} * {y}) END"
-    )
+def _stirling_error(n: str) -> str:
+    """ln n! less Stirling's ln(sqrt(2 pi n) (n / e)^n), as SQL: from a table below 16, else by its series."""
+    small = ", ".join(repr(math.lgamma(k + 1) - (k + 0.5) * math.log(k) + k - 0.5 * math.log(2 * math.pi)) + "D" if k else "0D" for k in range(16))
+    series = f"(1 / 12D - (1 / 360D - (1 / 1260D - 1 / (1680D * {n} * {n})) / (1D * {n} * {n})) / (1D * {n} * {n})) / {n}"
+    return f"CASE WHEN {n} < 16 THEN element_at(array({small}), CAST({n} AS INT) + 1) ELSE {series} END"
+
+
+def _deviance(x: str, mean: str) -> str:
+    """x ln(x / mean) + mean - x, as SQL, without cancellation where x is near the mean."""
+    v = f"(({x} - {mean}) / ({x} + {mean}))"
+    terms = f"1 / {2 * 9 + 1}D"
+    for j in range(8, 0, -1):
+        terms = f"(1 / {2 * j + 1}D + {v} * {v} * {terms})"
+    near = f"({x} - {mean}) * {v} + 2D * {x} * {v} * {v} * {v} * {terms}"
+    return f"CASE WHEN abs({x} - {mean}) < 0.1D * ({x} + {mean}) THEN {near} ELSE {x} * ln({x} / {mean}) + {mean} - {x} END"
+
+
+def _log_binomial(x: str, n: str, p: str, q: str) -> str:
+    """The log of the binomial probability of x in n, as SQL, in saddle-point form: the errors of Stirling's formula and two deviances.
+
+    No large terms cancel, so it is right to about 1e-14 for any n.
+    """
+    bound = f"array(named_struct('x', CAST({x} AS DOUBLE), 'y', CAST({n} - {x} AS DOUBLE), 'n', CAST({n} AS DOUBLE), 'a', {n} * {p}, 'b', {n} * {q}))"
+    lead = f"{_stirling_error('d.n')} - ({_stirling_error('d.x')}) - ({_stirling_error('d.y')}) - ({_deviance('d.x', 'd.a')}) - ({_deviance('d.y', 'd.b')})"
+    return f"element_at(transform({bound}, d -> CASE WHEN d.n = 0 THEN 0D WHEN d.x = 0 THEN d.n * ln({q}) WHEN d.y = 0 THEN d.n * ln({p}) ELSE {lead} - 0.5D * ln(6.283185307179586D * d.x * (d.y / d.n)) END), 1)"
 
 
 def hypergeometric_sql(total: str, good: str, draws: str, u: str) -> str:
@@ -34,8 +54,9 @@ def hypergeometric_sql(total: str, good: str, draws: str, u: str) -> str:
     """
     lo, hi = f"greatest(0L, {draws} + {good} - {total})", f"least({draws}, {good})"
     mode = f"least(greatest(CAST(floor((CAST({draws} AS DOUBLE) + 1) * ({good} + 1) / ({total} + 2)) AS BIGINT), {lo}), {hi})"
-    choose = lambda n, k: f"({_log_factorial(n)} - ({_log_factorial(k)}) - ({_log_factorial(f'({n} - {k})')}))"
-    p_mode = f"exp({choose(good, 'm')} + {choose(f'({total} - {good})', f'({draws} - m)')} - {choose(total, draws)})"
+    p, q = f"(CAST({draws} AS DOUBLE) / {total})", f"(CAST({total} - {draws} AS DOUBLE) / {total})"
+    logs = [_log_binomial(*x, p, q) for x in (("m", good), (f"({draws} - m)", f"({total} - {good})"), (draws, total))]
+    p_mode = f"CASE WHEN {lo} = {hi} THEN 1D ELSE exp({logs[0]} + {logs[1]} - {logs[2]}) END"
     spread = f"sqrt(CAST({draws} AS DOUBLE) * {good} / greatest({total}, 1L) * (1 - CAST({good} AS DOUBLE) / greatest({total}, 1L)))"
     steps = f"CAST(least({hi} - {lo}, ceil(12 * {spread}) + 24) AS INT)"
     up = f"(s.ph * ({good} - s.kh) * ({draws} - s.kh) / greatest((s.kh + 1D) * ({total} - {good} - {draws} + s.kh + 1), 1D))"

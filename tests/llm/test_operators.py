@@ -153,6 +153,26 @@ def test_sharding_draws(spark):
             assert set(n) == {0}
 
 
+def test_sharding_probabilities_of_large_tables(spark):
+    """The mode's probability, from which a draw starts, against sums of logarithms of 60 digits."""
+    from decimal import Decimal, getcontext
+
+    getcontext().prec = 60
+
+    def log_factorial(n):
+        n = Decimal(n)
+        return n * n.ln() - n + (2 * Decimal("3.14159265358979323846264338327950288419716939937510582097494459") * n).ln() / 2 + 1 / (12 * n) - 1 / (360 * n**3) + 1 / (1260 * n**5)
+
+    for total, good, draws in ((10**6, 62_500, 500_000), (10**9, 62_500_000, 123_456_789), (10**12, 62_500_000_000, 5 * 10**11)):
+        m = (draws + 1) * (good + 1) // (total + 2)
+        choose = lambda n, k: log_factorial(n) - log_factorial(k) - log_factorial(n - k)
+        want = float((choose(good, m) + choose(total - good, draws - m) - choose(total, draws)).exp())
+        p, q = f"({draws}D / {total}L)", f"({total - draws}D / {total}L)"
+        logs = [sharding._log_binomial(x, n, p, q) for x, n in ((f"{m}L", f"{good}L"), (f"{draws - m}L", f"{total - good}L"), (f"{draws}L", f"{total}L"))]
+        got = spark.range(1).selectExpr(f"exp({logs[0]} + {logs[1]} - {logs[2]}) AS p").first()[0]
+        assert got == pytest.approx(want, rel=1e-11), total
+
+
 def test_sharding_odd(spark, odd_docs):
     out = rows_of(sharding.shard_rows(odd_docs, shards=4, block_rows=4, keep=("lang",)))
     assert len(out) == odd_docs.count()
