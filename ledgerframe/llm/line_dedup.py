@@ -400,7 +400,7 @@ class Meeting:
             first[group[head]] = head
             late = open_[first[group[open_]] != open_]
             which, far, room = self.passing(first[group[late]], late)
-            clear = 10 * far <= 4 * room
+            clear = (10 * far <= 4 * room) & (room >= 8)
             late = late[which[clear]]
             early[late], gap[late] = first[group[late]], far[clear]
             by_rank = np.setdiff1d(by_rank, head, assume_unique=True)
@@ -460,8 +460,8 @@ def _pairs(late: np.ndarray, early: np.ndarray, far: np.ndarray, more: np.ndarra
 def candidates(meeting: Meeting, wanted: np.ndarray | None = None, apart: np.ndarray | None = None, few: int = FIRST) -> pd.DataFrame:
     """Pairs of sets, later and earlier by first place, that share a prefix word and pass the filters.
 
-    A later set that is clearly similar to an earlier one by their bitmaps gets one such pair for each word; one in doubt gets
-    the few nearest (more says how many are left out). With wanted (set hashes), those sets get all of theirs and no others any.
+    Of a word with many rows, a later set that is clearly similar to an early one by their bitmaps gets that pair (more is 1:
+    others were not looked for); each other one gets its three nearest if the first is clear, else the few nearest (more says how many are left out). With wanted (set hashes), those sets get all of theirs and no others any.
     """
     rows = meeting.rows
     if wanted is not None:
@@ -474,8 +474,8 @@ def candidates(meeting: Meeting, wanted: np.ndarray | None = None, apart: np.nda
     order = np.lexsort((early, far, late))
     late, early, far, room = late[order], early[order], far[order], room[order]
     start, end = runs_of(late)
-    clear = 10 * far[start] <= 7 * room[start] if len(late) else np.empty(0, bool)
-    most = np.where(clear, 1, few)
+    clear = (10 * far[start] <= 7 * room[start]) & (room[start] >= 8) if len(late) else np.empty(0, bool)
+    most = np.where(clear, min(3, few), few)
     keep = np.arange(len(late)) - start < most
     out.append((late[keep], early[keep], far[keep], np.maximum(end - start - most, 0)[keep]))
     late, early, far, more = (np.concatenate([x[k] for x in out]) for k in range(4))
