@@ -122,9 +122,10 @@ def cluster_vectors(
     else:
         state = rows.select("vec_id", F.lit(0).alias("cluster"), F.lit(0).cast("bigint").alias("distance"), *[f"k{i}" for i in range(len(keep))])
     told = [(k, hashlib.sha256(",".join(map(str, c)).encode()).hexdigest()) for k, c in enumerate(centroids.tolist())]
-    sums = {r["cluster"]: r["d"] for r in state.groupBy("cluster").agg(F.sum(F.col("distance").cast("decimal(38,0)")).alias("d")).collect()}
+    told_sum = F.when(F.count_if(F.col("distance").isNull()) == 0, F.sum(F.col("distance").cast("decimal(38,0)")))
+    sums = {r["cluster"]: r["d"] for r in state.groupBy("cluster").agg(told_sum.alias("d")).collect()}
     fits = lambda x: None if x is None or x >= 1 << 63 else int(x)
-    whole = fits(sum(int(x or 0) for x in sums.values()))
+    whole = None if None in sums.values() else fits(sum(map(int, sums.values())))
     facts = [(k, fits(sums.get(k)), whole, sha) for k, sha in told]
     named = rows.sparkSession.createDataFrame(facts, "own int, cluster_inertia bigint, inertia bigint, centroid_sha256 string")
     # The broadcast side holds one row a cluster, `clusters` at most.

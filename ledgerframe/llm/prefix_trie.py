@@ -273,7 +273,7 @@ def _later(final: bool, schema: pa.Schema):
 def conversation_keys(conversations: DataFrame) -> DataFrame:
     """(conv_id, key, words): each conversation rebuilt, as the ids of its turns in one key and the words of each turn's text.
 
-    Turns go by number, null first, ties by id. The first h turns of conversation c - c % 20, all if fewer and none if absent, come
+    Turns go by number, null first, ties by id. The first h turns of conversation c - c % 20 (the remainder has the sign of c), all if fewer and none if absent, come
     before c's own after its first h; h is the CRC-32 of c's decimal digits, modulo 4.
     """
     role, text = (F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("role", "text"))
