@@ -52,7 +52,8 @@ def classify_rpc_error(errors: DataFrame) -> DataFrame:
     )
 
 
-_ORDER = ("block", "transaction", "receipt", "log", "trace")
+#: The order in which a cursor's entities are fetched; the first that fails stands for it.
+ENTITY_ORDER = ("block", "transaction", "receipt", "log", "trace")
 
 
 def parse_failures(raw: DataFrame, entity: str) -> DataFrame:
@@ -77,7 +78,7 @@ def capture_failures(rpc_errors: DataFrame, parse_errors: DataFrame | None = Non
     rpc_errors(cursor, entity, method, error): the first entity of a cursor that failed, in entity order, stands for the
     cursor at stage rpc. parse_errors(cursor, entity, error_message) all count, at stage processor, on cursors without an RPC failure.
     """
-    rank = F.array_position(F.array(*map(F.lit, _ORDER)), F.col("entity"))
+    rank = F.array_position(F.array(*map(F.lit, ENTITY_ORDER)), F.col("entity"))
     first = rpc_errors.groupBy("cursor").agg(F.min_by(F.struct("entity", "method", "error"), F.struct(F.when(rank > 0, rank).otherwise(99), "entity", "method")).alias("f")).select("cursor", "f.*")
     told = classify_rpc_error(first)
     context = F.to_json(F.struct(F.struct("method", "cursor").alias("request"), F.struct(F.col("rpc_error_code").alias("code"), F.col("rpc_error_message").alias("message")).alias("rpc_error"), F.col("not_ready").alias("expected")))

@@ -15,6 +15,8 @@ from ledgerframe.plans.entities import resolve_entities, sink_entities
 from ledgerframe.storage import cut
 
 METHOD = {"block": "eth_getBlockByNumber", "transaction": "eth_getBlockByNumber", "receipt": "eth_getBlockReceipts", "log": "eth_getBlockReceipts", "trace": "debug_traceBlockByNumber"}
+#: Which entity stands for a method that failed.
+ENTITY_OF = {METHOD[e]: e for e in ("block", "receipt", "trace")}
 
 
 #: Which raw method each entity comes from, and how rows of an entity follow from that method's parsed payloads.
@@ -27,7 +29,7 @@ def needed_methods(requested: list[str]) -> list[str]:
     return sorted({METHOD[e] for e in resolve_entities(requested)})
 
 
-def parsed_once(good: DataFrame, needed: list[str], check: bool) -> tuple[dict[str, DataFrame], DataFrame | None]:
+def parsed_once(good: DataFrame, needed: list[str], check: bool, made: list[str] | None = None) -> tuple[dict[str, DataFrame], DataFrame | None]:
     """(rows by entity, parse failures): each method's payloads are parsed in one pass and written once; sinks read columns of that.
 
     A method that only one branch reads is not written. Entities with a parser of the caller's are parsed from raw.
@@ -38,7 +40,7 @@ def parsed_once(good: DataFrame, needed: list[str], check: bool) -> tuple[dict[s
         wanted = [e for e in kinds if e in needed]
         ours = [e for e in wanted if is_own_parser(e)]
         if ours and (check or len(needed) > 1):
-            parsed = cut(payloads(own(first)))
+            parsed = cut(payloads(own(first)), made)
             rows |= {e: kinds[e](parsed) for e in ours}
             bad.append(failures_of(parsed, {e: e for e in ours if e in REQUIRED}))
             wanted = [e for e in wanted if e not in ours]
@@ -50,21 +52,21 @@ def parsed_once(good: DataFrame, needed: list[str], check: bool) -> tuple[dict[s
     return rows, reduce(DataFrame.unionByName, bad) if check and bad else None
 
 
-def ingest(raw: DataFrame, requested: list[str], check: bool = True) -> tuple[dict[str, DataFrame], DataFrame | None]:
+def ingest(raw: DataFrame, requested: list[str], check: bool = True, made: list[str] | None = None) -> tuple[dict[str, DataFrame], DataFrame | None]:
     """(bundle, failures): a DataFrame per requested entity, and the failed cursors with why.
 
     Only the branches that the request needs enter the plan, and each method's JSON is parsed once: parsed payloads are written
     to the shared folder, so a job runs while the plan is made. A cursor with any RPC or parse failure gives no row of any entity; where
     no cursor failed, nothing is joined. Each id comes once. With check off, parse failures are not looked for (payloads known to be
-    whole). Raw rows without an error column have no failures.
+    whole). Raw rows without an error column have no failures. Paths of what is written on the way are added to `made`.
     """
     needed = resolve_entities(requested)
     good = raw.where("error IS NULL") if "error" in raw.columns else raw
-    rows, bad = parsed_once(good, needed, check and "error" in raw.columns)
+    rows, bad = parsed_once(good, needed, check and "error" in raw.columns, made)
     failures = None
     if "error" in raw.columns:
         named = raw.where("error IS NOT NULL").withColumn("entity", F.when(F.col("method") == METHOD["receipt"], "receipt").when(F.col("method") == METHOD["trace"], "trace").otherwise("block"))
-        failures = cut(capture_failures(named.select("cursor", "entity", "method", "error"), bad))
+        failures = cut(capture_failures(named.select("cursor", "entity", "method", "error"), bad), made)
     if "log" in rows and "token_transfer" in [r.strip().lower() for r in requested]:
         rows["token_transfer"] = decode_token_transfers(rows["log"])
     if "transaction" in rows:

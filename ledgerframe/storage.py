@@ -1,4 +1,4 @@
-"""The folder that driver and executors share, and tables written there once and read again."""
+"""The folder that driver and executors share, tables written there once and read again, and small files on any file system."""
 
 from __future__ import annotations
 
@@ -19,9 +19,58 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write df once to the shared folder and read it back: what follows neither recomputes it nor depends on executors."""
+def cut(df: DataFrame, made: list[str] | None = None) -> DataFrame:
+    """Write df once to the shared folder and read it back: what follows neither recomputes it nor depends on executors.
+
+    The path is added to `made`, for dropped() when nothing reads it any more.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/cut-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    if made is not None:
+        made.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def dropped(spark: SparkSession, made: list[str]) -> None:
+    """Deletes tables that cut() has written."""
+    while made:
+        delete(spark, made.pop())
+
+
+def _at(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders in a folder; none if there is no such folder."""
+    fs, p = _at(spark, path)
+    return sorted(x.getPath().getName() for x in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, p = _at(spark, path)
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Writes a small file under another name and renames it, so that readers see it whole or not at all."""
+    fs, p = _at(spark, f"{path}.{uuid.uuid4().hex[:8]}.tmp")
+    stream = fs.create(p, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    if not fs.rename(p, _at(spark, path)[1]):
+        fs.delete(p, False)
+        raise FileExistsError(path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, p = _at(spark, path)
+    fs.delete(p, True)

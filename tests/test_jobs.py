@@ -1,6 +1,7 @@
 """Sinks, streaming jobs and registered queries."""
 
 import importlib.util
+import random
 
 import duckdb
 import pytest
@@ -12,7 +13,7 @@ from ledgerframe.operators import dlq
 from ledgerframe.operators.progress import contiguous_watermark
 from ledgerframe.plans import ingest, registry
 from ledgerframe.sources import raw as raws, views
-from ledgerframe.streaming import jobs
+from ledgerframe.streaming import jobs, watermark
 
 SF = "/root/testdata/sf0.001"
 FEW = ("transfer_totals", "p1_p11_p13_hex", "w1_contiguous_watermark", "d4_d6_retry_states", "a4_percentile_floor")
@@ -79,13 +80,15 @@ def test_stream_equals_batch(spark, tmp_path, exactly_once):
     assert {r["cursor"] for r in read("failures", "cursor bigint").collect()} == {r["cursor"] for r in failures.collect()} != set()
     # The watermark stands below the first failed cursor; gap rows are the failed ones and those past the next expected one.
     last = max(seen)
-    mark = sinks.read_committed(spark, f"{tmp_path}/out", "marks", jobs.MARK).where(F.col("batch_id") == last).first()["watermark"]
+    mark = sinks.read_committed(spark, f"{tmp_path}/out", "marks", jobs.MARK).where(F.col("batch_id") == last).collect()[0]["watermark"]
     failed = {r["cursor"] for r in failures.collect()}
     assert mark == min(failed | {views.BASE + 41}) - 1
     gaps = sinks.read_committed(spark, f"{tmp_path}/out", "gaps", "cursor bigint, status string, error string").collect()
     assert {r["cursor"] for r in gaps if r["status"] == "failed"} == failed and all(r["error"] for r in gaps if r["status"] == "failed")
-    held = sinks.read_committed(spark, f"{tmp_path}/out", "pending", raws.RAW_SCHEMA).where(F.col("batch_id") == last).collect()
-    assert {r["cursor"] for r in held} == {views.BASE + 41}
+    held = sinks.read_committed(spark, f"{tmp_path}/out", "pending", jobs.PENDING).collect()
+    assert {r["cursor"] for r in held} == {views.BASE + 41} and {r["batch_id"] for r in held} == {last}
+    rows = sinks.read_committed(spark, f"{tmp_path}/out", "waiting", raws.RAW_SCHEMA, {r["at"] for r in held}).where(F.col("cursor") == views.BASE + 41)
+    assert rows.count() == len(held)
 
 
 def test_each_method_is_scanned_once(spark, tmp_path, monkeypatch):
@@ -97,7 +100,7 @@ def test_each_method_is_scanned_once(spark, tmp_path, monkeypatch):
         plan = df._jdf.queryExecution().optimizedPlan().toString()
         assert "from_json" not in plan and "method#" not in plan
     made = []
-    monkeypatch.setattr(ingest, "cut", lambda df: made.append(df) or df)
+    monkeypatch.setattr(ingest, "cut", lambda df, paths=None: made.append(df) or df)
     ingest.ingest(raw, ["block", "transaction", "log", "token_transfer"])
     assert [df._jdf.queryExecution().optimizedPlan().toString().count("Relation ") for df in made[:2]] == [1, 1]
 
@@ -113,19 +116,158 @@ def test_own_parser_is_used(spark):
         parse.register_parser("block", parse.parse_blocks)
 
 
-def test_stream_watermark(spark, tmp_path):
-    state = views.cursor_state(spark, SF).select("identity", "cursor", "status", "updated_at_ms").withColumn("identity", F.col("identity").cast("string"))
-    state.repartition(4, "cursor").write.parquet(f"{tmp_path}/state")
-    # Older completions are left out here: whether one is taken depends on what has come before it.
-    newer = views.cursor_state(spark, SF).where("status = 'failed' AND value < 100 AND event_id % 3 <> 0")
-    repairs = newer.select(F.col("identity").cast("string"), "cursor", F.lit("completed").alias("status"), (F.col("updated_at_ms") + 1).alias("updated_at_ms"))
-    repairs.write.parquet(f"{tmp_path}/repairs")
-    stream = spark.readStream.schema(jobs.STATE).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/state")
-    jobs.stream_watermark(stream, f"{tmp_path}/out", f"{tmp_path}/ck", 99, external=f"{tmp_path}/repairs").awaitTermination()
-    marks = sinks.read_committed(spark, f"{tmp_path}/out", "marks", jobs.MARK)
-    last = marks.groupBy("identity").agg(F.max("watermark").alias("w"))
-    want = contiguous_watermark(state.unionByName(repairs), 99)
-    assert {tuple(r) for r in last.collect()} == {tuple(r) for r in want.collect()}
+TRACE = views.METHODS["trace"]
+CALL = '[{"txHash":"0x1","result":{"type":"CALL","from":"0xa","to":"0xb","value":"0x1","gas":"0x1","gasUsed":"0x1"}}]'
+
+
+def test_long_stream_stays_small(spark, tmp_path):
+    """Twenty micro-batches with late and missing payloads: folders, entries and manifests stay few, and the result is that of the batch plan."""
+    blocks = views.raw_blocks(spark, SF).where(F.col("cursor") < views.BASE + 200).withColumn("error", F.lit(None).cast("string"))
+    cursors = sorted(r["cursor"] for r in blocks.select("cursor").collect())
+    never = cursors[3]
+    traces = spark.createDataFrame([(c, TRACE, CALL, None) for c in cursors if c != never], "cursor long, method string, result string, error string")
+    place = {c: k for k, c in enumerate(cursors)}
+    files = [[] for _ in range(20)]
+    for c in cursors:
+        files[place[c] * 16 // len(cursors)].append((c, "block"))
+        if c != never:
+            files[place[c] * 16 // len(cursors) + place[c] % 4].append((c, "trace"))
+    for own in files:
+        picked = [c for c, kind in own if kind == "block"], [c for c, kind in own if kind == "trace"]
+        part = blocks.where(F.col("cursor").isin(picked[0])).unionByName(traces.where(F.col("cursor").isin(picked[1])), allowMissingColumns=True)
+        part.coalesce(1).write.mode("append").parquet(f"{tmp_path}/raw")
+    clock = iter(range(0, 1_000_000, 1000))
+    stream = raws.read_raw(spark, f"{tmp_path}/raw", stream=True, max_files=1)
+    base = f"{tmp_path}/out"
+    jobs.stream_ingest(stream, ["block", "trace"], base, f"{tmp_path}/ck", initial=cursors[0] - 1, now_ms=lambda: next(clock), timeout_ms=6000, merge=4).awaitTermination()
+    m = sinks.manifest(spark, base)
+    assert m["batch_id"] == 19
+    assert all(len(m["live"][t]) == 1 for t in ("state", "marks", "pending")) and len(m["live"]["waiting"]) <= 4
+    assert all(len(m["live"][t]) <= 12 for t in ("block", "trace", "failures", "gaps"))
+    for t in m["live"]:
+        assert len(sinks.storage.children(spark, f"{base}/{t}")) <= 45
+    assert len(sinks.storage.children(spark, f"{base}/_manifest")) <= 40
+    whole = [c for c in cursors if c != never]
+    for entity in ("block", "trace"):
+        got = sinks.read_committed(spark, base, entity, "id string, cursor bigint").collect()
+        assert sorted(r["cursor"] for r in got) == whole and len({r["id"] for r in got}) == len(got)
+    failures = sinks.read_committed(spark, base, "failures", "cursor bigint, entity string, error_type string, error_message string").collect()
+    assert [(r["cursor"], r["entity"], r["error_type"]) for r in failures] == [(never, "trace", "TimeoutError")] and TRACE in failures[0]["error_message"]
+    gap = sinks.read_latest(spark, base, "gaps", "identity string, cursor bigint, status string", ["identity", "cursor"]).where(F.col("cursor") == never).collect()
+    assert [r["status"] for r in gap] == ["failed"]
+    assert sinks.read_committed(spark, base, "marks", jobs.MARK).collect()[0]["watermark"] == never - 1
+    assert sinks.read_committed(spark, base, "pending", jobs.PENDING).count() == 0
+    state = sinks.read_committed(spark, base, "state", jobs.SPANS).collect()
+    assert len([r for r in state if r["status"] == "failed"]) == 1 and sum(r["hi"] - r["lo"] + 1 for r in state if r["status"] == "completed") == len(cursors) - 4
+
+
+def test_advance_equals_whole_state(spark):
+    """Spans carried from batch to batch give the watermarks and open cursors of all rows at once, with repairs, for any split."""
+    rng = random.Random(11)
+    for initial in (None, 9):
+        state, mark = spark.createDataFrame([], jobs.SPANS), spark.createDataFrame([], jobs.MARK)
+        told = {}
+        for turn in range(5):
+            rows = []
+            for i in "ab":
+                for c in rng.sample(range(10, 40), 9):
+                    status = rng.choice(["completed", "completed", "failed"])
+                    rows.append((i, c, status, turn * 10 + 1))
+            repairs = [(i, c, "completed", turn * 10 + 2) for (i, c), v in list(told.items()) if v == "failed" and rng.random() < 0.3]
+            low = {r["identity"]: r["watermark"] for r in mark.collect()}
+            for i, c, status, _ in rows:
+                if low.get(i) is None or c > low[i]:
+                    told[i, c] = "completed" if "completed" in (status, told.get((i, c))) else "failed"
+            for i, c, _, _ in repairs:
+                if not any(r[:3] == (i, c, "failed") and r[3] > turn * 10 + 2 for r in rows):
+                    told[i, c] = "completed"
+            state, mark = jobs.advance(state, spark.createDataFrame(rows, jobs.STATE), mark, initial, spark.createDataFrame(repairs, jobs.STATE))
+            for i in "ab":
+                own = {c: v for (j, c), v in told.items() if j == i}
+                start = low.get(i) if low.get(i) is not None else initial if initial is not None else min(own) - 1
+                end = start
+                while own.get(end + 1) == "completed":
+                    end += 1
+                want = None if end == start and low.get(i) is None and initial is None else end
+                assert {r["identity"]: r["watermark"] for r in mark.collect()}[i] == want
+                held = state.where(F.col("identity") == i).collect()
+                assert {c for r in held if r["status"] == "completed" for c in range(r["lo"], r["hi"] + 1) if c > end} == {c for c, v in own.items() if v == "completed" and c > end}
+                assert {r["lo"] for r in held if r["status"] == "failed"} == {c for c, v in own.items() if v == "failed" and c > end}
+
+
+def test_stream_watermark(spark, tmp_path, monkeypatch):
+    """Over random batches of three identities, with repairs as a stream of their own, the marks are those of all rows at once."""
+    monkeypatch.setattr(watermark, "BLOCK", 8)
+    rng = random.Random(4)
+    rows, repairs = [], []
+    for i, n in (("a", 150), ("b", 60), ("c", 90)):
+        for c in range(100, 100 + n):
+            failed = rng.random() < 0.15
+            rows.append((i, c, "failed" if failed else "completed", 1000 + c))
+            if failed and rng.random() < 0.7:
+                repairs.append((i, c, "completed", 1001 + c))
+            if rng.random() < 0.1:
+                rows.append((i, c, "failed", 2000 + c) if not failed else (i, c, "failed", 500 + c))
+    rows += [("late", c, "completed", 1) for c in (7, 9, 5, 6)]
+    rng.shuffle(rows)
+    for k in range(12):
+        own = rows[k::12]
+        spark.createDataFrame(own, jobs.STATE).coalesce(1).write.mode("append").parquet(f"{tmp_path}/state")
+    spark.createDataFrame([("a", 1, "failed", 0)], jobs.STATE).where("cursor < 0").write.parquet(f"{tmp_path}/repairs")
+    read = lambda name: spark.readStream.schema(jobs.STATE).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/{name}")
+    run = lambda initial, to: jobs.stream_watermark(read("state"), f"{tmp_path}/{to}", f"{tmp_path}/ck{to}", initial, read("repairs"), merge=4).awaitTermination()
+    marks = lambda to: {tuple(r) for r in sinks.read_latest(spark, f"{tmp_path}/{to}", "marks", "identity string, watermark bigint", ["identity"]).select("identity", "watermark").collect()}
+    state = spark.createDataFrame(rows, jobs.STATE)
+    run(99, "out")
+    assert marks("out") == {tuple(r) for r in contiguous_watermark(state.where("identity <> 'late'"), 99).collect()} | {("late", 99)}
+    spark.createDataFrame(repairs, jobs.STATE).coalesce(1).write.mode("append").parquet(f"{tmp_path}/repairs")
+    run(99, "out")  # goes on from the checkpoint: only the repairs are new
+    fixed = state.unionByName(spark.createDataFrame(repairs, jobs.STATE))
+    newest = {}
+    for i, c, s, v in rows:
+        newest[i, c] = max(newest.get((i, c), (0, "")), (v, s))
+    taken = spark.createDataFrame([r for r in repairs if (r[3], r[2]) > newest[r[0], r[1]]], jobs.STATE)
+    assert marks("out") == {tuple(r) for r in contiguous_watermark(state.unionByName(taken).where("identity <> 'late'"), 99).collect()} | {("late", 99)}
+    assert fixed.count() > taken.count() > 0
+    live = sinks.manifest(spark, f"{tmp_path}/out")["live"]["marks"]
+    assert len(live) <= 8
+    with pytest.raises(Exception, match="another stream"):
+        jobs.stream_watermark(read("state"), f"{tmp_path}/out", f"{tmp_path}/ckother", 99).awaitTermination()
+
+
+def test_watermark_blocks():
+    """Spans of a block join, close open cursors, and are found by cursor."""
+    held = watermark.Held(None)
+    for lo, hi in ((5, 5), (1, 2), (9, 12), (3, 4), (20, 20)):
+        held.complete(lo, hi)
+    held.open = {30: (1, "failed"), 14: (1, "failed")}
+    held.complete(13, 19)
+    assert held.spans == [[1, 5], [9, 20]] and held.open == {30: (1, "failed")}
+    assert held.covering(10) == [9, 20] and held.covering(7) is None and held.covering(21) is None and held.covering(1) == [1, 5]
+    assert watermark.Held(held.text()).spans == held.spans and watermark.Held(None).text() is None
+
+
+def test_compaction_and_retention(spark, tmp_path):
+    """A key's last row survives merging, a snapshot opens one folder, and what no late manifest names is deleted."""
+    base = str(tmp_path)
+    for n in range(40):
+        rows = spark.createDataFrame([(n % 7, n), (100, n)], "k long, v long")
+        sinks.commit_batch({"log": rows, "snap": rows}, base, n, ("snap",))
+        if n % 4 == 3:
+            sinks.compact(spark, base, "log", ["k"], 4)
+    assert sinks.read_committed(spark, base, "snap", "k long, v long").select("v").distinct().collect()[0][0] == 39
+    assert len(sinks.manifest(spark, base)["live"]["snap"]) == 1
+    want = {n % 7: n for n in range(40)} | {100: 39}
+    assert {r["k"]: r["v"] for r in sinks.read_latest(spark, base, "log", "k long, v long", ["k"]).collect()} == want
+    assert len(sinks.manifest(spark, base)["live"]["log"]) <= 12
+    sinks.retire(spark, base, 2)
+    assert len(sinks.storage.children(spark, f"{base}/snap")) <= 2 and len(sinks.storage.children(spark, f"{base}/_manifest")) == 2
+    # A crash after the data and before the manifest changes nothing, and the next attempt takes the batch's place.
+    spark.createDataFrame([(1, 99)], "k long, v long").withColumn("batch_id", F.lit(40).cast("bigint")).write.parquet(f"{base}/log/b000000000040-dead")
+    assert {r["k"]: r["v"] for r in sinks.read_latest(spark, base, "log", "k long, v long", ["k"]).collect()} == want
+    for v in (1, 2):
+        sinks.commit_batch({"log": spark.createDataFrame([(1, v)], "k long, v long")}, base, 40)
+    assert sinks.read_committed(spark, base, "log", "k long, v long").where("batch_id = 40").collect()[0]["v"] == 2
 
 
 def test_commit_is_atomic(spark, tmp_path):
