@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-import json
-import sys
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerframe.functions.hexabi import hex_to_decimal_string as dec, hex_to_long as num
@@ -168,77 +164,63 @@ def parse_trace_block(raw: DataFrame) -> DataFrame:
 
 #: The public names of a call's fields.
 _CALL = ("type", "from", "to", "value", "gas", "gasUsed", "input", "output", "error")
-#: Calls below this level (the root is level 0) are walked in Python; levels up to it are opened by one expression.
+#: Levels of calls that one pass of the parser opens (the root is level 0); what is deeper goes round again.
 LEVELS = 8
-_FLAT = "array<struct<path:array<bigint>," + ",".join(f"`{k}`:string" for k in _CALL) + ",subtraces:bigint>>"
+#: Passes that a tree may take: calls nest at most 1,024 deep.
+PASSES = 200
+_FLAT = "array<struct<path:array<bigint>," + ",".join(f"`{k}`:string" for k in _CALL) + ",subtraces:bigint,more:array<string>>>"
 
 
 def _call_schema(levels: int) -> str:
     return _schema(dict.fromkeys(_CALL, ""), "calls:array<string>" if levels == 0 else f"calls:array<{_call_schema(levels - 1)}>")
 
 
-def _opened(call: Column, path: Column, levels: int) -> Column:
-    """array of the rows of a call and all calls below it, of a tree of at most so many levels below."""
-    own = F.array(F.struct(path.alias("path"), *[call[k].alias(k) for k in _CALL], F.coalesce(F.size(call["calls"]), F.lit(0)).cast("bigint").alias("subtraces")))
+def _opened(call: str, path: str, levels: int) -> str:
+    """SQL for the array of the rows of a call and the calls of so many levels below; `more` has the texts of what is deeper."""
+    more = f"{call}.calls" if levels == 0 else "CAST(NULL AS array<string>)"
+    fields = ", ".join(f"'{k}', {call}.`{k}`" for k in _CALL)
+    own = f"array(named_struct('path', {path}, {fields}, 'subtraces', CAST(coalesce(size({call}.calls), 0) AS bigint), 'more', {more}))"
     if levels == 0:
         return own
-    below = F.transform(call["calls"], lambda x, i: _opened(x, F.concat(path, F.array(i.cast("bigint"))), levels - 1))
-    return F.concat(own, F.coalesce(F.flatten(below), F.array().cast(_FLAT)))
-
-
-def _said(x) -> str | None:
-    """A JSON value as from_json gives it for a string field."""
-    return x if x is None or isinstance(x, str) else json.dumps(x, separators=(",", ":"))
-
-
-def walked(text: str | None) -> list | None:
-    """The rows of a call tree of any depth; None for None."""
-    if text is None:
-        return None
-    try:
-        todo = [([], json_value(text))]
-    except ValueError:
-        todo = [([], None)]
-    out = []
-    while todo:
-        path, call = todo.pop()
-        call = call if isinstance(call, dict) else {}
-        calls = call.get("calls") if isinstance(call.get("calls"), list) else []
-        out.append({"path": path, **{k: _said(call.get(k)) for k in _CALL}, "subtraces": len(calls)})
-        todo += [([*path, i], x) for i, x in enumerate(calls)]
-    return out
+    c, i = f"c{levels}", f"i{levels}"
+    below = _opened(c, f"concat({path}, array(CAST({i} AS bigint)))", levels - 1)
+    return f"concat({own}, coalesce(flatten(transform({call}.calls, ({c}, {i}) -> {below})), CAST(array() AS {_FLAT})))"
 
 
-def json_value(text: str):
-    """The value of a JSON text, however deep it is nested."""
-    limit = sys.getrecursionlimit()
-    sys.setrecursionlimit(max(limit, 20_000))
-    try:
-        return json.loads(text, parse_float=str, parse_int=str)
-    finally:
-        sys.setrecursionlimit(limit)
+def _calls(text: str) -> str:
+    """SQL for the rows of one pass over a call's JSON text, paths from that call on; a text that is no object gives a row of NULLs."""
+    parsed = f"array(from_json({text}, '{_call_schema(LEVELS)}'))"
+    return f"flatten(transform({parsed}, c -> {_opened('c', 'CAST(array() AS array<bigint>)', LEVELS)}))"
 
 
 def flatten_call_tree(raw: DataFrame) -> DataFrame:
-    """cursor and the trace fields of recursive call traces, a row per call; one pass over raw, nothing runs while the plan is made.
+    """cursor and the trace fields of recursive call traces, a row per call; nothing runs while the plan is made.
 
-    A tree is parsed once and opened by one expression. Trees that may be deeper than LEVELS, told by the number of their
-    "calls" keys, go to a small walker instead; the others give it NULLs. Transactions without a result give no rows.
+    One parser serves trees of any depth: it opens LEVELS levels in one expression and leaves the texts of deeper calls, which go
+    round again in a recursive query. Only trees with more "calls" keys than LEVELS can have any, and only those are looked at
+    for it. Transactions without a result give no rows. JSON nested over 1,000 levels deep, about 495 calls, is malformed to
+    Spark's reader, so such a payload gives no rows and counts as a parse failure. Sets spark.sql.cteRecursionRowLimit to no limit.
     """
+    spark = raw.sparkSession
+    spark.conf.set("spark.sql.cteRecursionRowLimit", "-1")
     tops = raw.select("cursor", F.explode(F.from_json("result", "array<struct<txHash:string,transactionHash:string,result:string>>")).alias("t"))
     tx = F.coalesce(F.nullif("t.txHash", F.lit("")), F.col("t.transactionHash"))
     text = F.col("t.result")
     empty = text.isin("{}", "[]", "null", "false", "0", '""')
     rows = tops.where(text.isNotNull() & ~empty).select("cursor", tx.alias("tx"), text.alias("text"))
-    deep = F.char_length("text") - F.char_length(F.replace("text", F.lit('"calls"'), F.lit(""))) > len('"calls"') * LEVELS
-
-    @F.pandas_udf(_FLAT)
-    def walk(texts: pd.Series) -> pd.Series:
-        return texts.map(walked, na_action="ignore")
-
-    rows = rows.withColumn("walked", walk(F.when(deep, F.col("text"))))
-    opened = F.transform(F.array(F.from_json("text", _call_schema(LEVELS))), lambda c: _opened(c, F.array().cast("array<bigint>"), LEVELS))
-    flat = rows.select("cursor", "tx", F.explode(F.coalesce("walked", F.flatten(opened))).alias("c"))
+    opened = rows.select("cursor", "tx", F.explode(F.expr(_calls("text"))).alias("c"))
+    maybe = F.char_length("text") - F.char_length(F.replace("text", F.lit('"calls"'), F.lit(""))) > len('"calls"') * LEVELS
+    first = rows.where(maybe).select("cursor", "tx", F.explode(F.expr(f"filter({_calls('text')}, x -> size(x.more) > 0)")).alias("c"))
+    deeper = "SELECT cursor, tx, concat({path}, array(CAST(i AS bigint))) AS path, text FROM {source} LATERAL VIEW posexplode(c.more) m AS i, text"
+    round_ = f"SELECT cursor, tx, path, c FROM deep LATERAL VIEW explode(filter({_calls('text')}, x -> size(x.more) > 0)) e AS c"
+    deep = spark.sql(
+        f"WITH RECURSIVE deep(cursor, tx, path, text) MAX RECURSION LEVEL {PASSES} AS ({deeper.format(path='c.path', source='{first}')}"
+        f" UNION ALL {deeper.format(path='path, c.path', source=f'({round_}) r')})"
+        f" SELECT cursor, tx, path, c FROM deep LATERAL VIEW explode({_calls('text')}) e AS c",
+        first=first,
+    )
+    below = deep.select("cursor", "tx", F.col("c").withField("path", F.concat("path", "c.path")).alias("c"))
+    flat = opened.unionByName(below)
     tx, path, none = F.col("tx"), F.col("c.path"), F.lit(None).cast("string")
     return flat.select(
         "cursor", F.lit("trace").alias("type"), F.col("cursor").alias("block_number"), tx.alias("transaction_hash"), trace_id(tx, path).alias("trace_id"), parent_trace_id(tx, path).alias("parent_trace_id"),

@@ -528,6 +528,23 @@ def p7_trace_contract(spark, sf):
     return _contract(parse.parse_traces(v.raw_trace_blocks(spark, sf), "trace_block"), "trace_address")
 
 
+@query("""WITH chains AS (SELECT 90000000 + o_orderkey AS cursor, '0xc' || o_orderkey AS tx, o_orderkey % 31 AS n, unnest(range(o_orderkey % 31 + 1)) AS d FROM orders),
+wides AS (SELECT 90000000 + s_suppkey AS cursor, '0xw' || s_suppkey AS tx, 5 * (s_suppkey % 100 + 1) AS n FROM supplier),
+kids AS (SELECT *, unnest(range(n)) AS k FROM wides),
+calls AS (SELECT cursor, tx, list_transform(range(d), lambda x: 0::BIGINT) AS path, CASE WHEN d < n THEN 'CALL' ELSE 'LEAF' END AS call_type, CASE WHEN d < n THEN 1 ELSE 0 END AS subtraces, CASE WHEN d < n THEN 5 END AS gas, NULL AS value, CASE WHEN d < n THEN '{"k":[1,true]}' END AS input, NULL AS output, NULL AS error FROM chains
+  UNION ALL SELECT cursor, tx, [], 'R', n, NULL, NULL, NULL, '0x', NULL FROM wides
+  UNION ALL SELECT cursor, tx, [k], 'C', 1, NULL, (k + 1)::VARCHAR, NULL, NULL, NULL FROM kids
+  UNION ALL SELECT cursor, tx, [k, 0], 'D', 0, NULL, NULL, NULL, NULL, 'e' FROM kids)
+SELECT cursor, tx AS transaction_hash, CASE WHEN len(path) = 0 THEN tx || '_root' ELSE tx || '_' || array_to_string(path, '_') END AS trace_id,
+  CASE WHEN len(path) = 1 THEN tx || '_root' WHEN len(path) > 1 THEN tx || '_' || array_to_string(path[:-2], '_') END AS parent_trace_id,
+  len(path)::BIGINT AS depth, call_type, subtraces::BIGINT AS subtraces, gas::BIGINT AS gas, value::VARCHAR AS value, input::VARCHAR AS input, output::VARCHAR AS output, error::VARCHAR AS error FROM calls""")
+def p8_deep_trees(spark, sf):
+    """Chains of up to 30 calls and up to 500 calls side by side, by the same parser as all others."""
+    t = parse.parse_traces(v.raw_deep_traces(spark, sf), "debug_trace")
+    return t.select("cursor", "transaction_hash", "trace_id", "parent_trace_id", "depth", "call_type", "subtraces", "gas", "value", "input", "output", "error")
+
+
+
 @query(f"""WITH {TX}, paths AS (
   SELECT *, repeat('_0', d) AS p, d AS depth, CASE WHEN d = 0 THEN cents ELSE d END AS value, CASE WHEN d = 0 THEN (l_linenumber > 1)::INT + l_quantity::BIGINT % 3 WHEN d = l_linenumber - 1 THEN 0 ELSE 1 END AS subtraces FROM (SELECT *, unnest(range(0, l_linenumber)) AS d FROM tx)
   UNION ALL SELECT * EXCLUDE (e), '_' || ((l_linenumber > 1)::INT + e), 1, 0, 0 FROM (SELECT *, 0 AS d, unnest(range(0, l_quantity::BIGINT % 3)) AS e FROM tx))

@@ -161,6 +161,19 @@ def raw_trace_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lists.select("cursor", F.lit(METHODS["trace_block"]).alias("method"), F.to_json("l").alias("result"))
 
 
+@stored
+def raw_deep_traces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Call trees out of the ordinary: for each order a chain of up to 30 calls, for each supplier up to 500 calls side by side, of one call each."""
+    depth = (F.col("o_orderkey") % 31).cast("int")
+    chain = F.concat(F.repeat(F.lit('{"type":"CALL","gas":"0x5","input":{"k":[1,true]},"calls":['), depth), F.lit('{"type":"LEAF"}'), F.repeat(F.lit("]}"), depth))
+    one = lambda tx, tree: F.concat(F.lit('[{"txHash":"'), tx, F.lit('","result":'), tree, F.lit("}]"))
+    chains = table(spark, sf_dir, "orders").select((BASE + F.col("o_orderkey")).alias("cursor"), one(F.concat(F.lit("0xc"), F.col("o_orderkey")), chain).alias("result"))
+    calls = F.transform(F.sequence(F.lit(1), (5 * (F.col("s_suppkey") % 100 + 1)).cast("int")), lambda k: F.concat(F.lit('{"type":"C","value":"0x'), F.lower(F.hex(k)), F.lit('","calls":[{"type":"D","error":"e"}]}')))
+    wide = F.concat(F.lit('{"type":"R","output":"0x","calls":['), F.array_join(calls, ","), F.lit("]}"))
+    wides = table(spark, sf_dir, "supplier").select((BASE + F.col("s_suppkey")).alias("cursor"), one(F.concat(F.lit("0xw"), F.col("s_suppkey")), wide).alias("result"))
+    return chains.union(wides).select("cursor", F.lit(METHODS["trace"]).alias("method"), "result")
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
     return e.withColumn("ts_ms", millis(F.col("ts")))

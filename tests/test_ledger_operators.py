@@ -217,14 +217,29 @@ def test_exact_percentiles(spark):
     assert metrics.exact_percentiles(df.limit(0), "v", shares) == [None] * 5
 
 
-def test_deep_trees_of_either_way(spark):
-    """The walker and the expression give the same rows."""
-    tree = {"type": "CALL", "value": 7, "calls": [{"type": "A", "calls": [{"type": "B", "error": "x"}, {"type": "C", "input": {"k": [1, True]}}]}, {"gas": "0x9"}]}
-    rows = parse.walked(json.dumps(tree))
-    raw = spark.createDataFrame([(5, json.dumps([{"txHash": "0xt", "result": tree}]))], "cursor long, result string")
-    got = {tuple(r["trace_address"]): r for r in parse.flatten_call_tree(raw).collect()}
-    assert {tuple(r["path"]): (r["type"], r["error"], r["subtraces"]) for r in rows} == {k: (r["call_type"], r["error"], r["subtraces"]) for k, r in got.items()}
-    assert {tuple(r["path"]): r["input"] for r in rows if r["input"]} == {(0, 1): '{"k":["1",true]}'} and got[0, 1]["input"] == '{"k":[1,true]}'
+def test_trees_of_any_depth(spark):
+    """Chains, bushes and wide trees give the rows that a plain walk gives, whatever pass opens them, and no Python runs for it."""
+    chain = lambda n: {"type": "CALL", "value": hex(n), "input": {"k": [1, True]}} | ({"calls": [chain(n - 1)]} if n else {})
+    wide = {"calls": [{"type": "A", "calls": [{"type": "B", "error": "x"}]} for _ in range(500)]}
+    trees = {"t0": chain(30), "t1": wide, "t2": {"calls": [chain(30), chain(7), chain(8), {"gas": "0x9"}, None, chain(17)]}, "t3": chain(7), "t4": chain(8), "t5": {}}
+    raw = spark.createDataFrame([(5, json.dumps([{"txHash": k, "result": t} for k, t in trees.items()]))], "cursor long, result string")
+    want = []
+
+    def walk(tx, call, path):
+        call = call or {}
+        calls = call.get("calls", [])
+        said = json.dumps(call["input"], separators=(",", ":")) if "input" in call else None
+        want.append((tx, path, call.get("type"), call.get("error"), said, str(int(call["value"], 16)) if "value" in call else None, len(calls)))
+        for i, c in enumerate(calls):
+            walk(tx, c, (*path, i))
+
+    for k, t in trees.items():
+        if t:
+            walk(k, t, ())
+    df = parse.flatten_call_tree(raw)
+    got = [(r["transaction_hash"], tuple(r["trace_address"]), r["call_type"], r["error"], r["input"], r["value"], r["subtraces"]) for r in df.collect()]
+    assert sorted(map(str, got)) == sorted(map(str, want))
+    assert "Python" not in df._jdf.queryExecution().toString()
 
 
 def test_heads_and_resume(spark):
