@@ -12,10 +12,36 @@ PREVIEW, KEYS, ITEMS, DEPTH = 512, 10, 3, 3
 _ID_FIELDS = ("chain", "cursor", "entity", "error_message", "error_type", "first_seen_at", "network", "pipeline", "stage")
 
 
+#: Characters that a JSON text escapes by a letter.
+_LETTERS = {'"': '\\"', "\\": "\\\\", "\n": "\\n", "\r": "\\r", "\t": "\\t", "\f": "\\f", "\b": "\\b"}
+#: A text of printable ASCII without quotes and backslashes, which stands as it is.
+_PLAIN = r"^[\x20\x21\x23-\x5B\x5D-\x7F]*$"
+
+
+def json_text(text: Column) -> Column:
+    """A text as a JSON string in ASCII: letters for the common escapes, \\uxxxx in lower-case hex for other controls and for all beyond
+    ASCII, by UTF-16 unit, so two of them above U+FFFF; NULL is null."""
+    unit = lambda x: F.concat(F.lit("\\u"), F.lower(F.lpad(F.hex(x), 4, "0")))
+
+    def one(ch: Column) -> Column:
+        code = F.ascii(ch)
+        over = code - 0x10000
+        pair = F.concat(unit(F.shiftright(over, 10) + 0xD800), unit(over.bitwiseAND(0x3FF) + 0xDC00))
+        known = F.lit(None).cast("string")
+        for k, v in _LETTERS.items():
+            known = F.when(ch == k, v).otherwise(known)
+        return F.coalesce(known, F.when((code >= 32) & (code < 128), ch).when(code > 0xFFFF, pair).otherwise(unit(code)))
+
+    inside = F.when(text.rlike(_PLAIN), text).otherwise(F.array_join(F.transform(F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0)), one), ""))
+    return F.coalesce(F.concat(F.lit('"'), inside, F.lit('"')), F.lit("null"))
+
+
 def dlq_id(df: DataFrame) -> Column:
-    """The first 32 hex digits of SHA-256 over the compact sorted JSON of the nine identifying fields (NULLs as null)."""
-    del df
-    return F.substring(F.sha2(F.to_json(F.struct(*_ID_FIELDS), {"ignoreNullFields": "false"}), 256), 1, 32)
+    """The first 32 hex digits of SHA-256 over the compact JSON, sorted by name and in ASCII, of the nine identifying fields (NULLs as null)."""
+    kinds = dict(df.dtypes)
+    value = lambda c: json_text(F.col(c)) if kinds[c] == "string" else F.coalesce(F.col(c).cast("string"), F.lit("null"))
+    fields = [x for i, c in enumerate(_ID_FIELDS) for x in (F.lit("," * (i > 0) + f'"{c}":'), value(c))]
+    return F.substring(F.sha2(F.concat(F.lit("{"), *fields, F.lit("}")), 256), 1, 32)
 
 
 def _preview(payload: Column, depth: int) -> Column:

@@ -57,7 +57,7 @@ ENTITY_ORDER = ("block", "transaction", "receipt", "log", "trace")
 
 
 def parse_failures(raw: DataFrame, entity: str) -> DataFrame:
-    """(cursor, entity, error_message) of payloads of the wrong shape or without a required key (an explicit null counts as missing)."""
+    """(cursor, entity, error_message) of payloads of the wrong shape or without a required key (one whose value is null is there)."""
     if entity in ("block", "transaction"):
         return failures_of(block_payloads(raw, whole=False), {"block": entity})
     if entity in ("receipt", "log"):

@@ -6,6 +6,8 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ledgerframe.storage import cut
+
 
 def delivery_summary(acks: DataFrame, by: list[str]) -> DataFrame:
     """Per batch: first event and ingest, last append, their differences (NULL where a side is), rows."""
@@ -32,17 +34,33 @@ def merge_delivery_summaries(summaries: DataFrame, by: list[str]) -> DataFrame:
 def exact_percentiles(df: DataFrame, value: str, shares: list[float], cells: int = 4096) -> list[float | None]:
     """The exact, linearly interpolated percentiles of a numeric column; None without values.
 
-    A search by range: the value range is cut into cells, whose counts tell the few that hold the places asked for, and those are cut
-    again until each holds one value, which takes a few passes. Only counts of cells come to the driver.
+    A search by range: the range of the finite values is cut into cells, whose counts tell the few that hold the places asked for,
+    and those are cut again until each holds one value, which takes a few passes over the column, written once. Only counts of cells
+    come to the driver. Infinities and NaN are counted apart and stand at the ends, NaN last; between two infinities of one sign is that
+    infinity, and a place between a finite value and an infinity is what the interpolation gives.
     """
-    rows = df.where(F.col(value).isNotNull()).select(F.col(value).cast("double").alias("v"))
-    lo, hi, n = rows.agg(F.min("v"), F.max("v"), F.count("*")).first()
+    v = F.col("v")
+    rows = cut(df.where(F.col(value).isNotNull()).select(F.col(value).cast("double").alias("v")))
+    finite = ~F.isnan(v) & (F.abs(v) < float("inf"))
+    lo, hi, n, below, above, nans = rows.agg(
+        F.min(F.when(finite, v)), F.max(F.when(finite, v)), F.count("*"), F.count_if(v == float("-inf")), F.count_if(v == float("inf")), F.count_if(F.isnan(v))
+    ).first()
     if not n:
         return [None] * len(shares)
     places = [(n - 1) * p for p in shares]
     found: dict[int, float] = {}
+    wanted = {}
+    for r in {r for at in places for r in (math.floor(at), math.ceil(at))}:
+        if r < below:
+            found[r] = -math.inf
+        elif r >= n - nans:
+            found[r] = math.nan
+        elif r >= n - nans - above:
+            found[r] = math.inf
+        else:
+            wanted[r] = r - below
     # Ranges still open, with the ranks looked for: {rank in all: rank within the range}.
-    ranges = {(lo, hi): {r: r for at in places for r in (math.floor(at), math.ceil(at))}}
+    ranges = {(lo, hi): wanted} if wanted else {}
     while ranges:
         for low, high in [x for x in ranges if x[0] == x[1]]:
             found |= dict.fromkeys(ranges.pop((low, high)), low)
@@ -51,9 +69,11 @@ def exact_percentiles(df: DataFrame, value: str, shares: list[float], cells: int
             break
         cell = F.lit(None).cast("int")
         for k, (low, high) in enumerate(own):
-            at = F.least(F.floor((F.col("v") - low) / (high - low) * cells), F.lit(cells - 1)).cast("int") + k * cells
-            cell = F.when(F.col("v").between(low, high), at).otherwise(cell)
-        counts = rows.withColumn("cell", cell).where("cell IS NOT NULL").groupBy("cell").agg(F.count("*").alias("c"), F.min("v").alias("low"), F.max("v").alias("high"))
+            # Halves keep the width of the widest range finite; the first and last value never share a cell, so each pass narrows.
+            share = (v / 2 - low / 2) / (high / 2 - low / 2) if math.isinf(high - low) else (v - low) / (high - low)
+            at = F.when(v == high, cells - 1).otherwise(F.least(F.floor(share * cells), F.lit(cells - 2))).cast("int") + k * cells
+            cell = F.when(v.between(low, high), at).otherwise(cell)
+        counts = rows.where(finite).withColumn("cell", cell).where("cell IS NOT NULL").groupBy("cell").agg(F.count("*").alias("c"), F.min("v").alias("low"), F.max("v").alias("high"))
         after: dict[tuple[float, float], dict[int, int]] = {}
         before, last = 0, -1
         for r in sorted(counts.collect(), key=lambda r: r["cell"]):
@@ -64,7 +84,12 @@ def exact_percentiles(df: DataFrame, value: str, shares: list[float], cells: int
                     after.setdefault((r["low"], r["high"]), {})[rank] = place - before
             before, last = before + r["c"], k
         ranges = after
-    return [found[math.floor(at)] + (found[math.ceil(at)] - found[math.floor(at)]) * (at - math.floor(at)) for at in places]
+
+    def between(at: float) -> float:
+        low, high = found[math.floor(at)], found[math.ceil(at)]
+        return low if low == high else low + (high - low) * (at - math.floor(at))
+
+    return [between(at) for at in places]
 
 
 def benchmark_summary(samples: DataFrame, value: Column, elapsed_s: float) -> DataFrame:

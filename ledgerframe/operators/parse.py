@@ -50,9 +50,17 @@ _LOGS = f"array<{_schema(_LOG, 'topics:array<string>,removed:boolean')}>"
 _WRONG = "wrong shape"
 
 
-def _missing(row: Column, keys: tuple[str, ...]) -> Column:
-    """The keys that a parsed object lacks or has as null, joined by commas."""
-    return F.array_join(F.filter(F.array(*[F.when(row[k].isNull(), F.lit(k)) for k in keys]), lambda k: k.isNotNull()), ",")
+def _has_null(row: Column, keys: tuple[str, ...]) -> Column:
+    """Whether any of the keys of a parsed object is NULL: missing, or null in the payload."""
+    out = F.lit(False)
+    for k in keys:
+        out = out | row[k].isNull()
+    return out
+
+
+def _missing(have: Column, keys: tuple[str, ...]) -> Column:
+    """The keys that are not among those an object has, joined by commas; a key whose value is null is there."""
+    return F.array_join(F.array_except(F.array(*map(F.lit, keys)), F.coalesce(have, F.array().cast("array<string>"))), ",")
 
 
 def _why(starts: str, parsed: Column, missing: Column) -> Column:
@@ -72,15 +80,26 @@ def block_payloads(raw: DataFrame, whole: bool) -> DataFrame:
     zero = {k: F.when(F.col(f"b.{k}").isNull(), "0x0").otherwise(F.try_variant_get(F.col(f"b.{k}"), "$", "string")) for k in _ZERO}
     plain = F.struct(*[zero.get(k, F.col(f"b.{k}")).alias(k) for k in _BLOCK], "b.withdrawals", "b.transactions")
     rows = rows.select("cursor", "result", F.when(F.col("b").isNotNull(), plain).alias("b"))
-    return rows.select("cursor", "b", _why("{", F.col("b"), _missing(F.col("b"), REQUIRED["block"])).alias("why_block"))
+    # The payload is read for its keys only where one of them came out NULL.
+    missing = F.when(_has_null(F.col("b"), REQUIRED["block"]), _missing(F.json_object_keys("result"), REQUIRED["block"])).otherwise("")
+    return rows.select("cursor", "b", _why("{", F.col("b"), missing).alias("why_block"))
 
 
 def receipt_payloads(raw: DataFrame) -> DataFrame:
     """(cursor, receipts, why_receipt, why_log): receipts payloads with their logs, parsed once."""
     rows = raw.select("cursor", "result", F.from_json("result", f"array<{_schema(_RECEIPT, f'logs:{_LOGS}')}>").alias("receipts"))
-    every = lambda lists, entity: F.array_join(F.array_distinct(F.filter(F.transform(lists, lambda x: _missing(x, REQUIRED[entity])), lambda m: m != "")), ";")
+    keyed = {"receipt": "array<map<string,string>>", "log": "array<struct<logs:array<map<string,string>>>>"}
     logs = F.flatten(F.transform("receipts", lambda r: F.coalesce(r["logs"], F.array().cast(_LOGS))))
-    why = {e: _why("[", F.col("receipts"), F.coalesce(every(x, e), F.lit(""))) for e, x in (("receipt", F.col("receipts")), ("log", logs))}
+
+    def missing(entity: str, parsed: Column) -> Column:
+        found = F.from_json("result", keyed[entity])
+        objects = found if entity == "receipt" else F.flatten(F.transform(found, lambda r: F.coalesce(r["logs"], F.array().cast("array<map<string,string>>"))))
+        each = F.transform(objects, lambda m: _missing(F.map_keys(m), REQUIRED[entity]))
+        told = F.array_join(F.array_distinct(F.filter(each, lambda m: m != "")), ";")
+        # The payload is read for its keys only where one of them came out NULL.
+        return F.when(F.exists(parsed, lambda x: _has_null(x, REQUIRED[entity])), F.coalesce(told, F.lit(""))).otherwise("")
+
+    why = {e: _why("[", F.col("receipts"), missing(e, x)) for e, x in (("receipt", F.col("receipts")), ("log", logs))}
     return rows.select("cursor", "receipts", *[c.alias(f"why_{e}") for e, c in why.items()])
 
 

@@ -169,6 +169,14 @@ def resume_plan(mode: str, start: int | str, resume: int | None) -> int | str:
     return "chainhead" if start in ("chainhead", "latest") else int(start)
 
 
+def resume_plans(mode: Column, start: Column, resume: Column) -> Column:
+    """resume_plan as text, for a table of pipelines with their saved cursors; start is text."""
+    after, number = resume + 1, start.try_cast("bigint")
+    saved = F.coalesce(after.cast("string"), F.lit("chainhead"))
+    realtime = F.when(start == "checkpoint", saved).when(start.isin("chainhead", "latest"), "chainhead").otherwise(number.cast("string"))
+    return F.when(mode == "backfill", F.greatest(number, after).cast("string")).otherwise(realtime)
+
+
 def final_status(mode: str) -> str:
     """The status of the closing watermark row."""
     return "eos" if mode == "backfill" else "running"

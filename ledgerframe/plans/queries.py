@@ -300,6 +300,71 @@ def d1_d3_build_dlq(spark, sf):
     return dlq.build_dlq(rows, NOW, "ethereum", "mainnet", "p").select("cursor", "id", "kafka_partition_key", "status", "first_seen_at", "payload")
 
 
+#: Ends of messages, and what they are in JSON in ASCII.
+_ENDS = {"caf\u00e9": "caf\\u00e9", "\U0001f600 x": "\\ud83d\\ude00 x", 'a"b\\c': 'a\\"b\\\\c', "tab\tnew\nline": "tab\\tnew\\nline", "bell\x07\x1f\x7f": "bell\\u0007\\u001f\x7f", "\u65e5\u672c \u20ac": "\\u65e5\\u672c \\u20ac", "plain": "plain"}
+
+
+@query("WITH x AS (SELECT event_id, event_type || ' ' || ([" + ", ".join("'" + e + "'" for e in _ENDS.values()) + f"""])[(event_id % {len(_ENDS)} + 1)::INT] AS told FROM events)
+  SELECT event_id AS cursor, substr(sha256('{{"chain":"ethereum","cursor":' || event_id || ',"entity":"log","error_message":"' || told || '","error_type":"ParseError","first_seen_at":{NOW},"network":"mainnet","pipeline":"p","stage":"processor"}}'), 1, 32) AS id FROM x""")
+def d3_ids_of_any_text(spark, sf):
+    """Ids of records whose messages have accents, signs beyond the first plane, quotes and controls."""
+    told = F.concat_ws(" ", "event_type", F.get(F.array(*map(F.lit, _ENDS)), (F.col("event_id") % len(_ENDS)).cast("int")))
+    rows = v.events(spark, sf).select(F.col("event_id").alias("cursor"), F.lit("log").alias("entity"), F.lit("processor").alias("stage"), F.lit("ParseError").alias("error_type"), told.alias("error_message"))
+    return dlq.build_dlq(rows, NOW, "ethereum", "mainnet", "p").select("cursor", "id")
+
+
+@query("""SELECT o_orderkey AS cursor, CASE WHEN o_orderkey % 4 = 1 THEN 'missing hash,parentHash' WHEN o_orderkey % 4 = 3 THEN 'wrong shape' END AS error_message FROM orders WHERE o_orderkey % 4 IN (1, 3)
+  UNION ALL SELECT o_orderkey, 'missing transactionIndex' FROM orders WHERE o_orderkey % 4 = 1""")
+def d9_missing_and_null(spark, sf):
+    """Block and receipt payloads with all keys, without some, with nulls in them, and of the wrong shape: only missing keys fail."""
+    o = v.table(spark, sf, "orders").select(F.col("o_orderkey").alias("cursor"), (F.col("o_orderkey") % 4).alias("k"))
+    keys = F.when(F.col("k") == 1, "").when(F.col("k") == 2, ',"hash":null,"parentHash":null').otherwise(',"hash":"0x1","parentHash":"0x2"')
+    block = F.when(F.col("k") == 3, "[]").otherwise(F.concat(F.lit('{"number":"0x1"'), keys, F.lit("}")))
+    index = F.when(F.col("k") == 1, "").when(F.col("k") == 2, ',"transactionIndex":null').otherwise(',"transactionIndex":"0x0"')
+    receipt = F.concat(F.lit('[{"blockNumber":"0x1","blockHash":null,"transactionHash":"0x3"'), index, F.lit("}]"))
+    failures = errors.parse_failures(o.select("cursor", block.alias("result")), "block").unionByName(errors.parse_failures(o.select("cursor", receipt.alias("result")), "receipt"))
+    return failures.select("cursor", "error_message")
+
+
+@query("""WITH v AS (SELECT event_id, CASE WHEN event_id % 97 = 0 THEN 'Infinity'::DOUBLE WHEN event_id % 89 = 0 THEN '-Infinity'::DOUBLE ELSE value END AS x, event_id % 50 AS messages FROM events), f AS (SELECT x, row_number() OVER (ORDER BY x) - 1 AS i, count(*) OVER () AS n FROM v),
+  q AS (SELECT p, max(CASE WHEN i = floor((n - 1) * p) THEN x END) AS a, max(CASE WHEN i = ceil((n - 1) * p) THEN x END) AS b, max((n - 1) * p - floor((n - 1) * p)) AS r FROM f, (VALUES (0.0::DOUBLE), (0.5::DOUBLE), (0.95::DOUBLE), (1.0::DOUBLE)) s(p) GROUP BY p)
+  SELECT p AS share, CASE WHEN a = b THEN a ELSE a + (b - a) * r END AS value FROM q""")
+def a3_percentiles_with_infinities(spark, sf):
+    x = F.when(F.col("event_id") % 97 == 0, float("inf")).when(F.col("event_id") % 89 == 0, float("-inf")).otherwise(F.col("value"))
+    shares = [0.0, 0.5, 0.95, 1.0]
+    found = metrics.exact_percentiles(v.events(spark, sf).select(x.alias("x")), "x", shares)
+    return spark.createDataFrame(list(zip(shares, found, strict=True)), "share double, value double")
+
+
+@query("""WITH l AS (SELECT row_number() OVER () AS r, * FROM lineitem) SELECT l_orderkey AS block_number, l_linenumber AS log_index, CASE WHEN l_linenumber % 3 = 0 THEN NULL ELSE l_partkey END AS transaction_index, l_returnflag AS address, 'h' || l_suppkey AS block_hash FROM l""")
+def p23_coalesce_names(spark, sf):
+    """Logs of either naming in one table: numbers as text or not, some of them no numbers."""
+    li = v.table(spark, sf, "lineitem")
+    even = F.col("l_suppkey") % 2 == 0
+    either = li.select(
+        F.when(even, F.col("l_orderkey")).alias("block_number"), F.when(~even, F.col("l_orderkey").cast("string")).alias("blockNumber"), F.col("l_linenumber").cast("string").alias("logIndex"),
+        F.when(F.col("l_linenumber") % 3 == 0, "no number").otherwise(F.col("l_partkey").cast("string")).alias("transactionIndex"), F.col("l_returnflag").alias("address"), F.concat(F.lit("h"), "l_suppkey").alias("blockHash"),
+    )
+    return parse.coalesce_names(either.withColumn("block_number", F.col("block_number").cast("string")).withColumn("blockNumber", F.col("blockNumber"))).select("block_number", F.col("log_index").cast("int").alias("log_index"), "transaction_index", "address", "block_hash")
+
+
+_ASKED = ("block", "transaction", "log", "token_transfer", "trace", "receipt")
+
+
+@query("""WITH o AS (SELECT o_orderkey, (['block', 'transaction', 'log', 'token_transfer', 'trace', 'receipt'])[(o_orderkey % 6 + 1)::INT] AS asked, o_orderkey % 3 AS m, CASE WHEN o_orderkey % 5 <> 0 THEN o_orderkey END AS saved FROM orders)
+  SELECT o_orderkey AS cursor, CASE asked WHEN 'block' THEN 'block' WHEN 'transaction' THEN 'block,transaction,receipt' WHEN 'trace' THEN 'block,trace' WHEN 'receipt' THEN 'block,receipt' ELSE 'block,receipt,log' END AS entities,
+  CASE m WHEN 0 THEN coalesce(greatest(100, saved + 1), 100)::VARCHAR WHEN 1 THEN coalesce((saved + 1)::VARCHAR, 'chainhead') ELSE '100' END AS first, CASE WHEN m = 0 THEN 'eos' ELSE 'running' END AS status FROM o""")
+def p22_k5_k6_plans(spark, sf):
+    """What is fetched, where a run starts and how it ends, for each order's request, mode and saved cursor."""
+    o = v.table(spark, sf, "orders").select(F.col("o_orderkey").alias("cursor"), (F.col("o_orderkey") % 6).alias("a"), (F.col("o_orderkey") % 3).alias("m"), F.when(F.col("o_orderkey") % 5 != 0, F.col("o_orderkey")).alias("saved"))
+    asked = spark.createDataFrame([(k, ",".join(entities.resolve_entities([e]))) for k, e in enumerate(_ASKED)], "a long, entities string")
+
+    mode, start = F.when(F.col("m") == 0, "backfill").otherwise("realtime"), F.when(F.col("m") == 1, "checkpoint").otherwise("100")
+    ends = spark.createDataFrame([(m, progress.final_status(progress.infer_mode(7 if m == 0 else None))) for m in range(3)], "m long, status string")
+    return o.join(asked, "a").join(ends, "m").select("cursor", "entities", progress.resume_plans(mode, start, F.col("saved")).alias("first"), "status")
+
+
+
 @query(f"""WITH e AS (SELECT event_id % 1000 AS cursor, CASE event_id % 3 WHEN 0 THEN 'receipt' WHEN 1 THEN 'trace' ELSE 'block' END AS entity FROM events WHERE event_type = 'error'),
   r AS (SELECT cursor, min(CASE entity WHEN 'block' THEN '1block' WHEN 'receipt' THEN '3receipt' ELSE '5trace' END) AS m FROM e GROUP BY cursor)
   SELECT cursor, substr(m, 2) AS entity, 'rpc' AS stage, 'RpcError' AS error_type FROM r UNION ALL SELECT DISTINCT 1000 + l_orderkey, 'log', 'processor', 'ParseError' FROM lineitem WHERE l_linenumber = 1""")
@@ -568,23 +633,23 @@ def o1_read_raw(spark, sf):
     return rows.groupBy("method").agg(F.count("*").alias("n"), F.min("cursor").alias("first"), F.max("cursor").alias("last"))
 
 
-_NATIONS = "SELECT n_nationkey::BIGINT AS k, n_name AS name FROM nation"
+_ORDERS = "SELECT o_orderkey::BIGINT AS k, o_orderpriority AS name FROM orders"
 
 
-@query(f"WITH n AS ({_NATIONS}) SELECT 'even' AS entity, k, name FROM n WHERE k % 2 = 0 UNION ALL SELECT 'odd', k, name FROM n WHERE k % 2 = 1")
+@query(f"WITH n AS ({_ORDERS}) SELECT 'even' AS entity, k, name FROM n WHERE k % 2 = 0 UNION ALL SELECT 'odd', k, name FROM n WHERE k % 2 = 1")
 def o8_write_fanout(spark, sf):
     """Two entities with rows, one without, one that isn't asked for; read back what was written."""
     path = _folder(spark)
-    n = v.table(spark, sf, "nation").select(F.col("n_nationkey").cast("bigint").alias("k"), F.col("n_name").alias("name"))
+    n = v.table(spark, sf, "orders").select(F.col("o_orderkey").cast("bigint").alias("k"), F.col("o_orderpriority").alias("name"))
     done = sinks.write_fanout({"even": n.where("k % 2 = 0"), "odd": n.where("k % 2 = 1"), "none": n.where("k < 0"), "receipt": n}, path, ["even", "odd", "none"])
     return reduce(DataFrame.union, [spark.read.parquet(f"{path}/{e}").select(F.lit(e).alias("entity"), "k", "name") for e in done])
 
 
-@query(f"WITH n AS ({_NATIONS}) SELECT 0::BIGINT AS batch_id, k, name FROM n UNION ALL SELECT 2, k, name FROM n WHERE k < 5")
+@query(f"WITH n AS ({_ORDERS}) SELECT 0::BIGINT AS batch_id, k, name FROM n UNION ALL SELECT 2, k, name FROM n WHERE k < 5")
 def o9_commit_batch(spark, sf):
     """Batch 0 twice, batch 1 without its commit, batch 2: readers see batches 0 and 2 once."""
     path = _folder(spark)
-    n = v.table(spark, sf, "nation").select(F.col("n_nationkey").cast("bigint").alias("k"), F.col("n_name").alias("name"))
+    n = v.table(spark, sf, "orders").select(F.col("o_orderkey").cast("bigint").alias("k"), F.col("o_orderpriority").alias("name"))
     for _ in range(2):
         sinks.commit_batch({"rows": n, "gaps": n.limit(0)}, path, 0)
     n.write.parquet(f"{path}/rows/batch_id=1")
@@ -592,11 +657,11 @@ def o9_commit_batch(spark, sf):
     return sinks.read_committed(spark, path, "rows", "k bigint, name string").select("batch_id", "k", "name")
 
 
-@query(f"WITH n AS ({_NATIONS}) SELECT k, name FROM n UNION ALL SELECT k, name FROM n WHERE k < 3")
+@query(f"WITH n AS ({_ORDERS}) SELECT k, name FROM n UNION ALL SELECT k, name FROM n WHERE k < 3")
 def o11_write_jsonl(spark, sf):
     """JSON lines, appended to."""
     path = _folder(spark)
-    n = v.table(spark, sf, "nation").select(F.col("n_nationkey").cast("bigint").alias("k"), F.col("n_name").alias("name"))
+    n = v.table(spark, sf, "orders").select(F.col("o_orderkey").cast("bigint").alias("k"), F.col("o_orderpriority").alias("name"))
     sinks.write_jsonl(n, path)
     sinks.write_jsonl(n.where("k < 3"), path)
     return spark.read.schema("k bigint, name string").json(path)

@@ -1,6 +1,8 @@
 """Golden cases and random round trips of the ledger operators."""
 
 import json
+import hashlib
+import math
 import random
 
 import pytest
@@ -217,6 +219,26 @@ def test_exact_percentiles(spark):
     assert metrics.exact_percentiles(df.limit(0), "v", shares) == [None] * 5
 
 
+@pytest.mark.parametrize("values", [[1.0, 2.0, math.inf], [-math.inf, 1.0], [math.inf] * 3, [-math.inf, math.inf], [-1.7e308, 0.0, 1.7e308, 5e-324], [0.0, 5e-324], [1.0, 2.0, math.nan, math.inf, math.nan]])
+def test_percentiles_of_extremes(spark, values):
+    """Infinities, NaN and the widest and narrowest ranges end, with the values that sorting gives."""
+    order = sorted(values, key=lambda x: (math.isnan(x), x if not math.isnan(x) else 0.0))
+    shares = [k / (len(order) - 1) for k in range(len(order))] if len(order) > 1 else [0.5]
+    got = metrics.exact_percentiles(spark.createDataFrame([(x,) for x in values], "v double"), "v", shares, cells=4)
+    assert [str(x) for x in got] == [str(order[round(p * (len(order) - 1))]) for p in shares]
+
+
+def test_ids_of_any_text(spark):
+    """json_text is the ASCII JSON of Python's json module, and ids are digests over it."""
+    texts = ["plain", "é", "😀𝄞", 'q"\\b', "".join(map(chr, range(1, 0x80))), "日本\u2028\uffff", "", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    assert [r[0] for r in df.orderBy("i").select(dlq.json_text(F.col("t"))).collect()] == [json.dumps(t) for t in texts]
+    row = {"chain": "c", "cursor": None, "entity": "log", "error_message": "naïve 😀", "error_type": "E", "first_seen_at": 5, "network": None, "pipeline": "p", "stage": "s"}
+    one = spark.createDataFrame([tuple(row.values())], "chain string, cursor long, entity string, error_message string, error_type string, first_seen_at long, network string, pipeline string, stage string")
+    want = hashlib.sha256(json.dumps(row, sort_keys=True, separators=(",", ":")).encode()).hexdigest()[:32]
+    assert one.select(dlq.dlq_id(one)).collect()[0][0] == want
+
+
 def test_trees_of_any_depth(spark):
     """Chains, bushes and wide trees give the rows that a plain walk gives, whatever pass opens them, and no Python runs for it."""
     chain = lambda n: {"type": "CALL", "value": hex(n), "input": {"k": [1, True]}} | ({"calls": [chain(n - 1)]} if n else {})
@@ -296,7 +318,7 @@ def test_parse_failures(spark):
     good = {"number": "0x1", "hash": "0xa", "parentHash": "0x0"}
     rows = [(1, json.dumps(good)), (2, json.dumps({"number": "0x1", "hash": None})), (3, "[]"), (4, None), (5, "nonsense")]
     out = {r["cursor"]: r["error_message"] for r in errors.parse_failures(spark.createDataFrame(rows, "cursor long, result string"), "block").collect()}
-    assert out == {2: "missing hash,parentHash", 3: "wrong shape", 4: "wrong shape", 5: "wrong shape"}
+    assert out == {2: "missing parentHash", 3: "wrong shape", 4: "wrong shape", 5: "wrong shape"}
 
 
 def test_plan_time_rules(spark):
