@@ -2,6 +2,7 @@
 
 import importlib.util
 import random
+import time
 
 import duckdb
 import pytest
@@ -13,7 +14,7 @@ from ledgerframe.operators import dlq
 from ledgerframe.operators.progress import contiguous_watermark
 from ledgerframe.plans import ingest, registry
 from ledgerframe.sources import raw as raws, views
-from ledgerframe.streaming import jobs, watermark
+from ledgerframe.streaming import jobs, retry, watermark
 
 SF = "/root/testdata/sf0.001"
 FEW = ("transfer_totals", "p1_p11_p13_hex", "w1_contiguous_watermark", "d4_d6_retry_states", "a4_percentile_floor")
@@ -315,3 +316,39 @@ def test_replay_resolves_only_what_worked(spark):
 @pytest.mark.parametrize("name", ["d8_d11_replay_job", "d7_d10_retry_job", "d10_retry_gaps", "k4_merge_state", "k1_k2_checkpoint_rows", "j1_j3_enriched_transactions", "w3_head_progress", "a3_benchmark_summary"])
 def test_state_machine_queries_match_oracles(spark, name):
     test_oracles(spark, name)
+
+
+def test_stream_retry(spark, tmp_path):
+    """Records run again when due and not before; one fails again and comes back with its next due time; states are those of the batch job."""
+    now = int(time.time() * 1000)
+    later = now + 25_000
+    fields = "id string, cursor long, entity string, stage string, status string, retry_count long, max_retry long, next_retry_at long, last_attempt_at long, ingest_timestamp long, error_type string, error_message string, context string"
+    one = lambda i, c, status="pending", n=0, due=None, most=3: (i, c, "trace", "rpc", status, n, most, due, now - 1000, now - 1000, "E", "old", "{}")
+    rows = [one("ok", 1), one("bad", 2, due=now - 5), one("late", 3, due=later), one("far", 4, due=now + 10**8), one("spent", 5, "retrying", 3), one("done", 6, "resolved"), one("last", 7, "retrying", 2, now - 5)]
+    log = spark.createDataFrame(rows, fields)
+    log.coalesce(1).write.parquet(f"{tmp_path}/log/first")
+    raw = spark.createDataFrame([(c, TRACE, CALL % c, None) for c in (1, 3, 4, 5, 6)] + [(2, TRACE, None, '{"code":1,"message":"boom"}')], "cursor long, method string, result string, error string")
+    run = lambda x: ingest.ingest(x, ["trace"])
+    source = spark.readStream.schema(fields).parquet(f"{tmp_path}/log/*")
+    q = retry.stream_retry(source, lambda cursors: raw.join(cursors, "cursor", "left_semi"), run, [TRACE], f"{tmp_path}/out", f"{tmp_path}/log", f"{tmp_path}/ck", base_ms=3_600_000)
+    told = lambda: {r["id"]: r for r in dlq.latest_by_key(spark.read.schema(fields).parquet(f"{tmp_path}/log/*"), ["id"], ["last_attempt_at"]).collect()}
+    try:
+        end = time.time() + 240
+        while time.time() < end and q.exception() is None:
+            states = told()
+            if states["ok"]["status"] == "resolved" and int(time.time() * 1000) < later:
+                assert states["late"]["status"] == "pending"
+            if states["late"]["status"] == "resolved":
+                break
+            time.sleep(1)
+        assert q.exception() is None
+    finally:
+        q.stop()
+    states = told()
+    assert {i: r["status"] for i, r in states.items()} == {"ok": "resolved", "bad": "retrying", "late": "resolved", "far": "pending", "spent": "retrying", "done": "resolved", "last": "failed"}
+    assert states["late"]["last_attempt_at"] >= later and states["ok"]["last_attempt_at"] < states["late"]["last_attempt_at"]
+    for i in ("ok", "bad", "last"):
+        _, want, _ = dlq.retry_job(log.where(F.col("id") == i), raw, run, [TRACE], 3_600_000, states[i]["last_attempt_at"], "last_attempt_at")
+        assert want.select(*log.columns).collect() == [states[i]]
+    traces = sinks.read_committed(spark, f"{tmp_path}/out", "trace", "id string, cursor bigint").collect()
+    assert sorted(r["cursor"] for r in traces) == [1, 3]
