@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ledgerframe.storage import cut, shared_dir
+
+__all__ = ["cut", "shared_dir"]
+
 #: The ASCII letters that the contracts lower-case.
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
@@ -19,17 +20,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir; where that is unset, a new local one, in local mode only."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if found is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        found = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
 def fresh(df: DataFrame, name: str) -> str:
     """A column name like name that df doesn't have."""
     taken = {c.lower() for c in df.columns}
@@ -38,14 +28,6 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write df once to the shared folder and read it back: what follows neither recomputes it nor depends on executors."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/cut-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def ascii_lower(text: Column) -> Column:
     """A-Z to a-z and nothing else; texts without other letters take the quick built-in."""
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))

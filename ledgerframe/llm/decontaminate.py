@@ -9,15 +9,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerframe.llm.common import ascii_lower, fresh, table
+from ledgerframe.llm.common import ascii_lower, cut, fresh, table
 
 #: Fixed value: what stands between the contract's words.
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: The same in a text that is not lower-cased yet.
 _BETWEEN = r"\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F"
 WINDOW = 13
-#: Bytes, at most, that the hashes of windows may take where they are broadcast, at about 50 for each; more of them are joined
-#: as Spark sees fit, by the same plan without the hint.
+#: Bytes, at most, that the hashes of windows may take where they are broadcast, at about 50 for each; more of them meet the
+#: documents' hashes by a shuffle of (row number, place, hash), and words are fetched for hits alone.
 BROADCAST_BYTES, HASH_BYTES = 256 << 20, 50
 _SPANS = "array<struct<start:int,end:int>>"
 
@@ -42,27 +42,37 @@ def item_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "tex
 
 
 def occurrences(rows: DataFrame, windows: DataFrame) -> DataFrame:
-    """rows(ws, ...) without ws, with a row for each window found (start, len, item), and one with nulls for each row of rows.
+    """rows(rid, ws, ...) without ws, with a row for each window found (start, len, item), and one with nulls for each row of rows without any.
 
-    One pass: each row's array of hashes begins with a mark that is in the set too, so that rows without a hit stay.
+    Where the set of hashes is broadcast it is one pass: each row's array of hashes begins with a mark that is in the set too, so
+    that rows without a hit stay. Where the set is too large for that, rows are written once under their numbers, hashes
+    alone go to the join, and hits come back to the rows by number.
     """
     keep = [c for c in rows.columns if c != "ws"]
     lengths = [r[0] for r in windows.select("len").distinct().orderBy("len").collect()]
+    keys = windows.select("hash").distinct()
+    small = keys.count() * HASH_BYTES <= BROADCAST_BYTES
     mark = F.lit(0).cast("bigint")
-    keys = windows.select("hash").union(windows.sparkSession.range(1).select(mark)).distinct()
-    if keys.count() * HASH_BYTES <= BROADCAST_BYTES:
-        keys = F.broadcast(keys)
+    if small:
+        keys = F.broadcast(keys.union(windows.sparkSession.range(1).select(mark)).distinct())
+    else:
+        rows = cut(rows)
+    own = [*keep, "ws"] if small else ["rid"]
     hashed = rows.withColumn("hashes", F.transform("ws", lambda x: F.xxhash64(x)))
-    hashed = hashed.select(*keep, "ws", F.concat(F.array(mark), *[window_hashes(F.col("hashes"), k) for k in lengths]).alias("hashes"))
+    hashes = F.concat(F.array(mark) if small else F.array().cast("array<bigint>"), *[window_hashes(F.col("hashes"), k) for k in lengths])
+    hashed = hashed.select(*own, F.size("ws").alias("of"), hashes.alias("hashes"))
     # posexplode_outer: for posexplode, a filter on the array's size would be pushed below, with all that makes the array inlined.
-    hits = hashed.select(*keep, "ws", F.posexplode_outer("hashes").alias("p", "hash")).join(keys, "hash", "left_semi")
+    hits = hashed.select(*own, "of", F.posexplode_outer("hashes").alias("p", "hash")).join(keys, "hash", "left_semi")
     # The position among a row's hashes, after the mark, tells a window's length and place.
-    start, length, before = F.lit(None).cast("int"), F.lit(None).cast("int"), F.lit(1)
+    start, length, before = F.lit(None).cast("int"), F.lit(None).cast("int"), F.lit(1 if small else 0)
     for k in lengths:
-        after = before + F.greatest(F.size("ws") - (k - 1), F.lit(0))
+        after = before + F.greatest(F.col("of") - (k - 1), F.lit(0))
         inside = (F.col("p") >= before) & (F.col("p") < after)
         start, length, before = F.when(inside, F.col("p") - before).otherwise(start), F.when(inside, F.lit(k)).otherwise(length), after
-    hits = hits.select(*keep, "hash", "ws", start.alias("start"), length.alias("len")).withColumn("ws", F.slice("ws", F.col("start") + 1, F.col("len")))
+    hits = hits.select(*own, "hash", start.alias("start"), length.alias("len"))
+    if not small:
+        hits = rows.join(hits, "rid", "left").select(*keep, "ws", "hash", "start", "len")
+    hits = hits.withColumn("ws", F.slice("ws", F.col("start") + 1, F.col("len")))
     found = hits.join(windows, ["hash", "len", "ws"], "left")
     real = F.col("item").isNotNull()
     return found.select(*keep, F.when(real, F.col("start")).alias("start"), F.when(real, F.col("len")).alias("len"), "item")

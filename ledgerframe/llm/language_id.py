@@ -102,7 +102,9 @@ def has_letters(text: Column) -> Column:
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_lang: int = PER_LANG, max_rows: int = MAX_ROWS) -> Model | None:
     """A model from docs' texts and non-null languages; None if there is no such row with letters.
 
-    Document frequencies count every row; about per_lang rows of each language, max_rows at most in all, are fitted on.
+    Document frequencies count every row; about per_lang rows of each language, max_rows at most in all, are fitted on, in an order
+    that follows from ids, languages and texts alone, so weights don't change from run to run. Repeated rows count each time, null
+    ids are one id like any other, very long texts are read whole.
     """
     text = F.col(text_col).cast("string")
     rows = docs.where(F.col(lang_col).isNotNull() & has_letters(text)).select(F.col(lang_col).cast("string").alias("lang"), text.alias("text"), (F.pmod(F.xxhash64(F.col(id_col), F.lit(6)), F.lit(1 << 40)) / float(1 << 40)).alias("u"))
@@ -134,7 +136,7 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
             yield pd.DataFrame({"at": [a.astype(np.uint16).tobytes() for a, _ in made], "counts": [c.astype(np.float32).tobytes() for _, c in made]})
 
     share = F.create_map(*[x for k, n in per.items() for x in (F.lit(k), F.lit(per_lang / n))])
-    some = rows.where(F.col("u") < F.element_at(share, F.col("lang"))).orderBy("u", "lang").limit(max_rows)
+    some = rows.where(F.col("u") < F.element_at(share, F.col("lang"))).orderBy("u", "lang", F.sha2("text", 256)).limit(max_rows)
     sample = []
     for r in some.select("lang", packed("text").alias("f")).collect():
         at = np.frombuffer(r["f"]["at"], np.uint16).astype(np.intp)

@@ -422,3 +422,65 @@ def test_mixing_targets_by_reshare(spark):
             open_.pop(s)
         left = 1.5 * sum(n for _, n in sizes) - sum(want.values())
     assert got == pytest.approx(want)
+
+
+def test_language_model_matches_plain_arithmetic(spark):
+    """Document frequencies, TF-IDF, FTRL and the calibrated probabilities against loops over dictionaries, number by number."""
+    import random
+
+    import numpy as np
+
+    rng = random.Random(2)
+    letters = {"aa": "abcde", "bb": "defgh", "cc": "ghijk"}
+    rows = [(i, "".join(rng.choice(letters[lang]) for _ in range(rng.randrange(3, 30))), lang) for i, lang in enumerate(["aa", "bb", "cc"] * 12)]
+    model = language_id.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3))
+    counts = {i: dict(zip(*(x.tolist() for x in language_id.ngram_counts(text)))) for i, text, _ in rows}
+    seen = Counter(b for c in counts.values() for b in c)
+    idf = {b: math.log((1 + len(rows)) / (1 + n)) + 1 for b, n in seen.items()}
+    assert all(model.idf[b] == pytest.approx(x, abs=1e-12) for b, x in idf.items()) and model.idf[next(b for b in range(language_id.DIM) if b not in seen)] == pytest.approx(math.log(1 + len(rows)) + 1)
+
+    def values(i):
+        raw = {b: (1 + math.log(n)) * idf[b] for b, n in counts[i].items()}
+        norm = math.sqrt(sum(x * x for x in raw.values()))
+        return {b: x / norm for b, x in raw.items()}
+
+    sample = [(np.array(sorted(counts[i])), np.array([values(i)[b] for b in sorted(counts[i])]), sorted(letters).index(lang)) for i, _, lang in rows]
+    got = language_id.fit_ftrl(sample, 3)
+    z, n, w = {}, {}, {}
+
+    def weight(key):
+        if abs(z.get(key, 0.0)) <= language_id.L1:
+            return 0.0
+        sign = math.copysign(1.0, z[key])
+        return -(z[key] - sign * language_id.L1) / ((language_id.BETA + math.sqrt(n.get(key, 0.0))) / language_id.ALPHA + language_id.L2)
+
+    for _ in range(language_id.EPOCHS):
+        for at, x, y in sample:
+            w = {(b, k): weight((b, k)) for b in at.tolist() for k in range(3)}
+            scores = [sum(v * w[b, k] for b, v in zip(at.tolist(), x.tolist())) for k in range(3)]
+            exps = [math.exp(s - max(scores)) for s in scores]
+            for k in range(3):
+                wrong = exps[k] / sum(exps) - (k == y)
+                for b, v in zip(at.tolist(), x.tolist()):
+                    g, old = wrong * v, n.get((b, k), 0.0)
+                    z[b, k] = z.get((b, k), 0.0) + g - (math.sqrt(old + g * g) - math.sqrt(old)) / language_id.ALPHA * w[b, k]
+                    n[b, k] = old + g * g
+    assert {(b, k): weight((b, k)) for b, k in z} == {(b, k): pytest.approx(got[b, k], abs=1e-9) for b, k in z}
+    assert np.count_nonzero(got) == sum(weight(key) != 0 for key in z)
+    own = values(0)
+    s = [sum(x * model.weights[b, k] for b, x in own.items()) / model.temperature for k in range(3)]
+    p = [math.exp(x - max(s)) for x in s]
+    assert model.probabilities(rows[0][1]) == pytest.approx([x / sum(p) for x in p])
+    again = language_id.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5, "lang"))
+    assert np.array_equal(again.weights, model.weights) and again.temperature == model.temperature
+
+
+def test_large_benchmarks_move_no_words(spark, sf, monkeypatch):
+    """Beyond the broadcast's bound no exchange before the hits carries texts or words."""
+    monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", 0)
+    out = decontaminate.decontaminate(decontaminate.table(spark, sf, "documents"), decontaminate.table(spark, sf, "benchmark"))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    generated = next(line for line in plan.splitlines() if "Generate posexplode" in line)
+    assert "ws#" not in generated.split("true,")[-1] and "doc#" not in generated.split("true,")[-1]
+    below = plan[plan.index("Generate posexplode"):].splitlines()[1]
+    assert "ws#" not in below.split("AS hashes")[-1]

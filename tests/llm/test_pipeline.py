@@ -3,6 +3,7 @@
 from collections import Counter
 
 import pyarrow.parquet as pq
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from ledgerframe.llm.common import cut, table
@@ -70,3 +71,20 @@ def test_near_duplicates_keep_one_of_each_group(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, hash int")
     kept = sorted((r["doc_id"] or 0, r["text"] or "") for r in corpus_pipeline.near_duplicates(spark, docs, "").collect())
     assert kept == [(0, "a row without an id"), (3, "another text of its own under the same id"), (3, words), (8, "  ")]
+
+
+def test_stages_carry_columns_of_any_type(spark):
+    """MAP, ARRAY and STRUCT columns, some under names the stages use, nulls and equal rows pass through all stages, and each row stays itself."""
+    sf = "/root/testdata/sf0.001"
+    docs = table(spark, sf, "documents").limit(80)
+    docs = docs.union(docs.limit(3)).union(docs.limit(1).select(F.lit(None).cast("bigint"), F.lit(None), F.lit(None), F.lit(None), F.lit(None).cast("bigint")))
+    docs = docs.withColumns({"rid": F.create_map(F.lit("k"), F.col("doc_id")), "own": F.array("doc_id", "n_chars"), "row": F.struct("doc_id", F.create_map(F.lit(1), F.col("n_chars")).alias("m")), "copies": F.lit(7), "hash": F.lit("h")})
+    columns = docs.columns
+    for name, stage in corpus_pipeline.STAGES:
+        docs = cut(stage(spark, docs, sf))
+        rows = docs.collect()
+        assert rows and all(r["rid"] == {"k": r["doc_id"]} and r["own"][0] == r["doc_id"] and r["row"]["m"] == {1: r["n_chars"]} and r["copies"] == 7 for r in rows)
+        if name != "sharding":
+            assert docs.columns == columns
+        empty = stage(spark, docs.limit(0), sf)
+        assert empty.collect() == []
