@@ -25,7 +25,8 @@ def _whole(docs: DataFrame) -> tuple[DataFrame, str]:
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents whose language is recognised; those without letters and those of doubtful language go.
 
-    A null or empty text has no letters; repeated rows are told alike; a missing id or lang is ordinary; an empty table stays empty.
+    A null or empty text has no letters; very long texts are read whole; repeated rows are told alike; a missing id or lang is
+    ordinary; an empty table stays empty.
     """
     whole, row = _whole(docs)
     told = language_id.predict(whole, language_id.learn(docs), keep=(row,))
@@ -48,7 +49,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops contaminated documents; null, blank and repeated rows are judged as decontaminate says, an empty table stays empty."""
+    """Drops contaminated documents; null, blank, very long and repeated rows are judged as decontaminate says, an empty table stays empty."""
     whole, row = _whole(docs)
     judged = decontaminate.decontaminate(whole, table(spark, sf_dir, "benchmark"), keep=(row,))
     return judged.where(~F.col("contaminated")).select(f"{row}.*")
@@ -57,15 +58,15 @@ def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it, to the nearest whole copy; those that it doesn't take go.
 
-    Documents without words are never taken; rows that are equal in every column share their copies; a null id or source is
-    ordinary; an empty table stays empty.
+    Rows are told apart by a number of their own, so columns of any type and equal rows are ordinary; documents without words are
+    never taken; very long texts are counted whole; a null id or source is ordinary; an empty table stays empty.
     """
-    hashed, own, copies_of, turn = (fresh(docs, x) for x in ("hash", "own", "copies", "turn"))
-    keyed = docs.withColumn(hashed, F.xxhash64(*docs.columns))
-    mixed = mixing.mix_sources(keyed, mixing.quality_weights(table(spark, sf_dir, "labels")), keep=(hashed,))
+    rid, own, copies_of, turn = (fresh(docs, x) for x in ("rid", "own", "copies", "turn"))
+    numbered = cut(docs.withColumn(rid, F.monotonically_increasing_id()))
+    mixed = mixing.mix_sources(numbered, mixing.quality_weights(table(spark, sf_dir, "labels")), keep=(rid,))
     copies = F.when(F.col("size") > 0, F.round(F.col("taken") / F.col("size"))).otherwise(0).cast("int")
-    wanted = mixed.groupBy(F.col(hashed).alias(own)).agg(F.sum(copies).cast("int").alias(copies_of)).where(F.col(copies_of) > 0)
-    both = keyed.dropDuplicates([hashed]).join(wanted, F.col(hashed) == F.col(own))
+    wanted = mixed.select(F.col(rid).alias(own), copies.alias(copies_of)).where(F.col(copies_of) > 0)
+    both = numbered.join(wanted, F.col(rid) == F.col(own))
     return both.withColumn(turn, F.explode(F.sequence(F.lit(1), F.col(copies_of)))).select(*docs.columns)
 
 
