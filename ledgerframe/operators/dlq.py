@@ -15,7 +15,7 @@ _ID_FIELDS = ("chain", "cursor", "entity", "error_message", "error_type", "first
 #: Characters that a JSON text escapes by a letter.
 _LETTERS = {'"': '\\"', "\\": "\\\\", "\n": "\\n", "\r": "\\r", "\t": "\\t", "\f": "\\f", "\b": "\\b"}
 #: A text of printable ASCII without quotes and backslashes, which stands as it is.
-_PLAIN = r"^[\x20\x21\x23-\x5B\x5D-\x7F]*$"
+_PLAIN = r"^[\x20\x21\x23-\x5B\x5D-\x7E]*$"
 
 
 def json_text(text: Column) -> Column:
@@ -30,7 +30,7 @@ def json_text(text: Column) -> Column:
         known = F.lit(None).cast("string")
         for k, v in _LETTERS.items():
             known = F.when(ch == k, v).otherwise(known)
-        return F.coalesce(known, F.when((code >= 32) & (code < 128), ch).when(code > 0xFFFF, pair).otherwise(unit(code)))
+        return F.coalesce(known, F.when((code >= 32) & (code < 127), ch).when(code > 0xFFFF, pair).otherwise(unit(code)))
 
     inside = F.when(text.rlike(_PLAIN), text).otherwise(F.array_join(F.transform(F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0)), one), ""))
     return F.coalesce(F.concat(F.lit('"'), inside, F.lit('"')), F.lit("null"))

@@ -301,7 +301,7 @@ def d1_d3_build_dlq(spark, sf):
 
 
 #: Ends of messages, and what they are in JSON in ASCII.
-_ENDS = {"caf\u00e9": "caf\\u00e9", "\U0001f600 x": "\\ud83d\\ude00 x", 'a"b\\c': 'a\\"b\\\\c', "tab\tnew\nline": "tab\\tnew\\nline", "bell\x07\x1f\x7f": "bell\\u0007\\u001f\x7f", "\u65e5\u672c \u20ac": "\\u65e5\\u672c \\u20ac", "plain": "plain"}
+_ENDS = {"caf\u00e9": "caf\\u00e9", "\U0001f600 x": "\\ud83d\\ude00 x", 'a"b\\c': 'a\\"b\\\\c', "tab\tnew\nline": "tab\\tnew\\nline", "bell\x07\x1f\x7f": "bell\\u0007\\u001f\\u007f", "\u65e5\u672c \u20ac": "\\u65e5\\u672c \\u20ac", "plain": "plain"}
 
 
 @query("WITH x AS (SELECT event_id, event_type || ' ' || ([" + ", ".join("'" + e + "'" for e in _ENDS.values()) + f"""])[(event_id % {len(_ENDS)} + 1)::INT] AS told FROM events)
