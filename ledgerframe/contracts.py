@@ -212,3 +212,9 @@ def from_proto3(df: DataFrame, nulls: tuple[str, ...] = ("error", "next_retry_at
     out = df.withColumns({c: F.nullif(F.col(c), F.lit("" if types[c] == "string" else 0)) for c in nulls if c in types})
     wrap = lambda c: F.when((F.col(c) == "") | F.col(c).isNull(), "{}").when(F.try_parse_json(c).isNotNull(), F.col(c)).otherwise(F.to_json(F.struct(F.col(c).alias("raw"))))
     return out.withColumns({c: wrap(c) for c in json if c in types})
+
+
+#: The receipt fields that a transaction gains, each as receipt_{name}.
+RECEIPT_FIELDS = (
+    "cumulative_gas_used", "gas_used", "contract_address", "status", "effective_gas_price", "transaction_type", "l1_fee", "l1_gas_used", "l1_gas_price", "l1_fee_scalar", "blob_gas_price", "blob_gas_used",
+)

@@ -4,10 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-#: The receipt fields that a transaction gains, each as receipt_{name}.
-RECEIPT_FIELDS = (
-    "cumulative_gas_used", "gas_used", "contract_address", "status", "effective_gas_price", "transaction_type", "l1_fee", "l1_gas_used", "l1_gas_price", "l1_fee_scalar", "blob_gas_price", "blob_gas_used",
-)
+from ledgerframe.contracts import RECEIPT_FIELDS
 
 
 def enrich_transactions(transactions: DataFrame, receipts: DataFrame) -> DataFrame:
@@ -27,8 +24,12 @@ def enrich_transactions(transactions: DataFrame, receipts: DataFrame) -> DataFra
 
 
 def inject_block_context(rows: DataFrame, blocks: DataFrame) -> DataFrame:
-    """rows whose block_hash and block_timestamp come from the block of their block_number; rows without such a block keep theirs."""
-    own = blocks.where("number IS NOT NULL").select(F.col("number").alias("__n"), F.col("hash").alias("__h"), F.col("timestamp").alias("__t")).dropDuplicates(["__n"])
+    """rows whose block_hash and block_timestamp come from the block of their block_number; rows without such a block keep theirs.
+
+    Of several blocks of one number that of the smallest hash counts, a null hash first.
+    """
+    first = F.min(F.struct("hash", "timestamp"))
+    own = blocks.where("number IS NOT NULL").groupBy(F.col("number").alias("__n")).agg(first.alias("__b")).select("__n", F.col("__b.hash").alias("__h"), F.col("__b.timestamp").alias("__t"))
     joined = rows.join(own, rows["block_number"] == own["__n"], "left")
     keep = lambda c, kind: F.col(c) if c in rows.columns else F.lit(None).cast(kind)
     found = F.col("__n").isNotNull()

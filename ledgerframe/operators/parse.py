@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ledgerframe.contracts import RECEIPT_FIELDS
 from ledgerframe.functions.hexabi import hex_to_decimal_string as dec, hex_to_long as num
 
 #: The public JSON-RPC field names, with what they become (l bigint, d decimal text, s as it is).
@@ -111,25 +112,47 @@ def block_rows(payloads: DataFrame) -> DataFrame:
     )
 
 
-def transaction_rows(payloads: DataFrame) -> DataFrame:
-    """Transaction rows of block_payloads, whole."""
-    rows = payloads.select("cursor", "b.number", "b.timestamp", F.col("b.hash").alias("block_hash"), F.posexplode("b.transactions").alias("i", "t"))
+def transaction_rows(payloads: DataFrame, paired: bool = False) -> DataFrame:
+    """Transaction rows of block_payloads, whole; where each is paired with its receipt (see paired_blocks), with receipt_* columns too."""
+    rows = payloads.select("cursor", "b.number", "b.timestamp", F.col("b.hash").alias("block_hash"), F.posexplode("b.transactions").alias("i", "x"))
+    t = "x.t" if paired else "x"
     return rows.select(
-        "cursor", F.lit("transaction").alias("type"), *_columns("t", _TRANSACTION), "block_hash", F.col("i").cast("long").alias("transaction_index"), num(F.col("number")).alias("block_number"),
-        num(F.col("timestamp")).alias("block_timestamp"), F.coalesce("t.blobVersionedHashes", F.array().cast("array<string>")).alias("blob_versioned_hashes"),
+        "cursor", F.lit("transaction").alias("type"), *_columns(t, _TRANSACTION), "block_hash", F.col("i").cast("long").alias("transaction_index"), num(F.col("number")).alias("block_number"),
+        num(F.col("timestamp")).alias("block_timestamp"), F.coalesce(f"{t}.blobVersionedHashes", F.array().cast("array<string>")).alias("blob_versioned_hashes"), *(_columns("x.r", _PAIRED) if paired else ()),
     )
 
 
+#: Receipt fields that a transaction gains.
+_PAIRED = {k: f"receipt_{v}" for k, v in _RECEIPT.items() if v.partition(":")[0] in RECEIPT_FIELDS}
+
+
+def paired_blocks(blocks: str, receipts: str) -> Column:
+    """The array of parsed blocks with each transaction as (t, r): itself and the last receipt of its hash among a cursor's receipts, or NULL."""
+    one = lambda r, i: F.struct(r["transactionHash"].alias("k"), i.alias("i"), F.struct(*[r[k].alias(k) for k in _PAIRED]).alias("v"))
+    entries = F.array_sort(F.filter(F.transform(receipts, one), lambda e: e["k"].isNotNull()))
+    last = lambda s: F.filter(s, lambda e, i: F.coalesce(F.get(s, i + 1)["k"] != e["k"], F.lit(True)))
+    by_hash = lambda s: F.map_from_entries(F.transform(last(s), lambda e: F.struct(e["k"].alias("k"), e["v"].alias("v"))))
+    pairs = lambda b, m: b.withField("transactions", F.transform(b["transactions"], lambda t: F.struct(t.alias("t"), F.try_element_at(m, t["hash"]).alias("r"))))
+    # One element of an array binds what is computed once for a cursor.
+    return F.flatten(F.transform(F.transform(F.array(entries), by_hash), lambda m: F.transform(blocks, lambda b: pairs(b, m))))
+
+
+def block_contexts(blocks: str) -> Column:
+    """(n, h, t) of parsed blocks that have a number: number, hash and timestamp; of blocks of one number that of the smallest hash comes first."""
+    some = F.filter(blocks, lambda b: b["number"].isNotNull())
+    return F.array_sort(F.transform(some, lambda b: F.struct(num(b["number"]).alias("n"), b["hash"].alias("h"), num(b["timestamp"]).alias("t"))))
+
+
 def receipt_rows(payloads: DataFrame) -> DataFrame:
     """Receipt rows of receipt_payloads; arrival is the place in the payload."""
     rows = payloads.select("cursor", F.posexplode("receipts").alias("i", "r"))
     return rows.select("cursor", F.lit("receipt").alias("type"), *_columns("r", _RECEIPT), F.col("i").cast("long").alias("arrival"))
 
 
-def log_rows(payloads: DataFrame) -> DataFrame:
-    """Log rows of receipt_payloads."""
-    rows = payloads.select("cursor", F.explode("receipts.logs").alias("ls")).select("cursor", F.explode("ls").alias("l"))
-    return rows.select("cursor", F.lit("log").alias("type"), *_columns("l", _LOG), F.col("l.topics").alias("topics"), F.coalesce("l.removed", F.lit(False)).alias("removed"))
+def log_rows(payloads: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Log rows of receipt_payloads, with columns of the payloads that are to be kept."""
+    rows = payloads.select("cursor", *keep, F.explode("receipts.logs").alias("ls")).select("cursor", *keep, F.explode("ls").alias("l"))
+    return rows.select("cursor", *keep, F.lit("log").alias("type"), *_columns("l", _LOG), F.col("l.topics").alias("topics"), F.coalesce("l.removed", F.lit(False)).alias("removed"))
 
 
 def parse_blocks(raw: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from ledgerframe.operators.decode import decode_token_transfers
 from ledgerframe.operators.enrich import drop_failed_cursors, enrich_transactions, inject_block_context
 from ledgerframe.operators.errors import capture_failures, failures_of, parse_failures
 from ledgerframe.operators.identity import event_id, event_time
-from ledgerframe.operators.parse import REQUIRED, block_payloads, block_rows, is_own_parser, log_rows, parser_of, receipt_payloads, receipt_rows, transaction_rows
+from ledgerframe.operators.parse import REQUIRED, block_contexts, block_payloads, block_rows, is_own_parser, log_rows, paired_blocks, parser_of, receipt_payloads, receipt_rows, transaction_rows
 from ledgerframe.plans.entities import resolve_entities, sink_entities
 from ledgerframe.storage import cut
 
@@ -52,21 +52,102 @@ def parsed_once(good: DataFrame, needed: list[str], check: bool, made: list[str]
     return rows, reduce(DataFrame.unionByName, bad) if check and bad else None
 
 
+def by_cursor(raw: DataFrame, needed: list[str], check: bool, made: list[str] | None = None) -> DataFrame:
+    """(cursor, blocks, contexts, receipts, why, failed): one row a cursor, all payloads of it parsed, written once.
+
+    Transactions are paired with their receipts, and contexts has the blocks' numbers, hashes and timestamps, so what a cursor's
+    rows need of each other is in the row: whatever follows needs no exchange. why lists (entity, error_message) of parse failures;
+    failed tells whether the cursor has any failure. The exchange by cursor carries each payload once.
+    """
+    good = raw.where("error IS NULL") if "error" in raw.columns else raw
+    own = lambda e: good.where(F.col("method") == METHOD[e])
+    whole = "transaction" in needed
+    parts = []
+    if "block" in needed:
+        parts.append((block_payloads(own("block"), whole), ("block", "transaction") if whole else ("block",)))
+    if "receipt" in needed:
+        parts.append((receipt_payloads(own("receipt")), tuple(e for e in ("receipt", "log") if e in needed)))
+    none = F.array().cast("array<struct<entity:string,error_message:string>>")
+
+    def told(rows: DataFrame, entities: tuple[str, ...]) -> DataFrame:
+        reasons = F.array(*[F.struct(F.lit(e).alias("entity"), F.col(f"why_{e}").alias("error_message")) for e in entities if e in REQUIRED])
+        why = F.filter(reasons, lambda r: r["error_message"].isNotNull()) if check else none
+        return rows.select("cursor", *[c for c in ("b", "receipts") if c in rows.columns], why.alias("why"), F.lit(False).alias("rpc"))
+
+    rows = [told(*p) for p in parts]
+    if "trace" in needed and check:
+        rows.append(parse_failures(own("trace"), "trace").select("cursor", F.array(F.struct("entity", "error_message")).alias("why"), F.lit(False).alias("rpc")))
+    if "error" in raw.columns:
+        rows.append(raw.where("error IS NOT NULL").select("cursor", none.alias("why"), F.lit(True).alias("rpc")))
+    both = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), rows)
+    lists = [F.collect_list("b").alias("blocks")] * ("b" in both.columns) + [F.flatten(F.collect_list("receipts")).alias("receipts")] * ("receipts" in both.columns)
+    grouped = both.groupBy("cursor").agg(*lists, F.flatten(F.collect_list("why")).alias("why"), F.bool_or("rpc").alias("rpc"))
+    columns = []
+    if "blocks" in grouped.columns:
+        columns = [(paired_blocks("blocks", "receipts") if whole else F.col("blocks")).alias("blocks"), block_contexts("blocks").alias("contexts")]
+    if "receipts" in grouped.columns:
+        columns.append(F.col("receipts"))
+    return cut(grouped.select("cursor", *columns, "why", (F.col("rpc") | (F.size("why") > 0)).alias("failed")), made)
+
+
+def with_context(rows: DataFrame) -> DataFrame:
+    """rows(contexts, ...) without contexts, with block_hash and block_timestamp of the context of their block_number; others keep theirs."""
+    found = F.get(F.filter("contexts", lambda c: c["n"] == F.col("block_number")), F.lit(0))
+    rows = rows.withColumn("contexts", found)
+    stamp = F.when(F.col("contexts").isNotNull(), F.col("contexts.t"))
+    return rows.withColumns({"block_hash": F.when(F.col("contexts").isNotNull(), F.col("contexts.h")).otherwise(F.col("block_hash")), "block_timestamp": stamp}).drop("contexts")
+
+
+def _within_cursors(raw: DataFrame, requested: list[str], check: bool, made: list[str] | None) -> tuple[dict[str, DataFrame], DataFrame | None]:
+    """ingest by rows of whole cursors; only traces, whose parser takes raw rows, are joined with blocks and failures."""
+    needed, sinks = resolve_entities(requested), sink_entities(requested)
+    errors = "error" in raw.columns
+    wide = by_cursor(raw, needed, check and errors, made)
+    failures = cut(capture_failures(_rpc_errors(raw), wide.select("cursor", F.inline("why"))), made) if errors else None
+    live = wide.where("NOT failed")
+    rows = {}
+    if "block" in needed:
+        blocks = live.select("cursor", F.explode("blocks").alias("b"))
+        rows["block"] = block_rows(blocks)
+        if "transaction" in needed:
+            rows["transaction"] = transaction_rows(blocks, paired=True)
+    if "log" in needed:
+        rows["log"] = with_context(log_rows(live, ("contexts",)))
+        if "token_transfer" in sinks:
+            rows["token_transfer"] = decode_token_transfers(rows["log"])
+    bundle = {}
+    for e in sinks:
+        if e == "trace":
+            own = raw.where(F.col("method") == METHOD[e])
+            traces = parser_of(e)(own.where("error IS NULL") if errors else own)
+            traces = inject_block_context(traces, rows["block"])
+            rows[e] = traces.join(live.select("cursor"), "cursor", "left_semi") if errors else traces
+        bundle[e] = rows[e].withColumns({"id": event_id(rows[e], e), "event_timestamp_ms": event_time(rows[e], e)[0]})
+    return bundle, failures
+
+
+def _rpc_errors(raw: DataFrame) -> DataFrame:
+    named = raw.where("error IS NOT NULL").withColumn("entity", F.when(F.col("method") == METHOD["receipt"], "receipt").when(F.col("method") == METHOD["trace"], "trace").otherwise("block"))
+    return named.select("cursor", "entity", "method", "error")
+
+
 def ingest(raw: DataFrame, requested: list[str], check: bool = True, made: list[str] | None = None) -> tuple[dict[str, DataFrame], DataFrame | None]:
     """(bundle, failures): a DataFrame per requested entity, and the failed cursors with why.
 
     Only the branches that the request needs enter the plan, and each method's JSON is parsed once: parsed payloads are written
-    to the shared folder, so a job runs while the plan is made. A cursor with any RPC or parse failure gives no row of any entity; where
-    no cursor failed, nothing is joined. Each id comes once. With check off, parse failures are not looked for (payloads known to be
+    to the shared folder, a row a cursor, so a job runs while the plan is made and no branch needs an exchange after it. Where the
+    caller has parsers of their own, payloads are written by method and joined. A cursor with any RPC or parse failure gives no row of
+    any entity. Each id comes once. With check off, parse failures are not looked for (payloads known to be
     whole). Raw rows without an error column have no failures. Paths of what is written on the way are added to `made`.
     """
     needed = resolve_entities(requested)
+    if all(is_own_parser(e) for e in needed):
+        return _within_cursors(raw, requested, check, made)
     good = raw.where("error IS NULL") if "error" in raw.columns else raw
     rows, bad = parsed_once(good, needed, check and "error" in raw.columns, made)
     failures = None
     if "error" in raw.columns:
-        named = raw.where("error IS NOT NULL").withColumn("entity", F.when(F.col("method") == METHOD["receipt"], "receipt").when(F.col("method") == METHOD["trace"], "trace").otherwise("block"))
-        failures = cut(capture_failures(named.select("cursor", "entity", "method", "error"), bad), made)
+        failures = cut(capture_failures(_rpc_errors(raw), bad), made)
     if "log" in rows and "token_transfer" in [r.strip().lower() for r in requested]:
         rows["token_transfer"] = decode_token_transfers(rows["log"])
     if "transaction" in rows:

@@ -1,6 +1,7 @@
 """Sinks, streaming jobs and registered queries."""
 
 import importlib.util
+import json
 import random
 import time
 
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from ledgerframe import sinks
-from ledgerframe.operators import dlq
+from ledgerframe.operators import dlq, enrich, parse
 from ledgerframe.operators.progress import contiguous_watermark
 from ledgerframe.plans import ingest, registry
 from ledgerframe.sources import raw as raws, views
@@ -92,18 +93,38 @@ def test_stream_equals_batch(spark, tmp_path, exactly_once):
     assert rows.count() == len(held)
 
 
-def test_each_method_is_scanned_once(spark, tmp_path, monkeypatch):
-    """The JSON of a method is parsed by one job, and nothing in the bundle reads raw rows again."""
+def test_nothing_moves_after_parsing(spark, tmp_path):
+    """Each method's JSON is parsed once; no branch of the bundle parses, joins or exchanges anything again."""
     payloads(spark).write.parquet(f"{tmp_path}/raw")
     raw = raws.read_raw(spark, f"{tmp_path}/raw")
+    wide = ingest.by_cursor(raw, ["block", "transaction", "receipt", "log"], True)
+    assert wide.count() == wide.select("cursor").distinct().count() == 60
     bundle, _ = ingest.ingest(raw, ["block", "transaction", "log", "token_transfer"])
     for df in bundle.values():
-        plan = df._jdf.queryExecution().optimizedPlan().toString()
-        assert "from_json" not in plan and "method#" not in plan
-    made = []
-    monkeypatch.setattr(ingest, "cut", lambda df, paths=None: made.append(df) or df)
-    ingest.ingest(raw, ["block", "transaction", "log", "token_transfer"])
-    assert [df._jdf.queryExecution().optimizedPlan().toString().count("Relation ") for df in made[:2]] == [1, 1]
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert not any(x in plan for x in ("Exchange", "Join", "from_json", "method#", "Python"))
+
+
+def test_pairs_within_cursors_equal_joins(spark):
+    """Receipts of transactions and contexts of logs are those of the joins, with repeated and missing hashes and blocks of one number."""
+    block = {"number": "0x5", "hash": "0xb2", "parentHash": "0x0", "timestamp": "0x9", "transactions": [{"hash": h} for h in ("0x1", "0x2", "0x3", None)]}
+    other = {"number": "0x5", "hash": "0xb1", "parentHash": "0x0", "timestamp": "0x8", "transactions": []}
+    receipt = lambda h, gas, number="0x5": {"transactionHash": h, "blockNumber": number, "blockHash": "0xold", "transactionIndex": "0x0", "gasUsed": gas, "status": "0x1", "logs": [{"logIndex": "0x0", "transactionHash": h, "transactionIndex": "0x0", "blockHash": "0xold", "blockNumber": number, "address": "0xa", "data": "0x", "topics": []}]}
+    receipts = [receipt("0x1", "0x1"), receipt("0x2", "0x2"), receipt("0x1", "0x3"), receipt(None, "0x4"), receipt("0x9", "0x5", "0x6")]
+    method = views.METHODS
+    rows = [(1, "eth_getBlockByNumber", json.dumps(block)), (1, "eth_getBlockByNumber", json.dumps(other)), (1, "eth_getBlockReceipts", json.dumps(receipts)), (2, "eth_getBlockByNumber", json.dumps(block)), (2, "eth_getBlockReceipts", "[]")]
+    raw = spark.createDataFrame([(*r, None) for r in rows], "cursor long, method string, result string, error string")
+    assert method
+    bundle, failures = ingest.ingest(raw, ["block", "transaction", "log"])
+    assert failures.collect() == []
+    blocks, txs = parse.parse_blocks(raw.where("method = 'eth_getBlockByNumber'")), parse.parse_transactions(raw.where("method = 'eth_getBlockByNumber'"))
+    own = raw.where("method = 'eth_getBlockReceipts'")
+    want = enrich.enrich_transactions(txs, parse.parse_receipts(own))
+    assert sorted(map(str, bundle["transaction"].select(want.columns).collect())) == sorted(map(str, want.collect()))
+    assert {r["hash"]: r["receipt_gas_used"] for r in bundle["transaction"].where("cursor = 1").collect()} == {"0x1": 3, "0x2": 2, "0x3": None, None: None}
+    logs = enrich.inject_block_context(parse.parse_logs(own), blocks)
+    assert sorted(map(str, bundle["log"].select(logs.columns).collect())) == sorted(map(str, logs.collect()))
+    assert {(r["block_number"], r["block_hash"], r["block_timestamp"]) for r in logs.collect()} == {(5, "0xb1", 8), (6, "0xold", None)}
 
 
 def test_own_parser_is_used(spark):
