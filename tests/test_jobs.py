@@ -373,3 +373,28 @@ def test_stream_retry(spark, tmp_path):
         assert want.select(*log.columns).collect() == [states[i]]
     traces = sinks.read_committed(spark, f"{tmp_path}/out", "trace", "id string, cursor bigint").collect()
     assert sorted(r["cursor"] for r in traces) == [1, 3]
+
+
+def test_rows_once_for_good(spark, tmp_path, monkeypatch):
+    """A row that comes again many batches later is dropped, and a batch opens only the entries that may have its rows."""
+    monkeypatch.setattr(jobs, "NEAR", 10)
+    for n in range(24):
+        own = [(f"r{n * 10 + k}", n * 10 + k, n) for k in range(10)] + [(f"r{n * 10}", n * 10, n)]
+        late = [("r3", 3, n), ("r50", 50, n)] if n == 20 else [("none", None, n)] if n in (4, 22) else []
+        spark.createDataFrame(own + late, "id string, cursor long, n long").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    opened = []
+    read = sinks.read_committed
+
+    def counted(*args, **kw):
+        out = read(*args, **kw)
+        opened.append(len({f.split("/")[-2] for f in out.inputFiles()}))
+        return out
+
+    monkeypatch.setattr(jobs, "read_committed", counted)
+    stream = spark.readStream.schema("id string, cursor long, n long").option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+    jobs.stream_once(stream, f"{tmp_path}/out", "rows", f"{tmp_path}/ck", merge=4).awaitTermination()
+    got = read(spark, f"{tmp_path}/out", "rows", "id string, cursor long, n long").collect()
+    assert len(got) == 241 and len({r["id"] for r in got}) == 241
+    assert {r["id"]: r["n"] for r in got if r["id"] in ("r3", "r50", "none")} == {"r3": 0, "r50": 5, "none": 4}
+    live = sinks.manifest(spark, f"{tmp_path}/out")["live"]["rows"]
+    assert len(live) <= 9 and sorted(opened)[len(opened) // 2] <= 2
