@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ledgerframe.functions.hexabi import let
 from ledgerframe.operators.progress import latest_by_key
 
 #: Characters of a text that a payload preview keeps; keys and items; nested levels that are previewed.
-PREVIEW, KEYS, ITEMS, DEPTH = 512, 10, 3, 3
+PREVIEW, KEYS, ITEMS, DEPTH = 512, 10, 3, 8
 #: The fields that make a record's id, in the sorted order of their names.
 _ID_FIELDS = ("chain", "cursor", "entity", "error_message", "error_type", "first_seen_at", "network", "pipeline", "stage")
 
@@ -44,28 +45,45 @@ def dlq_id(df: DataFrame) -> Column:
     return F.substring(F.sha2(F.concat(F.lit("{"), *fields, F.lit("}")), 256), 1, 32)
 
 
+def _quoted(text: Column) -> Column:
+    """A text as a JSON string."""
+    whole = F.to_json(F.struct(text.alias("x")))
+    return F.substr(whole, F.lit(6), F.length(whole) - 6)
+
+
+def _parts(payload: Column) -> Column:
+    """The first entries of an object or array as (k, x): its key with a colon, or nothing, and the JSON text of its value.
+
+    Values are read twice, as text, which keeps the order of keys inside them, and as VARIANT, which tells a text from what it looks like.
+    """
+    typed = lambda s, v: F.when(s.isNull(), "null").when(F.schema_of_variant(v) == "STRING", _quoted(s)).otherwise(s)
+    entry = lambda k, s, v: F.struct(k.alias("k"), typed(s, v).alias("x"))
+    pairs = F.zip_with(
+        F.slice(F.map_entries(F.from_json(payload, "map<string,string>")), 1, KEYS), F.slice(F.map_values(F.from_json(payload, "map<string,variant>")), 1, KEYS),
+        lambda e, v: entry(F.concat(_quoted(e["key"]), F.lit(":")), e["value"], v),
+    )
+    items = F.zip_with(F.slice(F.from_json(payload, "array<string>"), 1, ITEMS), F.slice(F.from_json(payload, "array<variant>"), 1, ITEMS), lambda s, v: entry(F.lit(""), s, v))
+    return F.when(payload.startswith("{"), pairs).when(payload.startswith("["), items)
+
+
 def _preview(payload: Column, depth: int) -> Column:
-    """JSON text of a value with long texts cut, objects at ten keys and arrays at three items."""
-    text = F.from_json(F.concat(F.lit('{"x":'), payload, F.lit("}")), "struct<x:string>")["x"]
-    quoted = payload.startswith('"')
-    cut = F.to_json(F.struct(F.concat(F.substring(text, 1, PREVIEW), F.lit("...")).alias("x")))
-    plain = F.when(F.length(text) <= PREVIEW, payload).when(quoted, F.substr(cut, F.lit(6), F.length(cut) - 6)).otherwise(F.substr(cut, F.lit(6), F.length(cut) - 6))
-    if depth == 0:
-        return plain
-    items = F.from_json(payload, "array<string>")
-    quote = lambda x: F.substr(F.to_json(F.struct(x.alias("x"))), F.lit(6), F.length(F.to_json(F.struct(x.alias("x")))) - 6)
-    raw = lambda x: F.when(x.isNull(), "null").when(F.try_parse_json(x).isNotNull(), x).otherwise(quote(x))
-    entries = F.map_entries(F.from_json(payload, "map<string,string>"))
-    inside = F.transform(F.slice(entries, 1, KEYS), lambda e: F.concat(quote(e["key"]), F.lit(":"), _preview(raw(e["value"]), depth - 1)))
-    listed = F.transform(F.slice(items, 1, ITEMS), lambda x: _preview(raw(x), depth - 1))
-    return F.when(payload.startswith("{"), F.concat(F.lit("{"), F.array_join(inside, ","), F.lit("}"))).when(payload.startswith("["), F.concat(F.lit("["), F.array_join(listed, ","), F.lit("]"))).otherwise(plain)
+    """JSON text of a value with long texts cut, objects at ten keys and arrays at three items, down to `depth` levels."""
+
+    def one(p: Column) -> Column:
+        text = F.from_json(F.concat(F.lit('{"x":'), p, F.lit("}")), "struct<x:string>")["x"]
+        short = F.when(F.coalesce(F.length(text), F.lit(0)) <= PREVIEW, p).otherwise(_quoted(F.concat(F.substring(text, 1, PREVIEW), F.lit("..."))))
+        if depth == 0:
+            return short
+        inside = F.array_join(F.transform(_parts(p), lambda e: F.concat(e["k"], _preview(e["x"], depth - 1))), ",")
+        return let(inside, lambda t: F.when(p.startswith("{"), F.concat(F.lit("{"), t, F.lit("}"))).when(p.startswith("["), F.concat(F.lit("["), t, F.lit("]"))).otherwise(short))
+
+    return let(payload, one)
 
 
 def summarize_payload(payload: Column, depth: int = DEPTH) -> Column:
     """JSON text {"type", "size", "preview"} of a payload given as JSON text; {} for NULL; a summary stays as it is.
 
-    Values inside nested containers are previewed to `depth` levels. A text that looks like JSON inside a container is
-    previewed as that JSON.
+    Values inside nested containers are previewed to `depth` levels; a text stays a text whatever it looks like.
     """
     p = F.trim(payload)
     keys = F.when(p.startswith("{"), F.map_keys(F.from_json(p, "map<string,string>")))

@@ -121,7 +121,7 @@ def _within_cursors(raw: DataFrame, requested: list[str], check: bool, made: lis
             own = raw.where(F.col("method") == METHOD[e])
             traces = parser_of(e)(own.where("error IS NULL") if errors else own)
             traces = inject_block_context(traces, rows["block"])
-            rows[e] = traces.join(live.select("cursor"), "cursor", "left_semi") if errors else traces
+            rows[e] = traces.join(wide.where("failed").select("cursor"), "cursor", "left_anti") if errors else traces
         bundle[e] = rows[e].withColumns({"id": event_id(rows[e], e), "event_timestamp_ms": event_time(rows[e], e)[0]})
     return bundle, failures
 

@@ -295,11 +295,14 @@ def test_retry_values(spark):
         ("hello", {"type": "str", "size": 5, "preview": "hello"}),
         ({"type": "list", "size": 3}, {"type": "list", "size": 3}),
         (7, {"type": "int", "preview": 7}),
+        ({"t": "[1]", "o": '{"a":1}', "n": "null", "d": "7"}, {"type": "dict", "size": 4, "preview": {"t": "[1]", "o": '{"a":1}', "n": "null", "d": "7"}}),
+        (["[1]", ["[2]", {"z": 1, "a": "true"}]], {"type": "list", "size": 2, "preview": ["[1]", ["[2]", {"z": 1, "a": "true"}]]}),
+        ({"a": {"b": [{"c": {"d": {"e": ["y" * 600, 1, 2, 3], "é": None}}}]}}, {"type": "dict", "size": 1, "preview": {"a": {"b": [{"c": {"d": {"e": ["y" * 512 + "...", 1, 2], "é": None}}}]}}}),
     ],
 )
 def test_payload_summaries(spark, payload, want):
     got = one(spark, dlq.summarize_payload(F.col("p")), p=None if payload is None else json.dumps(payload, separators=(",", ":")))
-    assert json.loads(got) == want
+    assert json.loads(got) == want and json.dumps(json.loads(got)) == json.dumps(want)
 
 
 def test_rpc_errors(spark):
