@@ -136,7 +136,11 @@ def emit_cursors(heads: DataFrame, start: int | str = "chainhead", order: str =
 
     With chainhead the first is the first head itself; with a number none is released before the head reaches it.
     """
-    rises = head_progress(heads, order, head, key, block)
+    return released(head_progress(heads, order, head, key, block), start, order, head, key)
+
+
+def released(rises: DataFrame, start: int | str, order: str = "seq", head: str = "head", key: str | None = None) -> DataFrame:
+    """(order, cursor): the cursors of rises(order, head, previous), see emit_cursors."""
     first = F.col(head) if start == "chainhead" else F.lit(int(start))
     low = F.coalesce(F.col("previous") + 1, first)
     low = low if start == "chainhead" else F.greatest(low, F.lit(int(start)))

@@ -6,16 +6,17 @@ import random
 import time
 
 import duckdb
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from ledgerframe import sinks
 from ledgerframe.operators import dlq, enrich, parse
-from ledgerframe.operators.progress import contiguous_watermark
+from ledgerframe.operators.progress import contiguous_watermark, emit_cursors, head_progress
 from ledgerframe.plans import ingest, registry
 from ledgerframe.sources import raw as raws, views
-from ledgerframe.streaming import jobs, retry, watermark
+from ledgerframe.streaming import heads, jobs, retry, watermark
 
 SF = "/root/testdata/sf0.001"
 FEW = ("transfer_totals", "p1_p11_p13_hex", "w1_contiguous_watermark", "d4_d6_retry_states", "a4_percentile_floor")
@@ -398,3 +399,41 @@ def test_rows_once_for_good(spark, tmp_path, monkeypatch):
     assert {r["id"]: r["n"] for r in got if r["id"] in ("r3", "r50", "none")} == {"r3": 0, "r50": 5, "none": 4}
     live = sinks.manifest(spark, f"{tmp_path}/out")["live"]["rows"]
     assert len(live) <= 9 and sorted(opened)[len(opened) // 2] <= 2
+
+
+@pytest.mark.parametrize("start", ["chainhead", 105])
+def test_cursors_of_a_stream_of_heads(spark, tmp_path, start):
+    """However the observations are split into micro-batches, the cursors are those of all rows at once, and each comes once."""
+    rng = random.Random(5)
+    rows, high = [], {"a": 100, "b": 90, None: 120}
+    for seq in range(300):
+        k = rng.choice(list(high))
+        high[k] += rng.choice([-3, 0, 1, 2, 4])
+        rows.append((k, seq, high[k]))
+    schema = "chain string, seq long, head long"
+    odd = [("a", None, 999), ("b", 7, None), (None, None, None)]
+    path = f"{tmp_path}/{start}"
+    at = 0
+    for n in (1, 130, 0, 169):
+        spark.createDataFrame(rows[at : at + n] + odd, schema).repartition(3).write.mode("append").parquet(f"{path}/heads")
+        stream = spark.readStream.schema(schema).parquet(f"{path}/heads")
+        jobs.stream_cursors(stream, f"{path}/out", f"{path}/ck", start, key="chain", merge=2).awaitTermination()
+        at += n
+    got = [tuple(r) for r in sinks.read_committed(spark, f"{path}/out", "cursors", "chain string, seq long, cursor long").drop("batch_id").collect()]
+    want = [tuple(r) for r in emit_cursors(spark.createDataFrame(rows, schema), start, key="chain").collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert len({(k, c) for k, _, c in got}) == len(got) > 50
+
+
+def test_rises_within_a_batch(spark):
+    """Rows that raise a head are those of the batch query; a floor takes away what isn't above it."""
+    rng = random.Random(9)
+    rows = [(rng.choice("ab"), seq, 50 + rng.randrange(seq // 2 + 1)) for seq in range(200)]
+    df = spark.createDataFrame(rows, "own string, seq long, head long")
+    want = {tuple(r) for r in head_progress(df, key="own").collect()}
+    frame = df.toPandas().sample(frac=1, random_state=1)
+    plain = lambda x: {(r.own, r.seq, r.head, None if r.previous is pd.NA else int(r.previous)) for r in x.itertuples(index=False)}
+    assert plain(heads.rising(frame)) == want
+    one = frame[frame["own"] == "a"]
+    assert plain(heads.rising(one, 70)) == {(k, s, h, max(p or 70, 70)) for k, s, h, p in want if k == "a" and h > 70}
+    assert not len(heads.rising(one, 10_000)) and not len(heads.rising(one.iloc[:0]))
