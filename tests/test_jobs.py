@@ -437,3 +437,19 @@ def test_rises_within_a_batch(spark):
     one = frame[frame["own"] == "a"]
     assert plain(heads.rising(one, 70)) == {(k, s, h, max(p or 70, 70)) for k, s, h, p in want if k == "a" and h > 70}
     assert not len(heads.rising(one, 10_000)) and not len(heads.rising(one.iloc[:0]))
+
+
+@pytest.mark.parametrize("start", ["chainhead", 95])
+def test_rises_are_committed_not_their_cursors(spark, tmp_path, start):
+    """What a stream of heads writes grows with the heads; the cursors, made when it is read, are those of the batch query."""
+    schema = "chain string, seq long, head long"
+    rows = [(k, seq, 90 + 1000 * seq + ord(k)) for seq in range(40) for k in "ab"]
+    for part in (rows[:30], rows[30:]):
+        spark.createDataFrame(part, schema).write.mode("append").parquet(f"{tmp_path}/heads")
+        stream = spark.readStream.schema(schema).parquet(f"{tmp_path}/heads")
+        jobs.stream_rises(stream, f"{tmp_path}/out", f"{tmp_path}/ck", key="chain", merge=2).awaitTermination()
+    committed = sinks.read_committed(spark, f"{tmp_path}/out", "rises", "chain string, seq long, head long, previous long")
+    assert committed.count() == len(rows)
+    got = [tuple(r) for r in jobs.read_cursors(spark, f"{tmp_path}/out", start, key="chain", kind="string").collect()]
+    want = [tuple(r) for r in emit_cursors(spark.createDataFrame(rows, schema), start, key="chain").collect()]
+    assert sorted(got) == sorted(want) and len(got) > 78_000
