@@ -12,6 +12,7 @@ from ledgerframe import contracts
 from ledgerframe.functions import hexabi
 from ledgerframe.operators import decode, dlq, enrich, errors, identity, metrics, parse, profiles, progress
 from ledgerframe.plans import entities
+from ledgerframe.sources import views
 
 
 def one(spark, column, **values):
@@ -359,3 +360,35 @@ def test_percentile_floor(spark):
     df = spark.createDataFrame([("a", float(x)) for x in (5, 1, 1, 9)] + [("b", None)], "k string, x double")
     got = {r["percent"]: r["value"] for r in metrics.percentile_floor(df, "x", [0, 50, 99, 100], ["k"]).collect()}
     assert got == {0: 1.0, 50: 5.0, 99: 9.0, 100: 9.0}
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_call_trees_read_their_source_once(spark):
+    """One scan and no recursive query, whatever the depth; trees deeper than a pass, with escaped keys too, come whole."""
+    tree = '{"type":"LEAF"}'
+    for k in range(25):
+        tree = '{"type":"T%d","%s":[%s]}' % (k, "c\\u0061lls" if k % 2 else "calls", tree)
+    path = '[{"txHash":"0xa","result":%s},{"txHash":"0xb","result":{"type":"X"}}]' % tree
+    raw = spark.range(1).selectExpr("id AS cursor", "'debug_traceBlockByNumber' AS method").withColumn("result", F.lit(path))
+    rows = parse.flatten_call_tree(raw)
+    assert _plan(rows).count("Range") == 1 and "UnionLoop" not in _plan(rows)
+    got = {(r["trace_id"], r["call_type"], r["depth"]) for r in rows.collect()}
+    want = {("0xa" + "_0" * d if d else "0xa_root", f"T{24 - d}" if d < 25 else "LEAF", d) for d in range(26)} | {("0xb_root", "X", 0)}
+    assert got == want
+
+
+def test_payload_texts_stay_in_their_partitions(spark):
+    """Payloads are put together where the window has laid the transactions: line items are exchanged once."""
+    for view in (views.raw_receipts, views.raw_traces, views.raw_trace_blocks):
+        assert _plan(view(spark, "/root/testdata/sf0.001")).count("Exchange hashpartitioning") == 1
+
+
+def test_short_and_padded_quantities_take_no_pattern(spark):
+    """Values of up to 16 digits and zeros before them convert by bytes; odd texts give what the patterns gave."""
+    cases = {"0x": None, "": None, "0x0x1": None, " 0x1": None, "0x1\n": 1, "0": 0, "0X0a": 10, "0x" + "0" * 60 + "ff": 255, "0x" + "0" * 100 + "1": 1, "7" + "f" * 15: 2**63 - 1, "8" + "0" * 15: None, "0xg": None, "é": None, None: None}
+    rows = spark.createDataFrame([(k,) for k in cases], "x string").select("x", hexabi.hex_to_long(F.col("x")).alias("n"), hexabi.hex_to_decimal_string(F.col("x")).alias("d")).collect()
+    assert {r["x"]: r["n"] for r in rows} == cases
+    assert {r["x"]: r["d"] for r in rows} == {k: str(2**63) if k == "8" + "0" * 15 else None if v is None else str(v) for k, v in cases.items()}
