@@ -181,11 +181,11 @@ def progress_snapshot(samples: DataFrame, start: int, end: int, elapsed_s: float
     return out.withColumns({"progress": F.least(F.col("done") / total, F.lit(1.0)), "rate": rate, "remaining": left, "eta_s": left / F.nullif(rate, F.lit(0.0))})
 
 
-def payload_stats(raw: DataFrame) -> DataFrame:
-    """Per cursor: receipts, logs and serialized KB of a receipts payload."""
+def payload_stats(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Per cursor: receipts, logs and serialized KB of a receipts payload, with columns of raw that are to be kept."""
     r = raw.withColumn("r", F.from_json("result", "array<struct<logs:array<string>>>"))
     logs = F.aggregate("r", F.lit(0), lambda n, x: n + F.coalesce(F.size(x["logs"]), F.lit(0)))
-    return r.select("cursor", F.size("r").cast("long").alias("receipts"), logs.cast("long").alias("logs"), (F.octet_length("result") / 1024).alias("payload_kb"))
+    return r.select("cursor", *keep, F.size("r").cast("long").alias("receipts"), logs.cast("long").alias("logs"), (F.octet_length("result") / 1024).alias("payload_kb"))
 
 
 def rolling_messages(samples: DataFrame, seconds: int = 60, time: str = "completed_s", by: list[str] | None = None, block: int = 86_400) -> DataFrame:
