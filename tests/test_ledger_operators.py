@@ -392,3 +392,41 @@ def test_short_and_padded_quantities_take_no_pattern(spark):
     rows = spark.createDataFrame([(k,) for k in cases], "x string").select("x", hexabi.hex_to_long(F.col("x")).alias("n"), hexabi.hex_to_decimal_string(F.col("x")).alias("d")).collect()
     assert {r["x"]: r["n"] for r in rows} == cases
     assert {r["x"]: r["d"] for r in rows} == {k: str(2**63) if k == "8" + "0" * 15 else None if v is None else str(v) for k, v in cases.items()}
+
+
+def optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_filter_on_parsed_rows_parses_no_payload_again(spark):
+    raw = spark.createDataFrame([(1, '{"number":"0xa","hash":"0x1","parentHash":"0x0"}'), (2, '{"number":"0xb","hash":"0x2","parentHash":"0x0"}'), (3, "no object")], "cursor long, result string")
+    rows = parse.parse_blocks(raw).where("number % 10 <> 0")
+    assert optimized(rows).count("from_json") == 1
+    assert [r["hash"] for r in rows.collect()] == ["0x2"]
+
+
+def test_columns_named_are_those_of_all(spark, tmp_path):
+    block = {"number": "0xa", "hash": "0x1", "parentHash": "0x0", "timestamp": None, "gasUsed": "0x5", "transactions": [{"hash": "0x7", "nonce": "0x1"}, {"hash": None}]}
+    receipt = {"transactionHash": "0x7", "status": "0x1", "gasUsed": "0x9", "logs": [{"logIndex": "0x0"}]}
+    texts = [json.dumps(block), "{}", "nothing", None]
+    raw = spark.createDataFrame([(k, x) for k, x in enumerate(texts)], "cursor long, result string")
+    for some in (("number", "timestamp"), ("size", "transaction_count", "withdrawals"), ("hash",)):
+        whole, own = parse.parse_blocks(raw).select("cursor", *some), parse.parse_blocks(raw, some).select("cursor", *some)
+        assert sorted(map(repr, own.collect())) == sorted(map(repr, whole.collect()))
+    assert sorted(map(repr, parse.parse_transactions(raw, ("hash", "nonce")).collect())) == sorted(map(repr, parse.parse_transactions(raw).select("cursor", "hash", "nonce").collect()))
+    got = spark.createDataFrame([(1, json.dumps([receipt, {}])), (2, "[]"), (3, "x")], "cursor long, result string")
+    some = ("transaction_hash", "status", "gas_used")
+    assert sorted(map(repr, parse.parse_receipts(got, some).select("cursor", *some).collect())) == sorted(map(repr, parse.parse_receipts(got).select("cursor", *some).collect()))
+    assert "cumulativeGasUsed" not in optimized(parse.parse_receipts(got, some))
+
+
+def test_raw_views_write_json_in_generated_code(spark):
+    for view in (views.raw_blocks, views.raw_receipts, views.raw_traces):
+        plan = optimized(view(spark, "/root/testdata/sf0.001"))
+        assert "StructsToJson" not in plan and "to_json" not in plan
+
+
+def test_payload_stats_reads_its_source_once(spark):
+    from ledgerframe.plans import registry
+
+    assert optimized(registry.queries()["a14_payload_stats"](spark, "/root/testdata/sf0.001")).count("Relation [") == 1
