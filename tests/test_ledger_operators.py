@@ -270,6 +270,20 @@ def test_heads_and_resume(spark):
     assert [r["cursor"] for r in progress.emit_cursors(heads, 103).orderBy("cursor").collect()] == [103, 104, 105, 106, 107]
     assert [r["cursor"] for r in progress.emit_cursors(heads).orderBy("cursor").collect()] == [105, 106, 107]
     assert progress.emit_cursors(heads, 110).count() == 0
+
+
+def test_emitted_cursors_are_laid_out_for_writing(spark, tmp_path):
+    """Each cursor once across the borders of spans, below zero too, and written rows cost a fraction of a byte however many keys there are."""
+    few = spark.createDataFrame([("a", 1, -3000), ("a", 2, 2049), ("a", 3, 2048), ("a", 4, 2050), ("b", 1, 2**60), ("b", 2, 2**60 + 1500), ("c", 1, None)], "k string, seq long, head long")
+    want = {("a", 1, -3000), *(("a", 2, c) for c in range(-2999, 2050)), ("a", 4, 2050), ("b", 1, 2**60), *(("b", 2, 2**60 + n) for n in range(1, 1501))}
+    got = [tuple(r) for r in progress.emit_cursors(few, key="k").collect()]
+    assert len(got) == len(want) and set(got) == want
+    heads = spark.range(4000).select((F.col("id") % 200).alias("k"), F.col("id").alias("seq"), (F.floor(F.col("id") / 200) * 1500 + F.col("id") % 200 % 7).alias("head"))
+    progress.emit_cursors(heads, key="k").write.parquet(f"{tmp_path}/cursors")
+    size = sum(f.stat().st_size for f in tmp_path.rglob("*.parquet"))
+    rows = spark.read.parquet(f"{tmp_path}/cursors")
+    assert rows.count() == rows.distinct().count() == 200 * (19 * 1500 + 1)
+    assert size < 0.5 * rows.count()
     assert [r["cursor"] for r in progress.cursor_range(spark, 10, 12).collect()] == [10, 11, 12]
     assert progress.resume_plan("backfill", 10, 12) == 13 and progress.resume_plan("backfill", 20, 12) == 20 and progress.resume_plan("realtime", "checkpoint", None) == "chainhead"
     assert progress.resume_plan("realtime", "checkpoint", 12) == 13 and progress.resume_plan("realtime", "latest", 12) == "chainhead" and progress.resume_plan("realtime", 5, 12) == 5
