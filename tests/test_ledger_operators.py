@@ -444,3 +444,14 @@ def test_payload_stats_reads_its_source_once(spark):
     from ledgerframe.plans import registry
 
     assert optimized(registry.queries()["a14_payload_stats"](spark, "/root/testdata/sf0.001")).count("Relation [") == 1
+
+
+def test_trace_payloads_are_made_after_lists_are(spark):
+    """What is exchanged, sorted and listed for call traces are numbers, once; texts are made of the lists."""
+    rows = views.raw_traces(spark, "/root/testdata/sf0.001")
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and plan.count("Aggregate") == 1
+    assert "lpad" not in plan[plan.index("Aggregate") :].partition("\n")[2]
+    lists = views._items(spark, "/root/testdata/sf0.001").schema["l"].dataType.elementType
+    assert "string" not in {f.dataType.typeName() for f in lists.fields}
+    assert rows.count() == spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").select("l_orderkey").distinct().count()
