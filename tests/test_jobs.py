@@ -453,3 +453,28 @@ def test_rises_are_committed_not_their_cursors(spark, tmp_path, start):
     got = [tuple(r) for r in jobs.read_cursors(spark, f"{tmp_path}/out", start, key="chain", kind="string").collect()]
     want = [tuple(r) for r in emit_cursors(spark.createDataFrame(rows, schema), start, key="chain").collect()]
     assert sorted(got) == sorted(want) and len(got) > 78_000
+
+
+def test_ingest_of_wanted_columns_has_the_rows_and_failures_of_all(spark, tmp_path):
+    """Named columns are those of the whole bundle, row for row; what is not wanted doesn't go through the exchange."""
+    sf = "/root/testdata/sf0.001"
+    raw = views.raw_blocks(spark, sf).unionByName(views.raw_receipts(spark, sf))
+    bad = F.when(F.col("cursor") % 7 == 0, F.lit('{"no":1}')).when(F.col("cursor") % 11 == 0, F.lit('[{"logs":[null,{"logIndex":"0x1"}]}]')).otherwise(F.col("result"))
+    failed = F.when((F.col("cursor") % 13 == 0) & (F.col("method") == views.METHODS["receipt"]), F.lit('{"code":-32000,"message":"boom"}'))
+    raw = raw.withColumns({"result": bad, "error": failed})
+    asked = ["block", "transaction", "log", "token_transfer"]
+    paths: list[str] = []
+    mixed = ("id", "token_address", "amount", "source_log_id", "value", "block_hash", "topics", "receipt_status", "transaction_count")
+    for check, wanted in ((True, ((), mixed)), (False, (("event_timestamp_ms",), ("block_hash", "transfer_type")))):
+        whole, failures = ingest.ingest(raw, asked, check)
+        told = sorted(map(str, failures.collect()))
+        rows = {e: whole[e].select("cursor", *[c for c in whole[e].columns if c != "cursor" and c in {x for w in wanted for x in w}]).collect() for e in asked}
+        for columns in wanted:
+            few, failed = ingest.ingest(raw, asked, check, paths, columns)
+            assert sorted(map(str, failed.collect())) == told
+            for e in asked:
+                assert few[e].columns == ["cursor", *[c for c in whole[e].columns if c in columns and c != "cursor"]]
+                assert sorted(map(str, map(tuple, few[e].collect()))) == sorted(str(tuple(r[c] for c in few[e].columns)) for r in rows[e]), (e, columns)
+    # The first table written holds no field of a transaction but its hash, and no data of a log but what transfers are decoded from.
+    kinds = spark.read.parquet(paths[0]).schema.simpleString()
+    assert "data:string" in kinds and "input" not in kinds and "address" not in kinds and "gasUsed" not in kinds
