@@ -166,9 +166,9 @@ def head_first_seen(observations: DataFrame) -> DataFrame:
 
 
 def head_age(observations: DataFrame, blocks: DataFrame) -> DataFrame:
-    """observations(head, seen_ms) with age_ms against the block's timestamp; NULL for unknown blocks."""
+    """observations(head, seen_ms) with age_ms against the block's timestamp; NULL for unknown blocks, which are joined by sorting, however few Spark expects."""
     own = blocks.select(F.col("number").alias("head"), F.col("timestamp").alias("__t"))
-    return observations.join(own, "head", "left").withColumn("age_ms", F.col("seen_ms") - F.col("__t") * 1000).drop("__t")
+    return observations.join(own.hint("merge"), "head", "left").withColumn("age_ms", F.col("seen_ms") - F.col("__t") * 1000).drop("__t")
 
 
 def progress_snapshot(samples: DataFrame, start: int, end: int, elapsed_s: float) -> DataFrame:

@@ -4,6 +4,7 @@ import json
 import hashlib
 import math
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -455,3 +456,16 @@ def test_trace_payloads_are_made_after_lists_are(spark):
     lists = views._items(spark, "/root/testdata/sf0.001").schema["l"].dataType.elementType
     assert "string" not in {f.dataType.typeName() for f in lists.fields}
     assert rows.count() == spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").select("l_orderkey").distinct().count()
+
+
+def test_blocks_and_receipts_are_never_broadcast(spark, capsys):
+    """Spark expects parsed payloads to be far smaller than they are, so no join may go by that."""
+    few = lambda *columns: spark.range(1).selectExpr(*columns)
+    blocks = few("id + 7 AS number", "'0xb' AS hash", "70L AS timestamp")
+    rows, seen = few("id + 7 AS block_number", "'0xold' AS block_hash"), few("id + 7 AS head", "80000L AS seen_ms")
+    tx, receipts = few("concat('0x', id + 1) AS hash"), few("concat('0x', id + 1) AS transaction_hash", "1L AS transaction_index", "5L AS gas_used")
+    out = [enrich.inject_block_context(rows, blocks), metrics.head_age(seen, blocks), enrich.enrich_transactions(tx, receipts)]
+    assert [tuple(df.first()) for df in out] == [(7, "0xb", 70), (7, 80_000, 10_000), ("0x1", 5)]
+    for df in out:
+        df.explain()
+        assert "Broadcast" not in capsys.readouterr().out
