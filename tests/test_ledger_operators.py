@@ -469,3 +469,29 @@ def test_blocks_and_receipts_are_never_broadcast(spark, capsys):
     for df in out:
         df.explain()
         assert "Broadcast" not in capsys.readouterr().out
+
+
+def test_transfers_are_compiled(spark, capsys):
+    """What every log passes is generated code, in methods that the JVM compiles (8,000 bytes at most)."""
+    source = logs(spark, [("0x1", 0, "0xc", "0x", [decode.TRANSFER], 0, "0xb", 5)])
+    decode.decode_token_transfers(source).explain("codegen")
+    said = capsys.readouterr().out
+    assert re.search(r"\*\(\d+\) Generate explode", said)
+    assert max(map(int, re.findall(r"maxMethodCodeSize:(\d+)", said))) <= 8000
+
+
+def test_quantities_at_the_edges(spark):
+    cases = ["0x", "", "0", "0x0", "0X00", "0x" + "0" * 64, "f" * 16, "0x7" + "f" * 15, "0x8" + "0" * 15, "0x" + "0" * 48 + "f" * 16, "1" + "0" * 16, "0x" + "f" * 64, "0x1" + "0" * 64, "zz", "0xg", " 1", "0x-1", "x1", None]
+    valid = [c if c is not None and re.fullmatch("(0[xX])?[0-9a-fA-F]+", c) else None for c in cases]
+    numbers = [None if c is None else int(c, 16) for c in valid]
+    df = spark.createDataFrame([(c,) for c in cases], "c string")
+    assert [r[0] for r in df.select(hexabi.hex_to_long(F.col("c"))).collect()] == [None if n is None or n >= 2**63 else n for n in numbers]
+    assert [r[0] for r in df.select(hexabi.hex_to_decimal_string(F.col("c"))).collect()] == [None if n is None or n >= 2**256 else str(n) for n in numbers]
+
+
+def test_batch_words_with_a_prefix(spark):
+    """A word of a batch may have 0x for its first digits, and one that is no hex ends the list."""
+    a = "0x" + "0" * 24 + "a" * 40
+    data = "0x" + word(64) + word(160) + word(2) + "0x" + word(7)[2:] + word(8) + word(3) + word(1) + word(2) + "g" + word(3)[1:]
+    got = decode.decode_token_transfers(logs(spark, [("0x1", 0, "0xc", data, [decode.BATCH, a, a, a], 0, "0xb", 5)])).orderBy("transfer_index").collect()
+    assert [(r["token_id"], r["amount"], r["transfer_index"]) for r in got] == [("7", "1", 0), ("8", "2", 1)]
