@@ -495,3 +495,11 @@ def test_batch_words_with_a_prefix(spark):
     data = "0x" + word(64) + word(160) + word(2) + "0x" + word(7)[2:] + word(8) + word(3) + word(1) + word(2) + "g" + word(3)[1:]
     got = decode.decode_token_transfers(logs(spark, [("0x1", 0, "0xc", data, [decode.BATCH, a, a, a], 0, "0xb", 5)])).orderBy("transfer_index").collect()
     assert [(r["token_id"], r["amount"], r["transfer_index"]) for r in got] == [("7", "1", 0), ("8", "2", 1)]
+
+
+def test_emitted_cursors_are_dealt_evenly(spark):
+    """Partitions differ by a span of each key at most, so no task writes far more rows than another."""
+    heads = spark.range(2).selectExpr("id AS seq", "id * 65536 - 32768 AS head")
+    parts = progress.emit_cursors(heads).groupBy(F.spark_partition_id().alias("p")).count().collect()
+    counts = [r["count"] for r in parts]
+    assert sum(counts) == 65537 and len(counts) == 4 and max(counts) - min(counts) <= 1025
